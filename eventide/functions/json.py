@@ -72,13 +72,14 @@ def as_variant(c: Column) -> Column:
     return c.cast("variant")
 
 
-def type_name(v: Column) -> Column:
-    """DISC-2: reference type names from the VARIANT schema.
+def type_name(v: Column, s: Column | None = None) -> Column:
+    """DISC-2: reference type names from the VARIANT schema ``s`` of ``v``.
 
     ints within 32 bits -> integer, other ints -> long, fractions/exponents ->
     double, a 19+ digit integer -> unknown.
     """
-    s = F.schema_of_variant(v)
+    if s is None:
+        s = F.schema_of_variant(v)
     dec_scale0 = s.rlike(r"^DECIMAL\(\d+,0\)$")
     dec_prec = F.regexp_extract(s, r"^DECIMAL\((\d+),", 1).cast("int")
     as_long = F.try_variant_get(v, "$", "bigint")

@@ -106,9 +106,9 @@ def serialize(df: DataFrame, out_col: str = "value") -> DataFrame:
         _epoch(F.col("processed_at")).alias("processedAt"))))
 
 
-def build_envelopes(requests: DataFrame) -> DataFrame:
+def build_envelopes(requests: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """ENV-1: accepted requests -> new envelopes (id, now, RECEIVED)."""
-    return requests.select(
+    return requests.select(*keep,
         new_id().alias("id"), F.col("type"), F.col("source"),
         F.current_timestamp().alias("timestamp"), F.col("payload"), F.col("metadata"),
         F.lit("RECEIVED").alias("status"), F.lit(None).cast("string").alias("error_message"),

@@ -53,7 +53,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**REQUIRED_CONF, **TUNING_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
