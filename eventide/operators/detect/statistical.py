@@ -17,9 +17,13 @@ from pyspark.sql import functions as F
 from eventide.model import DROP_RATIO, MIN_EVENTS, SPIKE_Z, WINDOW_MINUTES
 
 
-def window_counts(events: DataFrame, window: str, ts_col: str = "received_at") -> DataFrame:
-    """AGG-6: events per (type, source, tumbling window); epoch-aligned windows."""
-    w = F.window(F.col(ts_col), window)
+def window_counts(events: DataFrame, window: str, ts_col: str = "received_at",
+                  start_time: str | None = None) -> DataFrame:
+    """AGG-6: events per (type, source, tumbling window).
+
+    Windows are epoch-aligned, shifted by ``start_time`` (``'4 days'`` gives
+    Monday-aligned weeks)."""
+    w = F.window(F.col(ts_col), window, window, start_time) if start_time else F.window(F.col(ts_col), window)
     return (events.groupBy(F.col("type").alias("event_type"), F.col("source").alias("event_source"),
                            w.alias("w"))
             .agg(F.count(F.lit(1)).alias("event_count"))
@@ -61,9 +65,9 @@ def volume_alerts(base: DataFrame, window_minutes: int = WINDOW_MINUTES, spike_z
 
 
 def detect_volume(events: DataFrame, window: str = "5 minutes", window_minutes: int | None = None,
-                  **thresholds) -> tuple[DataFrame, DataFrame]:
+                  start_time: str | None = None, **thresholds) -> tuple[DataFrame, DataFrame]:
     """Replay the volume detector over whole history: (baselines, alerts)."""
-    base = baselines(window_counts(events, window))
+    base = baselines(window_counts(events, window, start_time=start_time))
     minutes = window_minutes if window_minutes is not None else _minutes(window)
     return base, volume_alerts(base, minutes, **thresholds)
 

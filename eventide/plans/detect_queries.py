@@ -176,10 +176,11 @@ def schema_snapshots(spark, sf):
 # --------------------------------------------------------------------------
 # Volume
 # --------------------------------------------------------------------------
-def _se_window(seconds: int) -> str:
+def _se_window(seconds: int, offset: int = 0) -> str:
     return f"""
 WITH c AS (SELECT event_type, 'src-' || CAST(user_id % 5 AS VARCHAR) AS event_source,
-             to_timestamp(floor(epoch(ts) / {seconds}) * {seconds}) AS window_start, count(*) AS event_count
+             to_timestamp(floor((epoch(ts) - {offset}) / {seconds}) * {seconds} + {offset}) AS window_start,
+             count(*) AS event_count
            FROM events GROUP BY 1, 2, 3),
 b AS (SELECT *, avg(event_count) OVER w AS a, stddev_samp(event_count) OVER w AS s FROM c
       WINDOW w AS (PARTITION BY event_type, event_source ORDER BY window_start ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
@@ -210,13 +211,14 @@ def volume_spike(spark, sf):
                      F.round("score", 4).alias("score"), "severity")
 
 
-@query("volume_drop", _se_window(604800) + """
+@query("volume_drop", _se_window(604800, 4 * 86400) + """
 SELECT event_type, event_source, strftime(window_start AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start, event_count,
   round((1 - event_count / avg_count) * 100, 4) AS score, 'MEDIUM' AS severity FROM g
 WHERE stddev_count IS NOT NULL AND stddev_count <> 0 AND event_count >= 10
   AND event_count < avg_count * 0.3 AND avg_count > 10""")
 def volume_drop(spark, sf):
-    _, alerts = ST.detect_volume(stored_events(spark, sf), "7 days")
+    # Monday-aligned weeks: the last (partial) week of the data is the drop
+    _, alerts = ST.detect_volume(stored_events(spark, sf), "7 days", start_time="4 days")
     d = alerts.filter(F.col("severity") == "MEDIUM")
     return d.select("event_type", "event_source", fmt("window_start").alias("window_start"), "event_count",
                     F.round("score", 4).alias("score"), "severity")
