@@ -36,4 +36,9 @@ ORDERS_PAUSED = Flow(
     name="orders-paused", source_topic=ORDERS_TOPIC, destination_topic="orders.paused",
     state="PAUSED", mappings=(m("orderId", "id"),))
 
-ALL_FLOWS = (ORDERS_CLEAN, ORDERS_AUDIT, ORDERS_PAUSED)
+# An older version of the audit definition: superseded by version 2 (TOP-5).
+ORDERS_AUDIT_V1 = Flow(
+    name="orders-audit", source_topic=ORDERS_TOPIC, destination_topic="orders.audit.v1", state="ACTIVE",
+    version=1, mappings=(m("orderId", "id"),))
+
+ALL_FLOWS = (ORDERS_CLEAN, ORDERS_AUDIT_V1, ORDERS_AUDIT, ORDERS_PAUSED)

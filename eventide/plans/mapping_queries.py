@@ -282,7 +282,10 @@ def map_conflict_order(spark, sf):
        f"UNION ALL SELECT 'orders-audit' AS flow, CASE WHEN o_orderpriority = '5-LOW' "
        f"THEN 'orders.audit.failed' ELSE 'orders.audit' END AS topic, count(*) AS records FROM {ORD} GROUP BY 1, 2")
 def fanout_counts(spark, sf):
-    out = fan_out(order_records(spark, sf), ALL_FLOWS)
+    """RT-5 + TOP-5: latest runnable version of each definition, each reading its topic."""
+    from eventide.operators.definitions import definitions_table, runnable, to_flows
+    flows = to_flows(runnable(definitions_table(spark, ALL_FLOWS)))
+    out = fan_out(order_records(spark, sf), flows)
     return out.groupBy("flow", "topic").agg(F.count(F.lit(1)).alias("records"))
 
 
