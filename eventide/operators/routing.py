@@ -27,12 +27,14 @@ def route(transformed: DataFrame, flow: Flow) -> DataFrame:
     ok = F.col("parse_ok") & (F.coalesce(F.col("status"), F.lit("")) != "FAILED")
     out = serialize(transformed, "__envelope")
     key = F.col("key") if "key" in transformed.columns else F.col("id")
+    carry = [c for c in ("partition", "offset") if c in transformed.columns]
     return out.select(
         F.when(ok, F.lit(flow.destination_topic)).otherwise(F.lit(flow.dead_letter)).alias("topic"),
         key.alias("key"),
         F.when(F.col("parse_ok"), F.col("__envelope")).otherwise(F.col("raw")).alias("value"),
         ok.alias("ok"),
         F.lit(flow.name).alias("flow"),
+        *[F.col(c).alias(f"source_{c}") for c in carry],
     )
 
 

@@ -21,8 +21,8 @@ def _topic_copies(spark, sf):
     raw = order_records(spark, sf)
     routed = route(transform(raw, ORDERS_CLEAN), ORDERS_CLEAN)
     return (raw.select("topic", "value", F.lit(0).alias("arrival"), "offset")
-            .unionByName(routed.join(raw.select("key", "offset"), "key")
-                         .select("topic", "value", F.lit(1).alias("arrival"), "offset")))
+            .unionByName(routed.select("topic", "value", F.lit(1).alias("arrival"),
+                                       F.col("source_offset").alias("offset"))))
 
 
 def _as_rows(copies):
