@@ -30,6 +30,7 @@ class Val:
     k: Column    # kind: object/array/string/boolean/null/number
     t: Column    # scalar text ("" for containers)
     tt: Column   # text trimmed of chars <= U+0020
+    s: Column | None = None  # VARIANT schema string of v
 
 
 Conv = Callable[[Val], tuple[Column, Column | None]]
@@ -71,7 +72,7 @@ def _saturate(v: Column, lo: int, hi: int, to: str) -> Column:
 def _integral(x: Val, bits: int) -> tuple[Column, Column]:
     to = "int" if bits == 32 else "bigint"
     lo, hi = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
-    s = F.schema_of_variant(x.v)
+    s = x.s if x.s is not None else F.schema_of_variant(x.v)
     integral = (s == "BIGINT") | s.rlike(r"^DECIMAL\((19|[2-9][0-9]),0\)$")
     num = F.when(integral, _wrap_bits(x.v, bits)).otherwise(_saturate(x.v, lo, hi, to))
     parsed = F.when(x.tt.rlike(INT_TEXT), F.regexp_replace(x.tt, r"^\+", "").try_cast(to))
@@ -131,6 +132,8 @@ def needs_text(name: str | None) -> bool:
 
 def convert_value(v: Column, name: str | None) -> tuple[Column, Column | None]:
     """Convenience for one-off use on a single present value column."""
-    from eventide.functions.json import as_text, jtrim, kind
-    t = as_text(v)
-    return conversion(name)(Val(v, kind(v), t, jtrim(t)))
+    from eventide.functions.json import jtrim, kind_of_schema
+    s = F.schema_of_variant(v)
+    k = kind_of_schema(s)
+    t = F.when(k.isin("object", "array"), F.lit("")).otherwise(v.cast("string"))
+    return conversion(name)(Val(v, k, t, jtrim(t), s))

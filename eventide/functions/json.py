@@ -45,22 +45,26 @@ def present(v: Column) -> Column:
     return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def kind(v: Column) -> Column:
-    """object / array / string / boolean / null / number, from the first JSON char."""
-    c = F.substring(F.to_json(v), 1, 1)
-    return (F.when(c == "{", "object").when(c == "[", "array").when(c == '"', "string")
-            .when((c == "t") | (c == "f"), "boolean").when(c == "n", "null")
+def kind_of_schema(s: Column) -> Column:
+    """object / array / string / boolean / null / number from a VARIANT schema string."""
+    return (F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
+            .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
             .otherwise("number"))
 
 
+def kind(v: Column) -> Column:
+    """object / array / string / boolean / null / number of a VARIANT value."""
+    return kind_of_schema(F.schema_of_variant(v))
+
+
 def is_object(v: Column) -> Column:
-    return F.substring(F.to_json(v), 1, 1) == "{"
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def as_text(v: Column) -> Column:
     """Scalar text of a JSON value; ``""`` for objects and arrays."""
-    c = F.substring(F.to_json(v), 1, 1)
-    return F.when((c == "{") | (c == "["), F.lit("")).otherwise(v.cast("string"))
+    k = kind(v)
+    return F.when(k.isin("object", "array"), F.lit("")).otherwise(v.cast("string"))
 
 
 def jtrim(s: Column) -> Column:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.conversions import Val, conversion, needs_text
-from eventide.functions.json import (as_variant, get_path, jtrim, kind, now_iso,
+from eventide.functions.json import (as_variant, get_path, jtrim, kind_of_schema, now_iso,
                                      present, split_path)
 from eventide.model import NOW_TOKEN, UUID_TOKEN, FieldMapping, Flow
 
@@ -56,6 +56,7 @@ class _Step:
         i = idx
         self.s, self.applied, self.value = F.col(f"__s{i}"), F.col(f"__a{i}"), F.col(f"__v{i}")
         self.kind, self.t, self.tt = F.col(f"__k{i}"), F.col(f"__t{i}"), F.col(f"__tt{i}")
+        self.schema = F.col(f"__sc{i}")
         self.out = F.col(f"__o{i}")
         self.err_col = F.col(f"__e{i}")
 
@@ -71,8 +72,11 @@ class _Step:
                     f"__v{self.idx}": F.when(has, self.s).otherwise(_default_value(mp.default_value))}
         return {f"__a{self.idx}": has, f"__v{self.idx}": F.when(has, self.s)}
 
+    def stage_schema(self) -> dict:
+        return {f"__sc{self.idx}": F.schema_of_variant(self.value)} if (self.text or self.flatten) else {}
+
     def stage_kind(self) -> dict:
-        return {f"__k{self.idx}": kind(self.value)} if (self.text or self.flatten) else {}
+        return {f"__k{self.idx}": kind_of_schema(self.schema)} if (self.text or self.flatten) else {}
 
     def stage_text(self) -> dict:
         if not self.text:
@@ -84,7 +88,8 @@ class _Step:
         return {f"__tt{self.idx}": jtrim(self.t)} if self.text else {}
 
     def stage_convert(self) -> dict:
-        out, err = conversion(self.mapping.conversion)(Val(self.value, self.kind, self.t, self.tt))
+        sch = self.schema if (self.text or self.flatten) else None
+        out, err = conversion(self.mapping.conversion)(Val(self.value, self.kind, self.t, self.tt, sch))
         if self.dest is not None and len(self.dest) == 0:
             # "." as destination: the reference fails the event when it writes there
             bad = F.lit(EMPTY_DEST_ERROR)
@@ -177,7 +182,8 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
     payload = F.col(payload_col)
     steps = [_Step(i, mp) for i, mp in enumerate(mappings) if not mp.excluded]  # MAP-3
     cur = df
-    for stage in ("stage_source", "stage_value", "stage_kind", "stage_text", "stage_trim", "stage_convert"):
+    for stage in ("stage_source", "stage_value", "stage_schema", "stage_kind", "stage_text", "stage_trim",
+                  "stage_convert"):
         cols = {}
         for s in steps:
             cols.update(s.stage_source(payload) if stage == "stage_source" else getattr(s, stage)())
