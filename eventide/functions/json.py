@@ -67,9 +67,13 @@ def as_text(v: Column) -> Column:
     return F.when(k.isin("object", "array"), F.lit("")).otherwise(v.cast("string"))
 
 
+# Fixed value: the JVM String.trim set, every char from U+0000 to U+0020.
+JVM_TRIM_CHARS = "".join(chr(c) for c in range(0x21))
+
+
 def jtrim(s: Column) -> Column:
-    """Trim every char <= U+0020 at both ends (JVM String.trim)."""
-    return F.regexp_replace(s, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """Trim every char <= U+0020 at both ends (JVM String.trim), no regex."""
+    return F.trim(s, F.lit(JVM_TRIM_CHARS))
 
 
 def as_variant(c: Column) -> Column:

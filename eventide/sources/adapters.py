@@ -25,8 +25,11 @@ def spread(df: DataFrame) -> DataFrame:
     over that many; a large input (thousands of file splits) is left as is,
     so no shuffle is added at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if size // max(split, 1) + 1 < slots:
         return df.repartition(slots)
     return df
 
