@@ -12,10 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.json import as_variant, now_iso
+from eventide.functions.sqltext import lit
 
 # Fixed patterns: JVM integer text, JVM floating text, ISO-8601 offset date-time.
 INT_TEXT = r"^[+-]?[0-9]+$"
@@ -26,96 +26,88 @@ ISO_OFFSET = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{
 
 @dataclass
 class Val:
-    v: Column    # VARIANT value (present)
-    k: Column    # kind: object/array/string/boolean/null/number
-    t: Column    # scalar text ("" for containers)
-    tt: Column   # text trimmed of chars <= U+0020
-    s: Column | None = None  # VARIANT schema string of v
+    """A present value's parts, as SQL expressions (usually quoted column names)."""
+    v: str    # VARIANT value (present)
+    k: str    # kind: object/array/string/boolean/null/number
+    t: str    # scalar text ("" for containers)
+    tt: str   # text trimmed of chars <= U+0020
+    s: str    # VARIANT schema string of v
 
 
-Conv = Callable[[Val], tuple[Column, Column | None]]
+Expr = str | Column
+Conv = Callable[[Val], tuple[Expr, Expr | None]]
 _REGISTRY: dict[str, Conv] = {}
 NEEDS_TEXT: set[str] = set()
 
 
 def register_conversion(name: str, fn: Conv, needs_text: bool = True) -> None:
-    """Extension point: ``Val -> (VARIANT Column, error Column or None)``."""
+    """Extension point: ``Val -> (VARIANT expr, error expr or None)``; each
+    expr is SQL text or a ``Column``."""
     _REGISTRY[name] = fn
     if needs_text:
         NEEDS_TEXT.add(name)
 
 
-def _dec(x: int) -> Column:
-    return F.lit(str(x)).cast("decimal(38,0)")
+# Conversions are written as SQL text over the compiler's attribute names
+# (``Val`` fields hold quoted column names); see functions/sqltext.py.
+NOW_ISO_SQL = "date_format(current_timestamp(), " + lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") + ")"
 
 
-def _bad_input(t: Column) -> Column:
-    return F.concat(F.lit('For input string: "'), t, F.lit('"'))
+def _bad_input(tt: str) -> str:
+    return f"concat('For input string: \"', {tt}, '\"')"
 
 
-def _wrap_bits(v: Column, bits: int) -> Column:
-    """Low ``bits`` of an integral JSON number, two's complement (JVM narrowing)."""
-    r = F.pmod(F.try_variant_get(v, "$", "decimal(38,0)"), _dec(2 ** bits))
-    r = F.when(r >= _dec(2 ** (bits - 1)), r - _dec(2 ** bits)).otherwise(r)
-    return r.cast("int" if bits == 32 else "bigint")
-
-
-def _saturate(v: Column, lo: int, hi: int, to: str) -> Column:
-    """JVM double-to-integral narrowing: truncate, clamp, NaN -> 0."""
-    d = F.try_variant_get(v, "$", "double")
-    return (F.when(F.isnan(d), F.lit(0).cast(to))
-            .when(d >= F.lit(float(hi)), F.lit(hi).cast(to))
-            .when(d <= F.lit(float(lo)), F.lit(lo).cast(to))
-            .otherwise(d.cast(to)))
-
-
-def _integral(x: Val, bits: int) -> tuple[Column, Column]:
-    to = "int" if bits == 32 else "bigint"
+def _integral(x: Val, bits: int) -> tuple[str, str]:
+    to = "INT" if bits == 32 else "BIGINT"
     lo, hi = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
-    s = x.s if x.s is not None else F.schema_of_variant(x.v)
-    integral = (s == "BIGINT") | s.rlike(r"^DECIMAL\((19|[2-9][0-9]),0\)$")
-    num = F.when(integral, _wrap_bits(x.v, bits)).otherwise(_saturate(x.v, lo, hi, to))
-    parsed = F.when(x.tt.rlike(INT_TEXT), F.regexp_replace(x.tt, r"^\+", "").try_cast(to))
-    out = F.when(x.k == "number", num).otherwise(parsed)
-    err = F.when((x.k != "number") & parsed.isNull(), _bad_input(x.tt))
-    return as_variant(out), err
+    mod, half = f"CAST('{2 ** bits}' AS DECIMAL(38,0))", f"CAST('{2 ** (bits - 1)}' AS DECIMAL(38,0))"
+    r = f"pmod(try_variant_get({x.v}, '$', 'decimal(38,0)'), {mod})"
+    wrap = f"CAST(CASE WHEN {r} >= {half} THEN {r} - {mod} ELSE {r} END AS {to})"
+    d = f"try_variant_get({x.v}, '$', 'double')"
+    sat = (f"CASE WHEN isnan({d}) THEN CAST(0 AS {to}) WHEN {d} >= {float(hi)!r} THEN CAST({hi} AS {to}) "
+           f"WHEN {d} <= {float(lo)!r} THEN CAST('{lo}' AS {to}) ELSE CAST({d} AS {to}) END")
+    integral = f"({x.s} = 'BIGINT' OR {x.s} RLIKE {lit(r'^DECIMAL[(](19|[2-9][0-9]),0[)]$')})"
+    parsed = (f"CASE WHEN {x.tt} RLIKE {lit(INT_TEXT)} THEN "
+              f"try_cast(regexp_replace({x.tt}, {lit('^[+]')}, '') AS {to}) END")
+    out = f"CAST(CASE WHEN {x.k} = 'number' THEN (CASE WHEN {integral} THEN {wrap} ELSE {sat} END) ELSE {parsed} END AS VARIANT)"
+    err = f"CASE WHEN {x.k} <> 'number' AND ({parsed}) IS NULL THEN {_bad_input(x.tt)} END"
+    return out, err
 
 
-def _to_double(x: Val) -> tuple[Column, Column]:
-    parsed = F.when(x.tt.rlike(FLOAT_TEXT), F.regexp_replace(x.tt, r"[fFdD]$", "").try_cast("double"))
-    out = F.when(x.k == "number", F.try_variant_get(x.v, "$", "double")).otherwise(parsed)
-    err = F.when((x.k != "number") & parsed.isNull(),
-                 F.when(x.tt == "", F.lit("empty String")).otherwise(_bad_input(x.tt)))
-    return as_variant(out), err
+def _to_double(x: Val) -> tuple[str, str]:
+    parsed = (f"CASE WHEN {x.tt} RLIKE {lit(FLOAT_TEXT)} THEN "
+              f"try_cast(regexp_replace({x.tt}, {lit('[fFdD]$')}, '') AS DOUBLE) END")
+    out = f"CAST(CASE WHEN {x.k} = 'number' THEN try_variant_get({x.v}, '$', 'double') ELSE {parsed} END AS VARIANT)"
+    err = (f"CASE WHEN {x.k} <> 'number' AND ({parsed}) IS NULL THEN "
+           f"CASE WHEN {x.tt} = '' THEN 'empty String' ELSE {_bad_input(x.tt)} END END")
+    return out, err
 
 
-def _to_boolean(x: Val) -> tuple[Column, None]:
-    b = F.when(x.k == "boolean", F.try_variant_get(x.v, "$", "boolean")).otherwise(F.lower(x.tt) == "true")
-    return as_variant(b), None
+def _to_boolean(x: Val) -> tuple[str, None]:
+    return (f"CAST(CASE WHEN {x.k} = 'boolean' THEN try_variant_get({x.v}, '$', 'boolean') "
+            f"ELSE lower({x.tt}) = 'true' END AS VARIANT)"), None
 
 
-def _to_timestamp(x: Val) -> tuple[Column, None]:
-    ok = x.tt.rlike(ISO_OFFSET) & F.try_to_timestamp(x.tt).isNotNull()
-    return as_variant(F.when(ok, x.tt).otherwise(now_iso())), None
+def _to_timestamp(x: Val) -> tuple[str, None]:
+    ok = f"({x.tt} RLIKE {lit(ISO_OFFSET)} AND try_to_timestamp({x.tt}) IS NOT NULL)"
+    return f"CAST(CASE WHEN {ok} THEN {x.tt} ELSE {NOW_ISO_SQL} END AS VARIANT)", None
 
 
-def _mask(x: Val) -> tuple[Column, None]:
-    n = F.length(x.t)
-    masked = F.when(n <= 2, F.lit("**")).otherwise(
-        F.concat(F.substring(x.t, 1, 1), F.repeat(F.lit("*"), n - 2), F.substring(x.t, -1, 1)))
-    return as_variant(masked), None
+def _mask(x: Val) -> tuple[str, None]:
+    return (f"CAST(CASE WHEN length({x.t}) <= 2 THEN '**' ELSE concat(substring({x.t}, 1, 1), "
+            f"repeat('*', length({x.t}) - 2), substring({x.t}, -1, 1)) END AS VARIANT)"), None
 
 
 register_conversion("NONE", lambda x: (x.v, None), needs_text=False)
 register_conversion("FLATTEN", lambda x: (x.v, None), needs_text=False)  # objects: the compiler
-register_conversion("TO_STRING", lambda x: (as_variant(x.t), None))
+register_conversion("TO_STRING", lambda x: (f"CAST({x.t} AS VARIANT)", None))
 register_conversion("TO_INTEGER", lambda x: _integral(x, 32))
 register_conversion("TO_LONG", lambda x: _integral(x, 64))
 register_conversion("TO_DOUBLE", _to_double)
 register_conversion("TO_BOOLEAN", _to_boolean)
 register_conversion("TO_TIMESTAMP", _to_timestamp)
-register_conversion("TO_UPPER", lambda x: (as_variant(F.upper(x.t)), None))
-register_conversion("TO_LOWER", lambda x: (as_variant(F.lower(x.t)), None))
+register_conversion("TO_UPPER", lambda x: (f"CAST(upper({x.t}) AS VARIANT)", None))
+register_conversion("TO_LOWER", lambda x: (f"CAST(lower({x.t}) AS VARIANT)", None))
 register_conversion("MASK", _mask)
 
 
@@ -130,10 +122,22 @@ def needs_text(name: str | None) -> bool:
     return (name or "NONE") in NEEDS_TEXT
 
 
-def convert_value(v: Column, name: str | None) -> tuple[Column, Column | None]:
-    """Convenience for one-off use on a single present value column."""
+def as_column(e: Expr | None) -> Column | None:
+    if e is None or isinstance(e, Column):
+        return e
+    return F.expr(e)
+
+
+def convert_column(df: DataFrame, col: str, name: str | None, out: str = "converted",
+                   err: str = "convert_error") -> DataFrame:
+    """Apply one conversion to a present VARIANT column of ``df``."""
     from eventide.functions.json import jtrim, kind_of_schema
-    s = F.schema_of_variant(v)
-    k = kind_of_schema(s)
-    t = F.when(k.isin("object", "array"), F.lit("")).otherwise(v.cast("string"))
-    return conversion(name)(Val(v, k, t, jtrim(t), s))
+    parts = df.withColumn("__cv_s", F.schema_of_variant(F.col(col)))
+    parts = parts.withColumn("__cv_k", kind_of_schema(F.col("__cv_s")))
+    parts = parts.withColumn("__cv_t", F.when(F.col("__cv_k").isin("object", "array"), F.lit(""))
+                             .otherwise(F.col(col).cast("string")))
+    parts = parts.withColumn("__cv_tt", jtrim(F.col("__cv_t")))
+    o, e = conversion(name)(Val(f"`{col}`", "`__cv_k`", "`__cv_t`", "`__cv_tt`", "`__cv_s`"))
+    res = parts.withColumn(out, as_column(o)).withColumn(
+        err, as_column(e) if e is not None else F.lit(None).cast("string"))
+    return res.drop("__cv_s", "__cv_k", "__cv_t", "__cv_tt")

@@ -8,7 +8,7 @@ Vectors come from a column (the reference calls an embedding service).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.vectors import centroids, cosine_distance
@@ -24,10 +24,11 @@ def distances(vectors: DataFrame, sample: int | None = EMBED_BATCH, min_events:
     partitions except through that join.
     """
     s = latest_n(vectors, ["type"], [F.col("seq").desc()], sample)
-    per_type = Window.partitionBy("type")
-    s = s.withColumns({"__n": F.count(F.lit(1)).over(per_type),
-                       "__u": F.count("vector").over(per_type)})
-    s = s.filter((F.col("__n") >= min_events) & (F.col("__u") >= min_events) & F.col("vector").isNotNull())
+    # eligibility per type from a partial aggregation joined back (not a
+    # window over the type, which would put a hot type in one task)
+    ok = (s.groupBy("type").agg(F.count(F.lit(1)).alias("__n"), F.count("vector").alias("__u"))
+          .filter((F.col("__n") >= min_events) & (F.col("__u") >= min_events)).select("type"))
+    s = s.join(ok, "type", "left_semi").filter(F.col("vector").isNotNull())
     c = centroids(s, "type", "vector").filter("dims_ok")
     j = s.join(c.select("type", "centroid"), "type")
     return j.select("id", "type", "seq", cosine_distance(F.col("vector"), F.col("centroid")).alias("distance"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.json import as_text, jtrim, kind
+from eventide.functions.sqltext import ident, lit
 from eventide.model import ENVELOPE_KEYS, ID_PREFIX, MAX_BATCH, STATUS_VALUES
 
 ISO_WITH_OFFSET = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?"
@@ -20,30 +21,39 @@ def _member(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$['{key}']", "variant")
 
 
-def _text_field(raw: Column, k: Column) -> tuple[Column, Column]:
+_FIELDS = {"id": "id", "type": "type", "source": "source", "timestamp": "ts", "payload": "payload",
+           "metadata": "metadata", "status": "status", "errorMessage": "err", "processedAt": "pat"}
+_SCALARS = ("id", "type", "source", "ts", "status", "err", "pat")
+
+
+def _kind_sql(v: str) -> str:
+    sc = f"schema_of_variant({v})"
+    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN startswith({sc}, 'OBJECT') THEN 'object' "
+            f"WHEN startswith({sc}, 'ARRAY') THEN 'array' WHEN {sc} = 'STRING' THEN 'string' "
+            f"WHEN {sc} = 'BOOLEAN' THEN 'boolean' WHEN {sc} = 'VOID' THEN 'null' ELSE 'number' END")
+
+
+def _text_sql(n: str) -> tuple[str, str]:
     """Scalar -> text, JSON null -> NULL; objects/arrays are a parse error."""
-    val = F.when(raw.isNull() | (k == "null"), F.lit(None).cast("string")) \
-        .when(k.isin("object", "array"), F.lit("")).otherwise(raw.cast("string"))
-    bad = raw.isNotNull() & k.isin("object", "array")
+    r, k = f"`__r_{n}`", f"`__k_{n}`"
+    val = (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS STRING) "
+           f"WHEN {k} IN ('object', 'array') THEN '' ELSE CAST({r} AS STRING) END")
+    bad = f"({r} IS NOT NULL AND {k} IN ('object', 'array'))"
     return val, bad
 
 
-def _time_field(raw: Column, k: Column) -> tuple[Column, Column]:
+def _time_sql(n: str) -> tuple[str, str]:
     """Epoch seconds (number) or ISO offset text -> timestamp."""
-    t = raw.cast("string")
-    num = F.try_variant_get(raw, "$", "decimal(38,9)")
-    from_num = F.timestamp_micros((num * 1_000_000).cast("bigint"))
-    from_txt = F.when(t.rlike(ISO_WITH_OFFSET), F.try_to_timestamp(t))
-    val = (F.when(raw.isNull() | (k == "null"), F.lit(None).cast("timestamp"))
-           .when(k == "number", from_num).when(k == "string", from_txt))
-    bad = raw.isNotNull() & (k != "null") & val.isNull()
+    r, k = f"`__r_{n}`", f"`__k_{n}`"
+    from_num = f"timestamp_micros(CAST(try_variant_get({r}, '$', 'decimal(38,9)') * 1000000 AS BIGINT))"
+    t = f"CAST({r} AS STRING)"
+    from_txt = f"CASE WHEN {t} RLIKE {lit(ISO_WITH_OFFSET)} THEN try_to_timestamp({t}) END"
+    val = (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS TIMESTAMP) "
+           f"WHEN {k} = 'number' THEN {from_num} WHEN {k} = 'string' THEN {from_txt} END")
+    bad = f"({r} IS NOT NULL AND {k} <> 'null' AND ({val}) IS NULL)"
     return val, bad
 
 
-_FIELDS = {"id": "id", "type": "type", "source": "source", "timestamp": "ts", "payload": "payload",
-           "metadata": "metadata", "status": "status", "errorMessage": "err", "processedAt": "pat"}
-
-
 def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
     """ENV-2 + ENV-4: parse envelope JSON text once; ``parse_ok`` marks success.
 
@@ -53,43 +63,37 @@ def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
     a JSON null stays NULL. ``raw`` keeps the text for the dead letter (RT-3).
     The text is parsed once; members and their kinds are projected as columns.
     """
-    st = df.withColumn("__pv", F.try_parse_json(F.col(value_col)))
-    v = F.col("__pv")
-    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-    st = st.withColumns({"__shaped": keys.isNotNull() & (F.size(F.array_except(
-        keys, F.array(*[F.lit(k) for k in ENVELOPE_KEYS]))) == 0),
-        **{f"__r_{n}": _member(v, k) for k, n in _FIELDS.items()}})
-    st = st.withColumns({f"__k_{n}": kind(F.col(f"__r_{n}"))
-                         for n in ("id", "type", "source", "ts", "status", "err", "pat")})
-    r = {n: F.col(f"__r_{n}") for n in _FIELDS.values()}
-    k = {n: F.col(f"__k_{n}") for n in ("id", "type", "source", "ts", "status", "err", "pat")}
-    id_, id_bad = _text_field(r["id"], k["id"])
-    type_, type_bad = _text_field(r["type"], k["type"])
-    source, source_bad = _text_field(r["source"], k["source"])
-    err_msg, err_bad = _text_field(r["err"], k["err"])
-    status_txt, status_bad0 = _text_field(r["status"], k["status"])
-    status_idx = F.try_variant_get(r["status"], "$", "int")
-    status = F.when(k["status"] == "number",
-                    F.element_at(F.array(*[F.lit(s) for s in STATUS_VALUES]), status_idx + 1)
-                    ).otherwise(status_txt)
-    status_ok = r["status"].isNull() | (k["status"] == "null") | status.isin(*STATUS_VALUES)
-    ts, ts_bad = _time_field(r["ts"], k["ts"])
-    pat, pat_bad = _time_field(r["pat"], k["pat"])
-    ok = F.col("__shaped") & ~(id_bad | type_bad | source_bad | err_bad | status_bad0 | ts_bad | pat_bad) & status_ok
-    out = st.withColumns({
-        "parse_ok": F.coalesce(ok, F.lit(False)),
-        "id": F.when(r["id"].isNull(), new_id()).otherwise(id_),
-        "type": type_,
-        "source": source,
-        "timestamp": F.when(r["ts"].isNull(), F.current_timestamp()).otherwise(ts),
-        "payload": r["payload"],
-        "metadata": r["metadata"],
-        "status": F.when(r["status"].isNull(), F.lit("RECEIVED")).otherwise(status),
-        "error_message": err_msg,
-        "processed_at": pat,
-        "raw": F.col(value_col),
-    })
-    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in df.columns])
+    st = df.selectExpr("*", f"try_parse_json({ident(value_col)}) AS `__pv`")
+    allowed = ", ".join(lit(k) for k in ENVELOPE_KEYS)
+    keys = "map_keys(try_variant_get(`__pv`, '$', 'map<string,variant>'))"
+    st = st.selectExpr("*", f"({keys} IS NOT NULL AND size(array_except({keys}, array({allowed}))) = 0) AS `__shaped`",
+                       *[f"try_variant_get(`__pv`, {lit(chr(36) + '[' + repr(k) + ']')}, 'variant') AS `__r_{n}`"
+                         for k, n in _FIELDS.items()])
+    st = st.selectExpr("*", *[f"{_kind_sql(f'`__r_{n}`')} AS `__k_{n}`" for n in _SCALARS])
+    id_, id_bad = _text_sql("id")
+    type_, type_bad = _text_sql("type")
+    source, source_bad = _text_sql("source")
+    err_msg, err_bad = _text_sql("err")
+    status_txt, status_bad0 = _text_sql("status")
+    statuses = ", ".join(lit(x) for x in STATUS_VALUES)
+    status = (f"CASE WHEN `__k_status` = 'number' THEN element_at(array({statuses}), "
+              f"try_variant_get(`__r_status`, '$', 'int') + 1) ELSE {status_txt} END")
+    status_ok = f"(`__r_status` IS NULL OR `__k_status` = 'null' OR ({status}) IN ({statuses}))"
+    ts, ts_bad = _time_sql("ts")
+    pat, pat_bad = _time_sql("pat")
+    ok = (f"coalesce(`__shaped` AND NOT ({id_bad} OR {type_bad} OR {source_bad} OR {err_bad} OR {status_bad0} "
+          f"OR {ts_bad} OR {pat_bad}) AND {status_ok}, false)")
+    new = {
+        "parse_ok": ok,
+        "id": f"CASE WHEN `__r_id` IS NULL THEN concat({lit(ID_PREFIX)}, uuid()) ELSE {id_} END",
+        "type": type_, "source": source,
+        "timestamp": f"CASE WHEN `__r_ts` IS NULL THEN current_timestamp() ELSE {ts} END",
+        "payload": "`__r_payload`", "metadata": "`__r_metadata`",
+        "status": f"CASE WHEN `__r_status` IS NULL THEN 'RECEIVED' ELSE {status} END",
+        "error_message": err_msg, "processed_at": pat, "raw": ident(value_col),
+    }
+    keep = [ident(c) for c in st.columns if c not in new and not (c.startswith("__") and c not in df.columns)]
+    return st.selectExpr(*keep, *[f"{v} AS {ident(k)}" for k, v in new.items()])
 
 
 def _epoch(ts: Column) -> Column:

@@ -27,24 +27,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.conversions import Val, conversion, needs_text
-from eventide.functions.json import (as_variant, get_path, jtrim, kind_of_schema, now_iso,
-                                     present, split_path)
+from eventide.functions.conversions import NOW_ISO_SQL, Val, as_column, conversion, needs_text
+from eventide.functions.json import jtrim, split_path, variant_path
+from eventide.functions.sqltext import ident, lit
 from eventide.model import NOW_TOKEN, UUID_TOKEN, FieldMapping, Flow
 
 EMPTY_DEST_ERROR = "Index -1 out of bounds for length 0"
 
 
-def _default_value(default: str) -> Column:
+def _default_sql(default: str) -> str:
     if default == NOW_TOKEN:
-        return as_variant(now_iso())
+        return f"CAST({NOW_ISO_SQL} AS VARIANT)"
     if default == UUID_TOKEN:
-        return as_variant(F.expr("uuid()"))
-    return as_variant(F.lit(default))
+        return "CAST(uuid() AS VARIANT)"
+    return f"CAST({lit(default)} AS VARIANT)"
 
 
 class _Step:
-    """One compiled mapping; its parts are materialised as ``__*{idx}`` columns."""
+    """One compiled mapping; its parts are materialised as ``__*{idx}`` columns.
+
+    Stage expressions are SQL text over those column names (one JVM parse
+    per stage instead of many Python ``Column`` calls).
+    """
 
     def __init__(self, idx: int, mp: FieldMapping):
         self.idx = idx
@@ -54,55 +58,74 @@ class _Step:
         self.flatten = mp.conversion == "FLATTEN"
         self.text = needs_text(mp.conversion)
         i = idx
-        self.s, self.applied, self.value = F.col(f"__s{i}"), F.col(f"__a{i}"), F.col(f"__v{i}")
-        self.kind, self.t, self.tt = F.col(f"__k{i}"), F.col(f"__t{i}"), F.col(f"__tt{i}")
-        self.schema = F.col(f"__sc{i}")
-        self.out = F.col(f"__o{i}")
-        self.err_col = F.col(f"__e{i}")
-
-    def stage_source(self, payload: Column) -> dict:
-        src = get_path(payload, self.src_parts) if self.src_parts is not None else F.lit(None).cast("variant")
-        return {f"__s{self.idx}": src}
+        self.n = {k: f"__{k}{i}" for k in ("s", "a", "v", "sc", "k", "t", "tt", "o", "e")}
+        self.q = {k: ident(v) for k, v in self.n.items()}
+        self.s, self.applied, self.value = (F.col(self.n[k]) for k in ("s", "a", "v"))
+        self.kind, self.out, self.err_col = F.col(self.n["k"]), F.col(self.n["o"]), F.col(self.n["e"])
+        self.has_err = False
+
+    def stage_source(self, payload: str) -> dict:
+        if self.src_parts is None:
+            return {self.n["s"]: "CAST(NULL AS VARIANT)"}
+        if not self.src_parts:
+            return {self.n["s"]: payload}
+        return {self.n["s"]: f"try_variant_get({payload}, {lit(variant_path(self.src_parts))}, 'variant')"}
 
     def stage_value(self) -> dict:
-        has = present(self.s)
+        s = self.q["s"]
+        has = f"({s} IS NOT NULL AND NOT is_variant_null({s}))"
         mp = self.mapping
         if mp.default_value is not None:
-            return {f"__a{self.idx}": F.lit(True),
-                    f"__v{self.idx}": F.when(has, self.s).otherwise(_default_value(mp.default_value))}
-        return {f"__a{self.idx}": has, f"__v{self.idx}": F.when(has, self.s)}
+            return {self.n["a"]: "true", self.n["v"]: f"CASE WHEN {has} THEN {s} ELSE {_default_sql(mp.default_value)} END"}
+        return {self.n["a"]: has, self.n["v"]: f"CASE WHEN {has} THEN {s} END"}
 
     def stage_schema(self) -> dict:
-        return {f"__sc{self.idx}": F.schema_of_variant(self.value)} if (self.text or self.flatten) else {}
+        return {self.n["sc"]: f"schema_of_variant({self.q['v']})"} if (self.text or self.flatten) else {}
 
     def stage_kind(self) -> dict:
-        return {f"__k{self.idx}": kind_of_schema(self.schema)} if (self.text or self.flatten) else {}
+        if not (self.text or self.flatten):
+            return {}
+        sc = self.q["sc"]
+        return {self.n["k"]: (f"CASE WHEN startswith({sc}, 'OBJECT') THEN 'object' WHEN startswith({sc}, 'ARRAY') "
+                              f"THEN 'array' WHEN {sc} = 'STRING' THEN 'string' WHEN {sc} = 'BOOLEAN' THEN 'boolean' "
+                              f"WHEN {sc} = 'VOID' THEN 'null' ELSE 'number' END")}
 
     def stage_text(self) -> dict:
         if not self.text:
             return {}
-        t = F.when(self.kind.isin("object", "array"), F.lit("")).otherwise(self.value.cast("string"))
-        return {f"__t{self.idx}": t}
+        return {self.n["t"]: f"CASE WHEN {self.q['k']} IN ('object', 'array') THEN '' ELSE CAST({self.q['v']} AS STRING) END"}
 
     def stage_trim(self) -> dict:
-        return {f"__tt{self.idx}": jtrim(self.t)} if self.text else {}
+        return {self.n["tt"]: jtrim(F.col(self.n["t"]))} if self.text else {}
 
     def stage_convert(self) -> dict:
-        sch = self.schema if (self.text or self.flatten) else None
-        out, err = conversion(self.mapping.conversion)(Val(self.value, self.kind, self.t, self.tt, sch))
+        q = self.q
+        out, err = conversion(self.mapping.conversion)(Val(q["v"], q["k"], q["t"], q["tt"], q["sc"]))
         if self.dest is not None and len(self.dest) == 0:
             # "." as destination: the reference fails the event when it writes there
-            bad = F.lit(EMPTY_DEST_ERROR)
+            bad = lit(EMPTY_DEST_ERROR)
             if self.flatten:
-                bad = F.when(self.kind != "object", bad)
-            err = bad if err is None else F.coalesce(err, bad)
-        self.has_err = err is not None
-        cols = {f"__o{self.idx}": out}
+                bad = f"CASE WHEN {q['k']} <> 'object' THEN {bad} END"
+            err = bad if err is None else F.coalesce(as_column(err), F.expr(bad))
+        cols = {self.n["o"]: out}
         if err is not None:
-            cols[f"__e{self.idx}"] = F.when(self.applied, err)
+            self.has_err = True
+            e = as_column(err)
+            cols[self.n["e"]] = F.when(F.col(self.n["a"]), e)
         return cols
 
 
+def _apply_stage(df: DataFrame, cols: dict) -> DataFrame:
+    """Add columns given as SQL text (one ``selectExpr``) or ``Column``s."""
+    text = {k: v for k, v in cols.items() if isinstance(v, str)}
+    other = {k: v for k, v in cols.items() if not isinstance(v, str)}
+    if text:
+        df = df.selectExpr("*", *[f"{v} AS {ident(k)}" for k, v in text.items()])
+    if other:
+        df = df.withColumns(other)
+    return df
+
+
 def _needs_ordered(steps: list[_Step]) -> bool:
     dests = [tuple(s.dest) for s in steps if s.dest]
     if any(s.flatten for s in steps):
@@ -115,7 +138,7 @@ def _needs_ordered(steps: list[_Step]) -> bool:
     return False
 
 
-def _static_tree(steps: list[_Step]) -> Column:
+def _static_tree(steps: list[_Step]) -> str:
     tree: dict = {}
     for s in steps:
         if not s.dest:
@@ -125,22 +148,25 @@ def _static_tree(steps: list[_Step]) -> Column:
             node = node.setdefault(p, {})
         node.setdefault(s.dest[-1], []).append(s)
 
-    def build(node: dict) -> tuple[Column, Column]:
+    def either(flags: list[str]) -> str:
+        return flags[0] if len(flags) == 1 else "(" + " OR ".join(flags) + ")"
+
+    def build(node: dict) -> tuple[str, str]:
         kvs, flags = [], []
         for key, child in node.items():
             if isinstance(child, list):
-                val = F.coalesce(*[F.when(s.applied, s.out) for s in reversed(child)])
-                flag = F.greatest(*[s.applied for s in child]) if len(child) > 1 else child[0].applied
+                parts = [f"CASE WHEN {s.q['a']} THEN {s.q['o']} END" for s in reversed(child)]
+                val = parts[0] if len(parts) == 1 else f"coalesce({', '.join(parts)})"
+                flag = either([s.q["a"] for s in child])
             else:
                 obj, flag = build(child)
-                val = F.when(flag, obj)
-            kvs += [F.lit(key), val]
+                val = f"CASE WHEN {flag} THEN {obj} END"
+            kvs += [lit(key), val]
             flags.append(flag)
         if not kvs:
-            return F.parse_json(F.lit("{}")), F.lit(False)
-        m = F.map_filter(F.create_map(*kvs), lambda k, v: v.isNotNull())
-        any_flag = flags[0] if len(flags) == 1 else F.greatest(*flags)
-        return F.to_variant_object(m), any_flag
+            return "parse_json('{}')", "false"
+        return (f"to_variant_object(map_filter(map({', '.join(kvs)}), (k, v) -> v IS NOT NULL))",
+                either(flags))
 
     root, _ = build(tree)
     return root
@@ -179,7 +205,7 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
     (Catalyst does not re-inline non-trivial expressions used more than
     once), which keeps the generated code small and each value parsed once.
     """
-    payload = F.col(payload_col)
+    payload = ident(payload_col)
     steps = [_Step(i, mp) for i, mp in enumerate(mappings) if not mp.excluded]  # MAP-3
     cur = df
     for stage in ("stage_source", "stage_value", "stage_schema", "stage_kind", "stage_text", "stage_trim",
@@ -188,12 +214,12 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
         for s in steps:
             cols.update(s.stage_source(payload) if stage == "stage_source" else getattr(s, stage)())
         if cols:
-            cur = cur.withColumns(cols)
+            cur = _apply_stage(cur, cols)
     errs = [s.err_col for s in steps if s.has_err]
     err = F.coalesce(*errs) if len(errs) > 1 else (errs[0] if errs else F.lit(None).cast("string"))
     temps = [c for c in cur.columns if c.startswith("__") and c not in df.columns]
     if not _needs_ordered(steps):
-        return cur.withColumns({out_col: _static_tree(steps), err_col: err}).drop(*temps)
+        return cur.withColumns({out_col: F.expr(_static_tree(steps)), err_col: err}).drop(*temps)
 
     # Ordered tree: fold the writes in mapping order, one projection per write.
     cur = cur.withColumns({err_col: err, out_col: F.parse_json(F.lit("{}"))})
@@ -225,16 +251,14 @@ def apply_flow(envelopes: DataFrame, flow: Flow) -> DataFrame:
     mapped = compile_mappings(envelopes, flow.mappings)
     ok = F.col("parse_ok") & F.col("map_error").isNull()
     failed = F.col("parse_ok") & F.col("map_error").isNotNull()
-    return (mapped
-            .withColumn("payload", F.when(ok, F.col("mapped")).otherwise(F.col("payload")))
-            .withColumn("status", F.when(ok, F.lit("PROCESSED"))
-                        .when(failed, F.lit("FAILED")).otherwise(F.col("status")))
-            .withColumn("error_message", F.when(failed, F.concat(F.lit(f"[{flow.name}] "), F.col("map_error")))
-                        .otherwise(F.col("error_message")))
-            .withColumn("processed_at", F.when(F.col("parse_ok"), F.current_timestamp())
-                        .otherwise(F.col("processed_at")))
-            .withColumn("flow", F.lit(flow.name))
-            .drop("mapped", "map_error"))
+    return mapped.withColumns({
+        "payload": F.when(ok, F.col("mapped")).otherwise(F.col("payload")),
+        "status": F.when(ok, F.lit("PROCESSED")).when(failed, F.lit("FAILED")).otherwise(F.col("status")),
+        "error_message": F.when(failed, F.concat(F.lit(f"[{flow.name}] "), F.col("map_error")))
+        .otherwise(F.col("error_message")),
+        "processed_at": F.when(F.col("parse_ok"), F.current_timestamp()).otherwise(F.col("processed_at")),
+        "flow": F.lit(flow.name),
+    }).drop("mapped", "map_error")
 
 
 def preview(payloads: DataFrame, mappings: Sequence[FieldMapping], payload_col: str = "payload") -> DataFrame:

@@ -3,13 +3,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from eventide.functions.conversions import convert_value
+from eventide.functions.conversions import convert_column
 
 
 def run(spark, raw, conv):
     df = spark.createDataFrame([(raw,)], "p string").select(F.parse_json("p").alias("v"))
-    out, err = convert_value(F.col("v"), conv)
-    r = df.select(F.to_json(out).alias("o"), (err if err is not None else F.lit(None)).alias("e")).first()
+    r = convert_column(df, "v", conv).select(F.to_json("converted").alias("o"), F.col("convert_error").alias("e")).first()
     return (json.loads(r["o"]) if r["o"] is not None else None), r["e"]
 
 
@@ -66,6 +65,6 @@ def test_timestamp_without_offset_is_now(spark):
     assert err is None and out != "2024-01-01T10:00:00" and out.endswith("Z")
 
 
-def test_unknown_conversion():
+def test_unknown_conversion(spark):
     with pytest.raises(ValueError):
-        convert_value(F.col("x"), "TO_FOO")
+        convert_column(spark.range(1).select(F.parse_json(F.lit("1")).alias("x")), "x", "TO_FOO")
