@@ -299,3 +299,27 @@ def envelope_parse(spark, sf):
     return env.select(F.col("key").alias("id"), "parse_ok",
                       F.when(F.col("parse_ok"), F.col("status")).alias("status"),
                       F.when(F.col("parse_ok"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).alias("ts"))
+
+
+SAMPLE = f"""(SELECT * FROM (SELECT *, row_number() OVER (ORDER BY part, o_orderkey) AS k FROM
+  (SELECT *, o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey DESC) AS rn
+   FROM {ORD}) WHERE rn <= 10) WHERE k <= 10)"""
+
+
+@query("map_preview",
+       f"SELECT o_orderkey AS order_id, lower(o_orderstatus) AS status, {MASKED_NAME} AS customer_name, "
+       f"CASE WHEN o_orderstatus = 'P' THEN '[orders-clean] For input string: \"pending\"' END AS map_error "
+       f"FROM {SAMPLE}")
+def map_preview(spark, sf):
+    """MAP-11: a definition's mappings over the topic's tail sample, nothing published."""
+    from eventide.functions.json import unwrap_payload
+    from eventide.operators.mapping import preview
+    from eventide.sources.topics import tail_sample
+    s = tail_sample(order_records(spark, sf), 10)
+    p = s.select(unwrap_payload(F.parse_json("value")).alias("payload"))
+    out = preview(p, ORDERS_CLEAN.mappings)
+    return out.select(vget("mapped", "$.order.id", "bigint").alias("order_id"),
+                      vget("mapped", "$.order.status", "string").alias("status"),
+                      vget("mapped", "$.customer.name", "string").alias("customer_name"),
+                      F.when(F.col("map_error").isNotNull(),
+                             F.concat(F.lit(f"[{ORDERS_CLEAN.name}] "), F.col("map_error"))).alias("map_error"))

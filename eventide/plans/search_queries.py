@@ -110,3 +110,12 @@ def counts_by_status(spark, sf):
 def trailing_window_counts(spark, sf):
     ev = S.trailing_window(stored_events(spark, sf), "2024-01-15 12:00:00", 720)
     return S.count_by(ev, "type", "source")
+
+
+@query("search_keyset_page", f"SELECT {ROW} FROM {SE} WHERE type = 'view' AND (received_at < "
+       "TIMESTAMP '2024-01-20 00:00:00' OR (received_at = TIMESTAMP '2024-01-20 00:00:00' AND id > 'evt_0')) "
+       "ORDER BY received_at DESC, id LIMIT 50")
+def search_keyset_page(spark, sf):
+    """TOP-4 keyset form: the page after a given (received_at, id), a pushed-down filter."""
+    ev = S.search(stored_events(spark, sf), type="view")
+    return _rows(S.page_after(ev, "2024-01-20 00:00:00", "evt_0", 50))
