@@ -119,9 +119,9 @@ def build_envelopes(requests: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
         F.lit(None).cast("timestamp").alias("processed_at"))
 
 
-def to_table_rows(envelopes: DataFrame) -> DataFrame:
-    """ENV-5: envelope -> ``stored_events`` row."""
-    return envelopes.select(
+def to_table_rows(envelopes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """ENV-5: envelope -> ``stored_events`` row (plus ``keep`` columns)."""
+    return envelopes.select(*keep,
         "id", "type", "source",
         F.to_json(F.col("payload")).alias("payload"),
         F.when(F.col("metadata").isNotNull(), F.to_json(F.col("metadata"))).alias("metadata"),

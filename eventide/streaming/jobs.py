@@ -44,14 +44,14 @@ def transform_stream(spark: SparkSession, records: DataFrame, flows: Sequence[Fl
         out = fan_out(batch, flows)
         out.write.mode("overwrite").parquet(f"{outbox_path}/batch={batch_id}")
         env = ENV.parse_envelopes(batch).filter("parse_ok")
-        rows = ENV.to_table_rows(env).withColumn("__ord", F.col("stored_at"))
+        arrival = [c for c in ("partition", "offset") if c in env.columns]  # first copy wins
+        rows = ENV.to_table_rows(env, keep=tuple(arrival)).withColumn("received_date", F.to_date("received_at"))
         existing = _read_table(spark, table_path)
         if existing is not None:
             existing = existing.filter(F.col("batch") != batch_id)
-        new = STO.land(rows.drop("__ord").withColumn("__o", F.lit(0)),
-                       existing, [F.col("__o")]).drop("__o")
-        (new.withColumn("received_date", F.to_date("received_at"))
-         .write.mode("overwrite").partitionBy("received_date").parquet(f"{table_path}/batch={batch_id}"))
+        order = [F.col(c) for c in arrival] or [F.lit(0)]
+        new = STO.land(rows, existing, order, partition_col="received_date").drop(*arrival)
+        new.write.mode("overwrite").partitionBy("received_date").parquet(f"{table_path}/batch={batch_id}")
         batch.unpersist()
 
     w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
