@@ -109,6 +109,9 @@ def _levels(df: DataFrame, payload_col: str, keep: list[str], depth: int | None)
     else:
         check = False
     ckpt = depth > CHAIN_LIMIT
+    if ckpt:
+        from eventide.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)  # the cluster's shared folder (a local one only when unset)
     cur = _level0(df, payload_col, keep)
     if ckpt:
         cur = cur.checkpoint()
