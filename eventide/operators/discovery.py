@@ -145,6 +145,10 @@ def event_paths(df: DataFrame, payload_col: str = "payload", keep: list[str] | N
     return rec.select(*keep, "path", type_name(F.col("value")).alias("field_type"))
 
 
+# The type names of DISC-2, in code order for aggregation.
+TYPE_NAMES = ("string", "integer", "long", "double", "boolean", "array", "object", "null", "unknown")
+
+
 def discover(df: DataFrame, payload_col: str = "payload", seq_col: str = "seq",
              depth: int | None = None, group_cols: tuple[str, ...] = ()) -> DataFrame:
     """DISC-3 / AGG-11: (path, type, occurrences) over many payloads.
@@ -152,13 +156,19 @@ def discover(df: DataFrame, payload_col: str = "payload", seq_col: str = "seq",
     ``occurrences`` counts events containing the path; ``type`` is the type
     in the earliest event by ``seq`` (first seen wins). A path repeated in one
     event (a key containing ``.``) counts once, keeping its last type.
+    Type names are aggregated as small integer codes so both aggregations
+    stay hash-based (fixed-width buffers) with map-side partial aggregation.
     """
     keep = [*group_cols, seq_col]
-    rec = event_paths(df, payload_col, keep, depth).withColumn("__o", F.monotonically_increasing_id())
-    per_event = rec.groupBy(*keep, "path").agg(F.max_by("field_type", "__o").alias("field_type"))
-    return per_event.groupBy(*group_cols, "path").agg(
-        F.min_by("field_type", F.col(seq_col)).alias("type"),
+    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
+    rec = (event_paths(df, payload_col, keep, depth)
+           .withColumn("__t", F.array_position(names, F.col("field_type")).cast("int"))
+           .withColumn("__o", F.monotonically_increasing_id()))
+    per_event = rec.groupBy(*keep, "path").agg(F.max_by("__t", "__o").alias("__t"))
+    out = per_event.groupBy(*group_cols, "path").agg(
+        F.min_by("__t", F.col(seq_col)).alias("__t"),
         F.count(F.lit(1)).alias("occurrences"))
+    return out.select(*group_cols, "path", F.element_at(names, F.col("__t")).alias("type"), "occurrences")
 
 
 def field_sets(df: DataFrame, group_cols: list[str], payload_col: str = "payload",

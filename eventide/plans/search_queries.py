@@ -119,3 +119,18 @@ def search_keyset_page(spark, sf):
     """TOP-4 keyset form: the page after a given (received_at, id), a pushed-down filter."""
     ev = S.search(stored_events(spark, sf), type="view")
     return _rows(S.page_after(ev, "2024-01-20 00:00:00", "evt_0", 50))
+
+
+@query("document_stats", "SELECT count(*) AS total_events, count(DISTINCT lang) AS types, "
+       "count(DISTINCT source) AS sources FROM documents")
+def document_stats(spark, sf):
+    """AGG-4 over a second event source (documents: type = lang)."""
+    from eventide.sources.adapters import document_events
+    return S.stats(document_events(spark, sf))
+
+
+@query("document_counts", "SELECT lang AS type, source, count(*) AS event_count FROM documents GROUP BY lang, source")
+def document_counts(spark, sf):
+    """AGG-6 over documents; the whole text is carried in the payload but pruned here."""
+    from eventide.sources.adapters import document_events
+    return S.count_by(document_events(spark, sf), "type", "source")

@@ -44,7 +44,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "eventide") -> SparkSession:
+                app_name: str = "eventide", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
     On a cluster, ``master`` and the checkpoint directory come from the
@@ -58,6 +58,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # local mode runs every task in the driver JVM: its heap is the executor memory
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
