@@ -33,10 +33,7 @@ def schema_checks(samples: DataFrame) -> DataFrame:
     """Per (type, check): field set, hash, sample count, and the comparison
     with the previous check: ``outcome`` FIRST / SAME / DRIFT."""
     parsed = samples.withColumn("payload", F.try_parse_json("payload"))  # FLT-10: non-JSON skipped
-    counts = samples.groupBy("type", "check_at").agg(F.count(F.lit(1)).alias("sample_count"))
-    fields = field_sets(parsed, ["type", "check_at"])
-    cur = counts.join(fields, ["type", "check_at"], "left").withColumn(
-        "field_names", F.coalesce("field_names", F.array().cast("array<string>")))
+    cur = field_sets(parsed, ["type", "check_at"], count_col="sample_count")
     cur = cur.withColumn("schema_hash", schema_hash(F.col("field_names")))
     w = Window.partitionBy("type").orderBy("check_at")
     cur = cur.withColumns({"prev_hash": F.lag("schema_hash").over(w),
@@ -69,8 +66,6 @@ def snapshots(checks: DataFrame) -> DataFrame:
     ``sample_count`` is the one from the first insert, refreshed by "touch"
     checks (same hash as the previous check), as the reference does.
     """
-    w = Window.partitionBy("type", "schema_hash")
-    touch = F.when(F.col("outcome") != "DRIFT", F.col("check_at"))
     last_sample = F.max_by("sample_count", F.struct(F.col("outcome") == "SAME", F.col("check_at")))
     return checks.groupBy(F.col("type").alias("event_type"), "schema_hash").agg(
         F.first("field_names").alias("field_names"),

@@ -172,11 +172,19 @@ def discover(df: DataFrame, payload_col: str = "payload", seq_col: str = "seq",
 
 
 def field_sets(df: DataFrame, group_cols: list[str], payload_col: str = "payload",
-               depth: int | None = None) -> DataFrame:
+               depth: int | None = None, count_col: str | None = None) -> DataFrame:
     """AGG-10: sorted set of field paths per group (names only).
 
     ``collect_set`` holds distinct names, bounded by the schema width, not by
-    the number of rows; it is partially aggregated before the shuffle.
+    the number of rows; it is partially aggregated before the shuffle. With
+    ``count_col`` every input row also contributes a marker record, so the
+    same single aggregation yields the per-group row count (AGG-15) and
+    groups whose payloads have no fields still appear (with ``[]``).
     """
-    rec = _levels(df.select(*group_cols, payload_col), payload_col, list(group_cols), depth)
-    return rec.groupBy(*group_cols).agg(F.array_sort(F.collect_set("path")).alias("field_names"))
+    src = df.select(*group_cols, payload_col)
+    rec = _levels(src, payload_col, list(group_cols), depth).select(*group_cols, "path")
+    aggs = [F.array_sort(F.collect_set("path")).alias("field_names")]
+    if count_col:
+        rec = rec.unionByName(src.select(*group_cols, F.lit(None).cast("string").alias("path")))
+        aggs.append(F.count_if(F.col("path").isNull()).alias(count_col))
+    return rec.groupBy(*group_cols).agg(*aggs)
