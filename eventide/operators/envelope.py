@@ -144,7 +144,8 @@ def parse_requests(df: DataFrame, value_col: str = "value") -> DataFrame:
     s = F.when(kind(s_raw) != "null", as_text(s_raw))
     violations = F.array_compact(F.array(
         F.when(_blank(t), F.lit("type")), F.when(_blank(s), F.lit("source")),
-        F.when(p_raw.isNull() | F.is_variant_null(p_raw), F.lit("payload"))))
+        # only an absent payload violates: a JSON null is a (null) JSON node
+        F.when(p_raw.isNull(), F.lit("payload"))))
     malformed = v.isNull()
     return df.withColumns({
         "type": t, "source": s, "payload": p_raw,
