@@ -25,10 +25,13 @@ def spread(df: DataFrame) -> DataFrame:
     over that many; a large input (thousands of file splits) is left as is,
     so no shuffle is added at scale.
     """
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    try:
+        spark = df.sparkSession
+        slots = spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # noqa: BLE001 - no plan statistics available (e.g. a remote session)
+        return df
     if size // max(split, 1) + 1 < slots:
         return df.repartition(slots)
     return df
