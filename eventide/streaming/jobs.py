@@ -23,6 +23,14 @@ from eventide.operators.detect import statistical as ST
 from eventide.operators.routing import fan_out
 
 
+def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
+    """The job's checkpoint: given, else under the shared ``spark.checkpoint.dir``."""
+    if checkpoint:
+        return checkpoint
+    from eventide.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
 def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -31,7 +39,7 @@ def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def transform_stream(spark: SparkSession, records: DataFrame, flows: Sequence[Flow], outbox_path: str,
-                     table_path: str, checkpoint: str, trigger: dict | None = None):
+                     table_path: str, checkpoint: str | None = None, trigger: dict | None = None):
     """STR-6 (+ SNK-2/3/4, STR-2): continuous transform and landing.
 
     Per micro-batch: map every runnable flow (RT-5), write the outbox
@@ -54,7 +62,8 @@ def transform_stream(spark: SparkSession, records: DataFrame, flows: Sequence[Fl
         new.write.mode("overwrite").partitionBy("received_date").parquet(f"{table_path}/batch={batch_id}")
         batch.unpersist()
 
-    w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = records.writeStream.foreachBatch(per_batch).option(
+        "checkpointLocation", _checkpoint(spark, checkpoint, "transform"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -65,7 +74,8 @@ def dedup_stream(events: DataFrame, watermark: str = "10 minutes", ts_col: str =
 
 
 def volume_stream(spark: SparkSession, events: DataFrame, baselines_path: str, alerts_path: str,
-                  checkpoint: str, window_minutes: int = 5, trigger: dict | None = None, **thresholds):
+                  checkpoint: str | None = None, window_minutes: int = 5, trigger: dict | None = None,
+                  **thresholds):
     """STR-4/STR-7: the live volume detector, one check per micro-batch.
 
     The check time is the batch's latest event time; history is the baseline
@@ -82,11 +92,12 @@ def volume_stream(spark: SparkSession, events: DataFrame, baselines_path: str, a
         base.write.mode("overwrite").parquet(f"{baselines_path}/batch={batch_id}")
         alerts.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
 
-    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = events.writeStream.foreachBatch(per_batch).option(
+        "checkpointLocation", _checkpoint(spark, checkpoint, "volume"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def drift_stream(spark: SparkSession, events: DataFrame, checks_path: str, checkpoint: str,
+def drift_stream(spark: SparkSession, events: DataFrame, checks_path: str, checkpoint: str | None = None,
                  sample: int = 20, trigger: dict | None = None):
     """STR-5: schema snapshot per type, compared with the previous check.
 
@@ -117,5 +128,6 @@ def drift_stream(spark: SparkSession, events: DataFrame, checks_path: str, check
                 "removed": F.when(outcome == "DRIFT", F.array_sort(F.array_except("prev_fields", "field_names")))})
         checks.write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
 
-    w = events.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = events.writeStream.foreachBatch(per_batch).option(
+        "checkpointLocation", _checkpoint(spark, checkpoint, "drift"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
