@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.json import as_text, jtrim, kind
+from eventide.functions.json import as_text, kind
 from eventide.functions.sqltext import ident, lit
 from eventide.model import ENVELOPE_KEYS, ID_PREFIX, MAX_BATCH, STATUS_VALUES
 
@@ -17,10 +17,6 @@ def new_id() -> Column:
     return F.concat(F.lit(ID_PREFIX), F.expr("uuid()"))
 
 
-def _member(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, f"$['{key}']", "variant")
-
-
 _FIELDS = {"id": "id", "type": "type", "source": "source", "timestamp": "ts", "payload": "payload",
            "metadata": "metadata", "status": "status", "errorMessage": "err", "processedAt": "pat"}
 _SCALARS = ("id", "type", "source", "ts", "status", "err", "pat")
@@ -170,7 +166,3 @@ def check_batch_size(df: DataFrame, batch_col: str = "batch_id", max_batch: int
         "batch_error": F.when(F.col("batch_size") > max_batch, F.format_string(
             "Batch size %d exceeds maximum of %d", F.col("batch_size"), F.lit(max_batch))),
     })
-
-
-def trim_text(c: Column) -> Column:
-    return jtrim(c)

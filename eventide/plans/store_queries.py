@@ -25,12 +25,6 @@ def _topic_copies(spark, sf):
                                        F.col("source_offset").alias("offset"))))
 
 
-def _as_rows(copies):
-    env = ENV.parse_envelopes(copies).filter("parse_ok")  # undeserialisable: skipped
-    return ENV.to_table_rows(env).join(
-        env.select("id", "arrival", "offset"), "id").dropDuplicates(["id", "arrival", "offset"])
-
-
 @query("land_first_wins",
        f"SELECT 'evt_ord_' || CAST(o_orderkey AS VARCHAR) AS id, 'RECEIVED' AS status FROM {ORD} "
        "WHERE o_orderpriority <> '5-LOW'")

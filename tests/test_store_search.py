@@ -63,3 +63,13 @@ def test_upsert(spark):
     kept = {(r[0], r[1]): (r[2], r[3]) for r in
             STO.upsert(old, upd, ["event_type", "schema_hash"], keep_on_conflict=["n"]).collect()}
     assert kept[("t", "h1")] == (5, 3) and kept[("u", "h3")] == (1, 3)
+
+
+def test_latest_one_and_parseable(spark):
+    from eventide.operators.sampling import latest_one
+    snaps = spark.createDataFrame([("t", "h1", 1), ("t", "h2", 3), ("u", "h3", 2)],
+                                  "event_type string, schema_hash string, last_seen int")
+    got = {r["event_type"]: r["schema_hash"] for r in latest_one(snaps, ["event_type"], "last_seen").collect()}
+    assert got == {"t": "h2", "u": "h3"}
+    rows = spark.createDataFrame([('{"a":1}',), ("nope",)], "payload string")
+    assert S.parseable(rows).count() == 1
