@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.model import Flow
+from eventide.model import RAW_TOPIC, Flow
 from eventide.operators.envelope import parse_envelopes, serialize
 from eventide.operators.mapping import apply_flow
 
@@ -76,3 +76,15 @@ def fan_out(records: DataFrame, flows: Sequence[Flow], topic_col: str = "topic",
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def publish(envelopes: DataFrame, topic: str = RAW_TOPIC) -> DataFrame:
+    """SNK-1: new envelopes as outbox rows keyed by event id on the raw topic.
+
+    Persist the envelopes first when they are written more than once: ids and
+    times are generated (``uuid()``, ``current_timestamp()``) per evaluation.
+    """
+    out = serialize(envelopes, "__envelope")
+    return out.select(F.lit(topic).alias("topic"), F.col("id").alias("key"),
+                      F.col("__envelope").alias("value"), F.lit(True).alias("ok"),
+                      F.lit(None).cast("string").alias("flow"))

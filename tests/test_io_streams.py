@@ -66,3 +66,22 @@ def test_drift_stream(spark):
     checks = spark.read.parquet(os.path.join(base, "checks")).orderBy("batch").collect()
     assert [c["outcome"] for c in checks] == ["FIRST", "SAME", "DRIFT", "DRIFT"]
     assert checks[2]["added"] == ["b"] and checks[3]["removed"] == ["b"]
+
+
+def test_publish_and_pattern_read(spark):
+    from eventide.operators.envelope import build_envelopes
+    from eventide.operators.routing import publish
+    from eventide.sources.topics import TOPIC_SCHEMA, list_topics, read_topic
+    base = tempfile.mkdtemp(prefix="eventide-pub-")
+    reqs = parse_requests(spark.createDataFrame(
+        [(json.dumps({"type": "t", "source": "s", "payload": {"x": i}}),) for i in range(3)], "value string"))
+    out = publish(build_envelopes(reqs.filter("valid"))).persist()
+    rows = out.collect()
+    assert {r["topic"] for r in rows} == {"events.raw"}
+    assert all(json.loads(r["value"])["id"] == r["key"] and json.loads(r["value"])["status"] == "RECEIVED"
+               for r in rows)
+    recs = spark.createDataFrame([("k1", "{}", "events.raw", 0, 1), ("k2", "{}", "orders.raw", 0, 1),
+                                  ("k3", "{}", "__consumer_offsets", 0, 1)], TOPIC_SCHEMA)
+    recs.write.parquet(os.path.join(base, "topics"))
+    assert read_topic(spark, pattern=r"^[a-z]+\.raw$", path=os.path.join(base, "topics")).count() == 2
+    assert [r[0] for r in list_topics(recs).collect()] == ["events.raw", "orders.raw"]
