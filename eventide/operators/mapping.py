@@ -172,29 +172,30 @@ def _static_tree(steps: list[_Step]) -> str:
     return root
 
 
+_EMPTY = "map<string,variant>"
+
+
 def _obj_map(v: Column) -> Column:
     """Members of an object as map<string,variant>; empty for anything else."""
-    return F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"),
-                      F.create_map().cast("map<string,variant>"))
+    return F.coalesce(F.try_variant_get(v, "$", _EMPTY), F.create_map().cast(_EMPTY))
 
 
-def _set_path(cur: Column, parts: list[str], val: Column) -> Column:
-    """setField: create/replace objects along the path, then set the leaf."""
+def _set_path(m: Column, parts: list[str], val: Column) -> Column:
+    """setField on an object held as a map: create/replace objects along the
+    path (a non-object in the way becomes a new object), then set the leaf."""
     head, rest = parts[0], parts[1:]
     if rest:
-        child = F.try_variant_get(cur, "$", "map<string,variant>")[head]
-        val = _set_path(child, rest, val)
-    return F.to_variant_object(F.map_concat(_obj_map(cur), F.create_map(F.lit(head), val)))
+        val = F.to_variant_object(_set_path(_obj_map(m[head]), rest, val))
+    return F.map_concat(m, F.create_map(F.lit(head), val))
 
 
-def _flatten_into(cur: Column, parts: list[str], obj: Column) -> Column:
+def _flatten_into(m: Column, parts: list[str], obj: Column) -> Column:
     """FLATTEN of an object: copy its members under ``parts`` (root when empty)."""
     if not parts:
-        return F.to_variant_object(F.map_concat(_obj_map(cur), _obj_map(obj)))
+        return F.map_concat(m, _obj_map(obj))
     head, rest = parts[0], parts[1:]
-    child = F.try_variant_get(cur, "$", "map<string,variant>")[head]
-    merged = _flatten_into(child, rest, obj)
-    return F.to_variant_object(F.map_concat(_obj_map(cur), F.create_map(F.lit(head), merged)))
+    merged = F.to_variant_object(_flatten_into(_obj_map(m[head]), rest, obj))
+    return F.map_concat(m, F.create_map(F.lit(head), merged))
 
 
 def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_col: str = "payload",
@@ -221,8 +222,10 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
     if not _needs_ordered(steps):
         return cur.withColumns({out_col: F.expr(_static_tree(steps)), err_col: err}).drop(*temps)
 
-    # Ordered tree: fold the writes in mapping order, one projection per write.
-    cur = cur.withColumns({err_col: err, out_col: F.parse_json(F.lit("{}"))})
+    # Ordered tree: fold the writes in mapping order, one projection per write;
+    # the root object is carried as a map<string,variant> and turned into a
+    # VARIANT object once at the end.
+    cur = cur.withColumns({err_col: err, out_col: F.create_map().cast(_EMPTY)})
     for s in steps:
         a = s.applied
         v = s.value if s.flatten else s.out
@@ -237,7 +240,7 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
         else:
             nxt = F.when(a, _set_path(o, s.dest, v)).otherwise(o)
         cur = cur.withColumn(out_col, nxt)
-    return cur.drop(*temps)
+    return cur.withColumn(out_col, F.to_variant_object(F.col(out_col))).drop(*temps)
 
 
 def apply_flow(envelopes: DataFrame, flow: Flow) -> DataFrame:
