@@ -350,3 +350,33 @@ def volume_live_check(spark, sf):
     base, _ = ST.live_check(ev, hist, LIVE_AS_OF, window_minutes=1440)
     return base.select("event_type", "event_source", "event_count", F.round("avg_count", 4).alias("avg_count"),
                        F.round("stddev_count", 4).alias("stddev_count"))
+
+
+@query("baseline_upsert", f"""
+WITH old AS (SELECT event_type, {SRC} AS event_source, floor(epoch(ts) / 86400) AS d,
+               count(*) FILTER (WHERE value > 100) AS event_count FROM events
+             WHERE ts < TIMESTAMP '2024-01-21 00:00:00' GROUP BY 1, 2, 3),
+new AS (SELECT event_type, {SRC} AS event_source, floor(epoch(ts) / 86400) AS d, count(*) AS event_count
+        FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1, 2, 3)
+SELECT event_type, event_source, strftime(to_timestamp(d * 86400) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start,
+  event_count FROM new
+UNION ALL SELECT event_type, event_source, strftime(to_timestamp(d * 86400) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S'),
+  event_count FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.event_type = old.event_type
+  AND new.event_source = old.event_source AND new.d = old.d)""")
+def baseline_upsert(spark, sf):
+    """SNK-5: keyed upsert of baseline rows on (type, source, window_start):
+    an older table image (counts of large-value events up to day 20) updated
+    by fresh counts from day 15 on; conflicting keys take the new row."""
+    from eventide.operators.store import upsert
+    from eventide.sources.adapters import table
+    e = table(spark, sf, "events").filter(F.col("ts") < F.lit("2024-01-21 00:00:00").cast("timestamp_ntz"))
+    w = F.window(F.col("ts").cast("timestamp"), "1 day")
+    old = (e.groupBy(F.col("event_type"), F.concat(F.lit("src-"), (F.col("user_id") % 5).cast("string"))
+                     .alias("event_source"), w.alias("w"))
+           .agg(F.count_if(F.col("value") > 100).alias("event_count"))
+           .select("event_type", "event_source", F.col("w.start").alias("window_start"),
+                   F.col("w.end").alias("window_end"), "event_count"))
+    fresh = stored_events(spark, sf).filter(F.col("received_at") >= F.lit("2024-01-15 00:00:00").cast("timestamp"))
+    new = ST.window_counts(fresh, "1 day")
+    img = upsert(old, new, ["event_type", "event_source", "window_start"])
+    return img.select("event_type", "event_source", fmt("window_start").alias("window_start"), "event_count")
