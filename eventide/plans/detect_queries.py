@@ -72,7 +72,7 @@ def discover_topic_sample(spark, sf):
 
 
 @query("tail_sample",
-       "SELECT part AS partition, o_orderkey AS \"offset\" FROM (SELECT *, row_number() OVER (ORDER BY part, o_orderkey) AS k "
+       "SELECT CAST(part AS INTEGER) AS partition, o_orderkey AS \"offset\" FROM (SELECT *, row_number() OVER (ORDER BY part, o_orderkey) AS k "
        f"FROM (SELECT *, o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey DESC) "
        f"AS rn FROM {ORD}) WHERE rn <= 5) WHERE k <= 5")
 def tail_sample_q(spark, sf):
@@ -251,7 +251,7 @@ r AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(label AS VARCHAR) AS type,
 """
 
 
-@query("centroids", EMB_SQL + "SELECT CAST(label AS VARCHAR) AS type, pos - 1 AS dim, round(cv, 4) AS value FROM c")
+@query("centroids", EMB_SQL + "SELECT CAST(label AS VARCHAR) AS type, CAST(pos - 1 AS INTEGER) AS dim, round(cv, 4) AS value FROM c")
 def centroids_q(spark, sf):
     from eventide.functions.vectors import centroids
     s = latest_n(event_vectors(spark, sf), ["type"], [F.col("seq").desc()], 20)
