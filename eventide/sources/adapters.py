@@ -16,14 +16,17 @@ ORDER_SOURCE = "orders-db"
 ORDER_ID_PREFIX = "evt_ord_"
 
 
+SPREAD_MAX_BYTES = 1 << 30  # a shuffle of less than 1 GiB is cheap next to the JSON work
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on small inputs.
 
     A scan of a few small files yields fewer partitions than task slots, and
-    the per-row JSON work then runs on a handful of cores. When the scan has
-    fewer partitions than the default parallelism it is spread round-robin
-    over that many; a large input (thousands of file splits) is left as is,
-    so no shuffle is added at scale.
+    the per-row JSON work then runs on a handful of cores. When the scan is
+    small (under ``SPREAD_MAX_BYTES``) and has fewer splits than the default
+    parallelism, it is spread round-robin over that many; anything larger is
+    left as the file splits make it, so no shuffle of big inputs is added.
     """
     try:
         spark = df.sparkSession
@@ -32,7 +35,7 @@ def spread(df: DataFrame) -> DataFrame:
         split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     except Exception:  # noqa: BLE001 - no plan statistics available (e.g. a remote session)
         return df
-    if size // max(split, 1) + 1 < slots:
+    if size < SPREAD_MAX_BYTES and size // max(split, 1) + 1 < slots:
         return df.repartition(slots)
     return df
 
