@@ -35,7 +35,7 @@ def dedup_first(events: DataFrame, order: Sequence[Column], key: str = "id") ->
     return first_per_key(events, [key], order)
 
 
-PRUNE_LIMIT = 1000
+PRUNE_LIMIT = 1000  # more distinct partition values than this: no static pruning
 
 
 def new_rows(batch: DataFrame, existing: DataFrame | None, key: str = "id",
@@ -44,8 +44,8 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, key: str = "id",
 
     With ``partition_col`` (the table's date partition, which every copy of
     an event shares because copies keep the event time) the anti-join also
-    matches on it, so dynamic partition pruning reads only the partitions the
-    batch touches instead of every stored id.
+    matches on it, and the table scan is pruned to the partitions the batch
+    touches instead of reading every stored id.
     """
     if existing is None:
         return batch
