@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import secrets, simhash, weighted
+from eventide.llm import decontaminate, langid, pieces, secrets, simhash, tokenfile, weighted
 from eventide.llm.common import read_table
+from eventide.session import checkpoint_dir
+
+#: Public tokenizer files (their folder can be set in the environment).
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +38,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.with_edits(read_table(spark, sf_dir, "documents"))
 
 
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents, with BM25 score and question and answer overlap."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns and the Markov ratio."""
@@ -44,3 +59,27 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    found = langid.identify(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as directly addressable codes and read back."""
+    path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    tokenfile.write(read_table(spark, sf_dir, "documents"), path, BYTE_BPE, END_ID)
+    return tokenfile.read(spark, path)
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text they decode to."""
+    tokens = pieces.encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES)
+    back = pieces.decoded(tokens, PIECES)
+    return back.select("doc_id", "n_tokens", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
