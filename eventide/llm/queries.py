@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, langid, pieces, secrets, simhash, tokenfile, weighted
+from eventide.llm import decontaminate, langid, pieces, repeats, secrets, simhash, tokenfile, weighted
 from eventide.llm.common import read_table
 from eventide.session import checkpoint_dir
 
@@ -83,3 +83,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = pieces.decoded(tokens, PIECES)
     return back.select("doc_id", "n_tokens", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+@query("op8_substring_dedup", repeats.ORACLE)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document left after all repeated 35-word windows are removed."""
+    out = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
