@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, langid, pieces, repeats, secrets, simhash, tokenfile, weighted
+from eventide.llm import decontaminate, kneser, langid, pieces, repeats, secrets, simhash, tokenfile, warc, weighted
 from eventide.llm.common import read_table
 from eventide.session import checkpoint_dir
 
@@ -38,6 +38,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.with_edits(read_table(spark, sf_dir, "documents"))
 
 
+@query("op2_revisits", warc.ORACLE)
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified captures of the pages, resolved against the latest earlier full response."""
+    found = warc.resolve(warc.page_captures(read_table(spark, sf_dir, "pages")))
+    return found.select("record_id", "url_key", "response_id", "outcome", warc.header_text("headers").alias("headers"))
+
+
 @query("op3_decontamination")
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents, with BM25 score and question and answer overlap."""
@@ -90,3 +97,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document left after all repeated 35-word windows are removed."""
     out = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kneser-Ney and base log-probabilities of every document."""
+    left = langid.remainder("doc_id", 5)
+    return kneser.score(read_table(spark, sf_dir, "documents"), left != 1, left == 1)

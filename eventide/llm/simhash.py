@@ -210,5 +210,4 @@ def keep_first(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest, one row each."""
     kept = near_duplicates(docs, **params).where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return one_row_per_id(rows)
+    return one_row_per_id(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
