@@ -94,16 +94,16 @@ def _table(parts: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.n
 
 
 def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row of each id; a null id counts as one id.
+    """One row of each id, and all rows without one.
 
     Where no id repeats (seen from the id column alone) the rows are left as
     they are, without a shuffle; otherwise only rows of repeated ids go
     through ``dropDuplicates``.
     """
-    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1").select("__id")
+    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1 and __id is not null").select("__id")
     if many.isEmpty():
         return docs
-    same = docs[id_col].eqNullSafe(many["__id"])
+    same = docs[id_col] == many["__id"]
     return docs.join(many, same, "left_anti").unionByName(docs.join(many, same, "left_semi").dropDuplicates([id_col]))
 
 
@@ -154,7 +154,7 @@ def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     ``dropDuplicates``; the others pass through an anti-join against them.
     A null id counts as one id.
     """
-    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1").select("__id")
+    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1 and __id is not null").select("__id")
     once = docs.join(many, docs[id_col].eqNullSafe(many["__id"]), "left_anti")
     rest = docs.join(many, docs[id_col].eqNullSafe(many["__id"]), "left_semi").dropDuplicates([id_col])
     return once.unionByName(rest)

@@ -207,7 +207,6 @@ def hex_fingerprint(fp: str) -> Column:
 
 
 def keep_first(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, one row each."""
-    kept = near_duplicates(docs, **params).where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.col("doc_id").alias("__kept")).distinct()
-    return one_row_per_id(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    """The rows of ``docs`` whose doc_id is its component's smallest, one row each; rows without an id stay."""
+    more = near_duplicates(docs, **params).where("doc_id <> component_id").select(F.col("doc_id").alias("__more")).distinct()
+    return one_row_per_id(docs).join(more, F.col("doc_id") == F.col("__more"), "left_anti")
