@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ SPACE = "▁"
 BYTE_COST = 10.0
 LONG_WORD = 48
 #: Segmented words that a worker remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -206,17 +207,17 @@ def segment(p: Pieces, words: list[str], cells: int = 1 << 20) -> dict[str, byte
     return out
 
 
-def encode_batch(p: Pieces, texts: list[str | None], cache: dict[str, bytes]) -> list[bytes]:
+def encode_batch(p: Pieces, texts: list[str | None], known: dict[str, bytes]) -> list[bytes]:
     """Ids of each text as little-endian 32-bit bytes."""
     cut = [_WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-    new = {w for ws in cut for w in ws if w not in cache}
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
+    new = {w for ws in cut for w in ws if w not in known}
+    if len(known) + len(new) > CACHE_WORDS:
+        known.clear()
         new = {w for ws in cut for w in ws}
-    cache.update(segment(p, list(new)))
-    out = [b"".join(map(cache.__getitem__, ws)) for ws in cut]
+    known.update(segment(p, list(new)))
+    out = [b"".join(map(known.__getitem__, ws)) for ws in cut]
     for w in [w for w in new if len(w) > LONG_WORD]:
-        del cache[w]
+        del known[w]
     return out
 
 
@@ -226,6 +227,12 @@ def decode(p: Pieces, ids: np.ndarray) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
+@cache
+def _remembered(model_path: str) -> dict[str, bytes]:
+    """Segmented words of this worker, over all its tasks."""
+    return {}
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_tokens``; columns of these names are replaced."""
     bounded_batches(docs.sparkSession)
@@ -234,9 +241,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string("ids array<int>, n_tokens long").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, cache = sent.value, {}
+        p, known = sent.value, _remembered(model_path)
         for b in batches:
-            got = encode_batch(p, b.column(b.schema.get_field_index(text_col)).to_pylist(), cache)
+            got = encode_batch(p, b.column(b.schema.get_field_index(text_col)).to_pylist(), known)
             n = np.array([len(x) // 4 for x in got], np.int64)
             flat = pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32())
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), flat)

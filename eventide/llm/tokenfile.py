@@ -42,15 +42,18 @@ SEGMENT_TOKENS = 1 << 20
 #: Ids whose bits are packed at a time.
 PACK = 1 << 15
 #: Encoded words that a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 MAX_CACHED_CHARS = 64
+#: Marks that may close a word.
+MARKS = ".,;:!?%&*#$)"
 
 
 def widths(ids: np.ndarray) -> list[int]:
     """Chunk widths of the levels with the smallest total size."""
-    need = np.ceil(np.log2(np.maximum(ids, 1).astype(np.float64) + 1)).astype(np.int64)
-    top = int(need.max(initial=1))
-    over = [int((need > b).sum()) if b else len(ids) for b in range(top + 1)]
+    sizes = np.bincount(np.frexp(ids.astype(np.float64))[1], minlength=2)  # numbers of ids by bit length
+    sizes[1] += sizes[0]
+    top = len(sizes) - 1
+    over = [len(ids), *(int(sizes[b + 1:].sum()) for b in range(1, top + 1))]
     cost: list[tuple[float, int]] = [(0.0, 0)] * (top + 1)
     for b in range(top - 1, -1, -1):
         cost[b] = min((over[b] * (w + (0 if b + w == top else 1 + 64 / RANK_BITS)) + cost[b + w][0], w)
@@ -63,13 +66,28 @@ def widths(ids: np.ndarray) -> list[int]:
 
 
 def _pack(values: np.ndarray, bits: int) -> bytes:
+    wide = 16 if bits <= 16 else 32
     out = []
     for i in range(0, len(values), PACK):  # PACK is a multiple of 8: only the last slice is padded
-        v = values[i:i + PACK].astype(">u4").view(np.uint8).reshape(-1, 4)
-        out.append(np.packbits(np.unpackbits(v, axis=1)[:, 32 - bits:].reshape(-1)).tobytes())
+        v = values[i:i + PACK].astype(f">u{wide // 8}").view(np.uint8).reshape(-1, wide // 8)
+        out.append(np.packbits(np.unpackbits(v, axis=1)[:, wide - bits:].reshape(-1)).tobytes())
     return b"".join(out)
 
 
+def _unpack_run(data: np.ndarray, bits: int, a: int, n: int) -> np.ndarray:
+    """The ``n`` neighbouring chunks from position ``a`` of a packed level."""
+    wide = 16 if bits <= 16 else 32
+    out = np.empty(n, np.uint32)
+    for i in range(0, n, PACK):
+        m = min(PACK, n - i)
+        first = (a + i) * bits
+        flat = np.unpackbits(data[first >> 3:(first + m * bits + 7) >> 3])[first & 7:(first & 7) + m * bits]
+        row = np.zeros((m, wide), np.uint8)
+        row[:, wide - bits:] = flat.reshape(m, bits)
+        out[i:i + m] = np.packbits(row, axis=1).view(f">u{wide // 8}").reshape(-1)
+    return out
+
+
 def _unpack(data: np.ndarray, bits: int, at: np.ndarray) -> np.ndarray:
     """Chunks at positions ``at`` of a packed level."""
     first = at.astype(np.int64) * bits
@@ -167,7 +185,7 @@ class Segment:
             if not len(where):
                 break
             n = len(where)
-            out[where] |= (_unpack(chunks, bits, np.arange(a, a + n)) << np.uint64(shift)).astype(np.uint32)
+            out[where] |= _unpack_run(chunks, bits, a, n) << np.uint32(shift)
             shift += bits
             if bitmap is None:
                 break
@@ -177,7 +195,11 @@ class Segment:
 
 
 class _Words(dict):
-    """Ids (as bytes) of space-led words; missing ones are encoded in one call per batch."""
+    """Ids (as bytes) of space-led words; missing ones are encoded in one call per batch.
+
+    Closing marks after a letter or digit are a pre-token of their own, so
+    they are looked up apart from the word in front of them.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
@@ -186,9 +208,23 @@ class _Words(dict):
     def add(self, words: set[str]) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = [w for w in words if w not in self]
+        parts = {}
+        for w in words:
+            if w not in self:
+                core = w.rstrip(MARKS)
+                parts[w] = (core, w[len(core):]) if core != w and core[-1:].isalnum() else (w,)
+        new = list({p for ps in parts.values() for p in ps if p not in self})
         for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self[w] = np.array(e.ids, "<u4").tobytes()
+        for w, ps in parts.items():
+            if len(ps) > 1:
+                self[w] = self[ps[0]] + self[ps[1]]
+
+
+@cache
+def _words(definition: str) -> _Words:
+    """The words that this worker remembers, over all its tasks."""
+    return _Words(_tokenizer(definition))
 
 
 @cache
@@ -219,7 +255,7 @@ def split_words(text: str) -> list[str]:
     return [*out, lead] if lead else out
 
 
-def encode(tokenizer, words: _Words, texts: list[str | None], end: int) -> list[np.ndarray]:
+def encode(words: _Words, texts: list[str | None], end: int) -> list[np.ndarray]:
     """Ids of each text, with the end id."""
     cut = [split_words(t) if t else [] for t in texts]
     flat = {w for ws in cut for w in ws}
@@ -246,8 +282,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str
                         ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(sent.value)
-        words = _Words(tokenizer)
+        words = _words(sent.value)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list = []
         held: list[np.ndarray] = []
@@ -258,7 +293,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str
                 pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()),
                 pa.array([len(ids)], pa.int64()), pa.array([pack_segment(ids, held)], pa.binary())], schema=schema)
         for b in batches:
-            for i, x in zip(b.column(0).to_pylist(), encode(tokenizer, words, b.column(1).to_pylist(), end)):
+            for i, x in zip(b.column(0).to_pylist(), encode(words, b.column(1).to_pylist(), end)):
                 ids.append(i)
                 held.append(x)
                 size += len(x)
@@ -282,8 +317,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             for part, seq, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 s = Segment(data.as_py())
                 n = len(s.doc_ids)
-                crc = [zlib.crc32(s.tokens(x, y).astype("<u4").tobytes())
-                       for x, y in zip(s.starts[:-1].tolist(), s.starts[1:].tolist())]
+                ids = s.tokens(0, s.n_tokens).astype("<u4").tobytes()
+                crc = [zlib.crc32(ids[4 * x:4 * y]) for x, y in zip(s.starts[:-1].tolist(), s.starts[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int32()), pa.array(s.doc_ids, pa.int64()),
                     pa.array(s.starts[:-1]), pa.array(np.diff(s.starts)), pa.array(crc, pa.int64())], schema=schema)
