@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -42,7 +43,7 @@ SEGMENT_TOKENS = 1 << 20
 #: Ids whose bits are packed at a time.
 PACK = 1 << 15
 #: Encoded words that a worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 MAX_CACHED_CHARS = 64
 #: Marks that may close a word.
 MARKS = ".,;:!?%&*#$)"
@@ -194,31 +195,41 @@ class Segment:
         return out
 
 
-class _Words(dict):
-    """Ids (as bytes) of space-led words; missing ones are encoded in one call per batch.
+def word_parts(word: str) -> tuple[str, ...]:
+    """Parts of a word that are pre-tokenised apart: around a line feed, and marks closing letters or digits."""
+    if "\n" in word:
+        a, _, b = word.partition("\n")
+        if a and b and "\n" not in b and not a[-1].isspace() and not b[0].isspace():
+            return (*word_parts(a), "\n", *word_parts(b))
+    elif word and word[-1] in MARKS and (core := word.rstrip(MARKS))[-1:].isalnum():
+        return core, word[len(core):]
+    return (word,)
 
-    Closing marks after a letter or digit are a pre-token of their own, so
-    they are looked up apart from the word in front of them.
-    """
+
+class _Words(dict):
+    """Ids (as bytes) of words; a batch's new ones are encoded in one call."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
 
-    def add(self, words: set[str]) -> None:
+    def ids(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """Ids of the words of each text."""
         if len(self) > CACHE_WORDS:
             self.clear()
-        parts = {}
-        for w in words:
-            if w not in self:
-                core = w.rstrip(MARKS)
-                parts[w] = (core, w[len(core):]) if core != w and core[-1:].isalnum() else (w,)
-        new = list({p for ps in parts.values() for p in ps if p not in self})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[w] = np.array(e.ids, "<u4").tobytes()
-        for w, ps in parts.items():
-            if len(ps) > 1:
-                self[w] = self[ps[0]] + self[ps[1]]
+        get = self.get
+        out = [list(map(get, ws)) for ws in texts]
+        gaps = [(r, n, w) for ws, r in zip(texts, out) if None in r for n, (w, x) in enumerate(zip(ws, r)) if x is None]
+        new = {w: word_parts(w) for _, _, w in gaps}
+        rest = list({p for ps in new.values() for p in ps if p not in self})
+        known = dict(zip(rest, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
+            rest, add_special_tokens=False)]))
+        for w, ps in new.items():
+            known[w] = known.get(w) or b"".join([known.get(p) or self[p] for p in ps])
+        for r, n, w in gaps:
+            r[n] = known[w]
+        self.update((w, x) for w, x in known.items() if len(w) <= MAX_CACHED_CHARS)
+        return out
 
 
 @cache
@@ -258,14 +269,8 @@ def split_words(text: str) -> list[str]:
 def encode(words: _Words, texts: list[str | None], end: int) -> list[np.ndarray]:
     """Ids of each text, with the end id."""
     cut = [split_words(t) if t else [] for t in texts]
-    flat = {w for ws in cut for w in ws}
-    words.add(flat)
     last = np.array([end], "<u4").tobytes()
-    out = [np.frombuffer(b"".join([*map(words.__getitem__, ws), last]), "<u4") for ws in cut]
-    for w in flat:
-        if len(w) > MAX_CACHED_CHARS:
-            words.pop(w, None)
-    return out
+    return [np.frombuffer(b"".join([*r, last]), "<u4") for r in words.ids(cut)]
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str = "doc_id", text_col: str = "text",
