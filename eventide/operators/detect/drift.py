@@ -35,6 +35,11 @@ def schema_checks(samples: DataFrame) -> DataFrame:
     parsed = samples.withColumn("payload", F.try_parse_json("payload"))  # FLT-10: non-JSON skipped
     cur = field_sets(parsed, ["type", "check_at"], count_col="sample_count")
     cur = cur.withColumn("schema_hash", schema_hash(F.col("field_names")))
+    return compare_checks(cur)
+
+
+def compare_checks(cur: DataFrame) -> DataFrame:
+    """Compare every check with the one before it of the same type."""
     w = Window.partitionBy("type").orderBy("check_at")
     cur = cur.withColumns({"prev_hash": F.lag("schema_hash").over(w),
                            "prev_fields": F.lag("field_names").over(w)})
@@ -63,12 +68,11 @@ def drift_alerts(checks: DataFrame) -> DataFrame:
 def snapshots(checks: DataFrame) -> DataFrame:
     """SNK-6/7/8 image: one snapshot per (type, hash); first/last seen checks.
 
-    ``sample_count`` is the one from the first insert, refreshed by "touch"
-    checks (same hash as the previous check), as the reference does.
+    ``sample_count`` and ``field_names`` are those of the first check with the
+    hash: later checks with it only move ``last_seen_at``.
     """
-    last_sample = F.max_by("sample_count", F.struct(F.col("outcome") == "SAME", F.col("check_at")))
     return checks.groupBy(F.col("type").alias("event_type"), "schema_hash").agg(
-        F.first("field_names").alias("field_names"),
-        last_sample.cast("int").alias("sample_count"),
+        F.min_by("field_names", "check_at").alias("field_names"),
+        F.min_by("sample_count", "check_at").cast("int").alias("sample_count"),
         F.min("check_at").alias("first_seen_at"),
         F.max("check_at").alias("last_seen_at"))

@@ -22,6 +22,10 @@ _FIELDS = {"id": "id", "type": "type", "source": "source", "timestamp": "ts", "p
 _SCALARS = ("id", "type", "source", "ts", "status", "err", "pat")
 
 
+# Times outside years 1 to 9999 are unreadable.
+MIN_MICROS, MAX_MICROS = -62135596800000000, 253402300799999999
+
+
 def _kind_sql(v: str) -> str:
     sc = f"schema_of_variant({v})"
     return (f"CASE WHEN {v} IS NULL THEN NULL WHEN startswith({sc}, 'OBJECT') THEN 'object' "
@@ -41,7 +45,8 @@ def _text_sql(n: str) -> tuple[str, str]:
 def _time_sql(n: str) -> tuple[str, str]:
     """Epoch seconds (number) or ISO offset text -> timestamp."""
     r, k = f"`__r_{n}`", f"`__k_{n}`"
-    from_num = f"timestamp_micros(CAST(try_variant_get({r}, '$', 'decimal(38,9)') * 1000000 AS BIGINT))"
+    micros = f"try_cast(try_multiply(try_variant_get({r}, '$', 'decimal(38,9)'), 1000000BD) AS BIGINT)"
+    from_num = f"CASE WHEN {micros} BETWEEN {MIN_MICROS} AND {MAX_MICROS} THEN timestamp_micros({micros}) END"
     t = f"CAST({r} AS STRING)"
     from_txt = f"CASE WHEN {t} RLIKE {lit(ISO_WITH_OFFSET)} THEN try_to_timestamp({t}) END"
     val = (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS TIMESTAMP) "
@@ -72,9 +77,9 @@ def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
     err_msg, err_bad = _text_sql("err")
     status_txt, status_bad0 = _text_sql("status")
     statuses = ", ".join(lit(x) for x in STATUS_VALUES)
-    status = (f"CASE WHEN `__k_status` = 'number' THEN element_at(array({statuses}), "
-              f"try_variant_get(`__r_status`, '$', 'int') + 1) ELSE {status_txt} END")
-    status_ok = f"(`__r_status` IS NULL OR `__k_status` = 'null' OR ({status}) IN ({statuses}))"
+    status = (f"CASE WHEN `__k_status` = 'number' THEN get(array({statuses}), "
+              f"try_variant_get(`__r_status`, '$', 'int')) ELSE {status_txt} END")
+    status_ok = f"(`__r_status` IS NULL OR `__k_status` = 'null' OR coalesce(({status}) IN ({statuses}), false))"
     ts, ts_bad = _time_sql("ts")
     pat, pat_bad = _time_sql("pat")
     ok = (f"coalesce(`__shaped` AND NOT ({id_bad} OR {type_bad} OR {source_bad} OR {err_bad} OR {status_bad0} "

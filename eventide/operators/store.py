@@ -35,35 +35,20 @@ def dedup_first(events: DataFrame, order: Sequence[Column], key: str = "id") ->
     return first_per_key(events, [key], order)
 
 
-PRUNE_LIMIT = 1000  # more distinct partition values than this: no static pruning
+def new_rows(batch: DataFrame, existing: DataFrame | None, key: str = "id") -> DataFrame:
+    """JN-1 / FLT-11: rows whose id is not stored yet (``left_anti`` on the id alone).
 
+    Copies of an event may carry different times (an absent time defaults to
+    the time of reading), so no date takes part in the match. Rows without an
+    id cannot be landed once and are left out.
+    """
+    batch = batch.filter(F.col(key).isNotNull())
+    return batch if existing is None else batch.join(existing.select(key), key, "left_anti")
 
-def new_rows(batch: DataFrame, existing: DataFrame | None, key: str = "id",
-             partition_col: str | None = None) -> DataFrame:
-    """JN-1 / FLT-11: rows whose id is not stored yet (``left_anti``).
 
-    With ``partition_col`` (the table's date partition, which every copy of
-    an event shares because copies keep the event time) the anti-join also
-    matches on it, and the table scan is pruned to the partitions the batch
-    touches instead of reading every stored id.
-    """
-    if existing is None:
-        return batch
-    if partition_col is None:
-        return batch.join(existing.select(key), key, "left_anti")
-    # Partition pruning: the distinct partition values of the batch (a few
-    # dates per micro-batch, capped) become a static filter on the table scan,
-    # so only the partitions the batch touches are read.
-    vals = [r[0] for r in batch.select(partition_col).distinct().limit(PRUNE_LIMIT + 1).collect()]
-    if len(vals) <= PRUNE_LIMIT:
-        existing = existing.filter(F.col(partition_col).isin(vals))
-    return batch.join(existing.select(key, partition_col), [key, partition_col], "left_anti")
-
-
-def land(batch: DataFrame, existing: DataFrame | None, order: Sequence[Column], key: str = "id",
-         partition_col: str | None = None) -> DataFrame:
+def land(batch: DataFrame, existing: DataFrame | None, order: Sequence[Column], key: str = "id") -> DataFrame:
     """SNK-4: rows to append so that every id is stored once (first wins)."""
-    return new_rows(dedup_first(batch, order, key), existing, key, partition_col)
+    return dedup_first(new_rows(batch, existing, key), order, key)
 
 
 def exists(batch: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:

@@ -16,32 +16,14 @@ ORDER_SOURCE = "orders-db"
 ORDER_ID_PREFIX = "evt_ord_"
 
 
-SPREAD_MAX_BYTES = 1 << 30  # a shuffle of less than 1 GiB is cheap next to the JSON work
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on small inputs.
-
-    A scan of a few small files yields fewer partitions than task slots, and
-    the per-row JSON work then runs on a handful of cores. When the scan is
-    small (under ``SPREAD_MAX_BYTES``) and has fewer splits than the default
-    parallelism, it is spread round-robin over that many; anything larger is
-    left as the file splits make it, so no shuffle of big inputs is added.
-    """
-    try:
-        spark = df.sparkSession
-        slots = spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    except Exception:  # noqa: BLE001 - no plan statistics available (e.g. a remote session)
-        return df
-    if size < SPREAD_MAX_BYTES and size // max(split, 1) + 1 < slots:
-        return df.repartition(slots)
-    return df
+# Set by a caller whose files have too few splits for its cores (bench); unset, scans keep their splits.
+INPUT_PARTITIONS = "spark.eventide.inputPartitions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df
 
 
 def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:

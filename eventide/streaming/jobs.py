@@ -2,10 +2,10 @@
 
 Every job is ``readStream -> DataFrame operators -> writeStream`` with a
 checkpoint location; stateful steps that feed themselves (baselines,
-snapshots, the landed table) run in ``foreachBatch`` against tables, and
-every batch writes into a folder keyed by its batch id with overwrite, so a
-batch replayed after a failure replaces its own output (exactly-once effect
-on top of at-least-once delivery).
+snapshots, the landed table) run in ``foreachBatch`` against tables. A batch
+writes into a folder keyed by its run (the id in the query's checkpoint) and
+batch id with overwrite: replayed after a failure it replaces its own output,
+and a query started with a new checkpoint never touches earlier folders.
 """
 
 from __future__ import annotations
@@ -32,10 +32,27 @@ def _checkpoint(spark: SparkSession, checkpoint: str | None, name: str) -> str:
 
 
 def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not created yet
+    """The table, None while its folder does not exist; any other failure is raised."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return None
+    return spark.read.parquet(path)
+
+
+def _run(batch: DataFrame) -> str:
+    """The run a batch belongs to: the id kept in the query's checkpoint."""
+    return f"q-{batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+
+
+def _write(df: DataFrame, path: str, run: str, batch_id: int, *partitions: str) -> None:
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/run={run}/batch={batch_id}")
+
+
+def _others(table: DataFrame | None, run: str, batch_id: int) -> DataFrame | None:
+    """The table without what this batch may have written before it was replayed."""
+    if table is None:
+        return None
+    return table.filter(~((F.col("run") == run) & (F.col("batch") == batch_id)))
 
 
 def transform_stream(spark: SparkSession, records: DataFrame, flows: Sequence[Flow], outbox_path: str,
@@ -48,19 +65,18 @@ def transform_stream(spark: SparkSession, records: DataFrame, flows: Sequence[Fl
     partitioned by ``date(received_at)`` for pruning.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        run = _run(batch)
         batch = batch.persist()
-        out = fan_out(batch, flows)
-        out.write.mode("overwrite").parquet(f"{outbox_path}/batch={batch_id}")
-        env = ENV.parse_envelopes(batch).filter("parse_ok")
-        arrival = [c for c in ("partition", "offset") if c in env.columns]  # first copy wins
-        rows = ENV.to_table_rows(env, keep=tuple(arrival)).withColumn("received_date", F.to_date("received_at"))
-        existing = _read_table(spark, table_path)
-        if existing is not None:
-            existing = existing.filter(F.col("batch") != batch_id)
-        order = [F.col(c) for c in arrival] or [F.lit(0)]
-        new = STO.land(rows, existing, order, partition_col="received_date").drop(*arrival)
-        new.write.mode("overwrite").partitionBy("received_date").parquet(f"{table_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            _write(fan_out(batch, flows), outbox_path, run, batch_id)
+            env = ENV.parse_envelopes(batch).filter("parse_ok")
+            arrival = [c for c in ("partition", "offset") if c in env.columns]  # first copy wins
+            rows = ENV.to_table_rows(env, keep=tuple(arrival)).withColumn("received_date", F.to_date("received_at"))
+            order = [F.col(c) for c in arrival] or [F.lit(0)]
+            new = STO.land(rows, _others(_read_table(spark, table_path), run, batch_id), order).drop(*arrival)
+            _write(new, table_path, run, batch_id, "received_date")
+        finally:
+            batch.unpersist()
 
     w = records.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", _checkpoint(spark, checkpoint, "transform"))
@@ -73,24 +89,36 @@ def dedup_stream(events: DataFrame, watermark: str = "10 minutes", ts_col: str =
     return events.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(["id"])
 
 
+def _seen(spark: SparkSession, batch: DataFrame, batch_id: int, table_path: str | None, log_path: str,
+          columns: Sequence[str]) -> DataFrame:
+    """All stored events: the landed table, or the job's own log of what it has read."""
+    if table_path is None:
+        _write(batch.select(*columns), log_path, _run(batch), batch_id)
+    return spark.read.parquet(table_path or log_path).select(*columns)
+
+
 def volume_stream(spark: SparkSession, events: DataFrame, baselines_path: str, alerts_path: str,
                   checkpoint: str | None = None, window_minutes: int = 5, trigger: dict | None = None,
-                  **thresholds):
+                  table_path: str | None = None, **thresholds):
     """STR-4/STR-7: the live volume detector, one check per micro-batch.
 
-    The check time is the batch's latest event time; history is the baseline
-    table written by earlier batches (SNK-5 rows appended per batch).
+    The check time is the latest event time of the batch; the trailing window
+    counts all stored events (``table_path``, else the job's own log beside
+    the baselines), not just the batch's. History is the baselines written by
+    earlier checks (SNK-5 rows appended per batch).
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         as_of = batch.agg(F.max("received_at")).first()[0]
         if as_of is None:
             return
-        hist = _read_table(spark, baselines_path)
-        if hist is not None:
-            hist = hist.filter(F.col("batch") != batch_id).drop("batch")
-        base, alerts = ST.live_check(batch, hist, as_of, window_minutes, **thresholds)
-        base.write.mode("overwrite").parquet(f"{baselines_path}/batch={batch_id}")
-        alerts.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
+        run = _run(batch)
+        seen = _seen(spark, batch, batch_id, table_path, f"{baselines_path.rstrip('/')}_events",
+                     ("type", "source", "received_at"))
+        hist = _others(_read_table(spark, baselines_path), run, batch_id)
+        base, alerts = ST.live_check(seen, hist.drop("run", "batch") if hist is not None else None, as_of,
+                                     window_minutes, **thresholds)
+        _write(base, baselines_path, run, batch_id)
+        _write(alerts, alerts_path, run, batch_id)
 
     w = events.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", _checkpoint(spark, checkpoint, "volume"))
@@ -98,35 +126,33 @@ def volume_stream(spark: SparkSession, events: DataFrame, baselines_path: str, a
 
 
 def drift_stream(spark: SparkSession, events: DataFrame, checks_path: str, checkpoint: str | None = None,
-                 sample: int = 20, trigger: dict | None = None):
+                 sample: int = 20, trigger: dict | None = None, table_path: str | None = None):
     """STR-5: schema snapshot per type, compared with the previous check.
 
-    Each micro-batch is one check (latest ``sample`` payloads per type of
-    the batch); the previous check of each type is read back from the checks
-    table, so the comparison chain continues across batches.
+    Each micro-batch is one check at its latest store time: the latest
+    ``sample`` payloads per type of all stored events (``table_path``, else
+    the job's own log beside the checks). The previous check of each type is
+    read back from the checks table, so the chain goes on across batches and
+    runs.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        cur = D.check_samples(batch.withColumn("stored_at", F.col("stored_at")), None, sample) \
-            .withColumn("check_at", F.lit(batch_id).cast("long"))
-        prev = _read_table(spark, checks_path)
-        checks = D.schema_checks(cur.withColumn("check_at", F.col("check_at").cast("timestamp")))
+        as_of = batch.agg(F.max("stored_at")).first()[0]
+        if as_of is None:
+            return
+        run = _run(batch)
+        seen = _seen(spark, batch, batch_id, table_path, f"{checks_path.rstrip('/')}_events",
+                     ("id", "type", "payload", "stored_at"))
+        cur = D.check_samples(seen, None, sample).withColumn("check_at", F.lit(as_of))
+        checks = D.schema_checks(cur)
+        prev = _others(_read_table(spark, checks_path), run, batch_id)
         if prev is not None:
-            last = STO.last_per_key(prev.filter(F.col("batch") < batch_id).select(
-                "type", "check_at", "schema_hash", "field_names"), ["type"], [F.col("check_at")])
+            compared = ["type", "check_at", "schema_hash", "field_names"]
+            last = STO.last_per_key(prev.filter(F.col("check_at") < F.lit(as_of)).select(*compared), ["type"],
+                                    [F.col("check_at")])
             both = last.withColumn("sample_count", F.lit(None).cast("long")).unionByName(
-                checks.select("type", "check_at", "schema_hash", "field_names", "sample_count"))
-            from pyspark.sql import Window
-            w = Window.partitionBy("type").orderBy("check_at")
-            checks = both.withColumns({"prev_hash": F.lag("schema_hash").over(w),
-                                       "prev_fields": F.lag("field_names").over(w)}) \
-                .filter(F.col("sample_count").isNotNull())
-            outcome = (F.when(F.col("prev_hash").isNull(), "FIRST")
-                       .when(F.col("prev_hash") == F.col("schema_hash"), "SAME").otherwise("DRIFT"))
-            checks = checks.withColumns({
-                "outcome": outcome,
-                "added": F.when(outcome == "DRIFT", F.array_sort(F.array_except("field_names", "prev_fields"))),
-                "removed": F.when(outcome == "DRIFT", F.array_sort(F.array_except("prev_fields", "field_names")))})
-        checks.write.mode("overwrite").parquet(f"{checks_path}/batch={batch_id}")
+                checks.select(*compared, "sample_count"))
+            checks = D.compare_checks(both).filter(F.col("sample_count").isNotNull())
+        _write(checks, checks_path, run, batch_id)
 
     w = events.writeStream.foreachBatch(per_batch).option(
         "checkpointLocation", _checkpoint(spark, checkpoint, "drift"))

@@ -103,3 +103,13 @@ def test_table_rows(spark):
     df = ENV.to_table_rows(ENV.parse_envelopes(records(spark, env(status=None)))).first()
     assert df["status"] == "UNKNOWN" and json.loads(df["payload"]) == {"userId": 1, "total": "9.5"}
     assert df["stored_at"] is not None and df["received_at"] is not None
+
+
+def test_hostile_records_are_dead_letters_not_failures(spark):
+    from eventide.operators.envelope import parse_envelopes
+    bad = ['"status": 7', '"status": -1', '"status": 1e30', '"timestamp": 1000000000000000',
+           '"timestamp": 99999999999999999999', '"timestamp": 1e25', '"processedAt": -1e37']
+    rows = [(f'{{"id": "x", "type": "t", "source": "s", "payload": {{}}, {b}}}',) for b in bad]
+    got = parse_envelopes(spark.createDataFrame(rows + [('{"id": "x", "type": "t", "status": 2}',)], "value string"))
+    out = got.select("parse_ok", "status", "timestamp").collect()
+    assert [r["parse_ok"] for r in out] == [False] * len(bad) + [True]

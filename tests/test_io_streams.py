@@ -57,13 +57,29 @@ def test_volume_stream(spark):
     assert [(a["severity"], a["event_count"]) for a in alerts] == [("HIGH", 200)]
 
 
+def test_volume_stream_counts_the_window_not_the_batch(spark):
+    base = tempfile.mkdtemp(prefix="eventide-vol-")
+    schema = "id string, type string, source string, payload string, received_at timestamp, stored_at timestamp"
+    for k in range(2):
+        rows = [(f"{k}-{i}", "t", "s", "{}", f"2024-01-01 00:0{k}:{i:02d}") for i in range(20)]
+        spark.createDataFrame(rows, "id string, type string, source string, payload string, ts string").selectExpr(
+            "id", "type", "source", "payload", "cast(ts as timestamp) received_at", "cast(ts as timestamp) stored_at") \
+            .coalesce(1).write.parquet(os.path.join(base, "ev", str(k)))
+    for k in range(2):
+        stream = spark.readStream.schema(schema).parquet(os.path.join(base, "ev", str(k)))
+        volume_stream(spark, stream, os.path.join(base, "bl"), os.path.join(base, "al"),
+                      os.path.join(base, f"ck{k}")).awaitTermination(600)
+    got = spark.read.parquet(os.path.join(base, "bl")).orderBy("window_end").collect()
+    assert [r["event_count"] for r in got] == [20, 40]
+
+
 def test_drift_stream(spark):
     base = tempfile.mkdtemp(prefix="eventide-drift-")
     schema = _events(spark, base, [5, 5, 5, 5])
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(base, "ev", "*"))
-    q = drift_stream(spark, stream, os.path.join(base, "checks"), os.path.join(base, "ckpt"))
+    q = drift_stream(spark, stream, os.path.join(base, "checks"), os.path.join(base, "ckpt"), sample=5)
     q.awaitTermination(600)
-    checks = spark.read.parquet(os.path.join(base, "checks")).orderBy("batch").collect()
+    checks = spark.read.parquet(os.path.join(base, "checks")).orderBy("check_at").collect()
     assert [c["outcome"] for c in checks] == ["FIRST", "SAME", "DRIFT", "DRIFT"]
     assert checks[2]["added"] == ["b"] and checks[3]["removed"] == ["b"]
 
