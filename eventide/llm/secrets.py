@@ -11,7 +11,8 @@
   reaches ``MIN_LLR`` nats. Tokens overlapping a base span add nothing.
 * Training: a sample of ``SAMPLE_TEXTS`` distinct texts at most (the smallest
   text hashes, so it does not depend on row order); identifiers are its words
-  outside base spans and names joined from them, random strings its base
+  outside base spans that are not tokens to score, names joined from them,
+  dates, random strings its base
   values and encoded digests. The model is one table of
   ``len(ALPHABET)**2`` numbers, whatever the size of the input.
 
@@ -35,7 +36,7 @@ KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: A token worth scoring: long enough, with a digit or a capital after a small letter.
 TOKEN = r"(?=[A-Za-z+/_=-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_=-]{16,}"
-MIN_LLR = 12.0
+MIN_LLR = 8.0
 SAMPLE_TEXTS = 1000
 #: Added to each pair count.
 SMOOTHING = 0.5
@@ -96,7 +97,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_TEXTS) -
                                       F.upper(F.translate(encoded, "+/=", "")), F.translate(encoded, "+/=", "")))
     clear = F.aggregate("__spans", F.col("__text"), lambda t, s: F.replace(
         t, F.substring(F.col("__text"), s["start"] + 1, s["end"] - s["start"]), F.lit(" ")))
-    words = F.filter(F.split(clear, r"[^A-Za-z0-9+/_=-]+"), lambda w: F.length(w) >= 3)
+    words = F.filter(F.split(clear, r"[^A-Za-z0-9+/_=-]+"), lambda w: (F.length(w) >= 3) & ~w.rlike(TOKEN))
     spans = spans.withColumn("words", words)
     after = F.transform("words", lambda w, i: F.coalesce(F.get("words", i + 1), w))
     spans = spans.withColumn("names", F.zip_with("words", after, lambda a, b: F.concat(
