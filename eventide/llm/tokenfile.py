@@ -23,6 +23,8 @@ file; repeated rows are written as often as they occur.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from array import array
@@ -31,6 +33,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,8 +48,13 @@ PACK = 1 << 15
 #: Encoded words that a worker remembers.
 CACHE_WORDS = 1_000_000
 MAX_CACHED_CHARS = 64
-#: Marks that may close a word.
-MARKS = ".,;:!?%&*#$)"
+#: Words without white space inside, of characters whose classes are the same in all Unicode versions in use.
+PLAIN = re.compile(r" ?[!-~\u00a1-\u04ff]+")
+#: Fixed value: the pre-tokens of byte-level BPE (those of white space left out).
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
+#: The characters by which byte-level BPE names bytes: printable ones name themselves, the others follow from 256 on.
+_NAMED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_NAMES = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_NAMED)))}
 
 
 def widths(ids: np.ndarray) -> list[int]:
@@ -66,26 +74,78 @@ def widths(ids: np.ndarray) -> list[int]:
     return out
 
 
+def _joined(v: np.ndarray, bits: int) -> np.ndarray:
+    """The chunks of each row side by side in one number."""
+    out = np.zeros(len(v), np.uint64)
+    for k in range(v.shape[1]):
+        out = (out << np.uint64(bits)) | v[:, k]
+    return out
+
+
+def _parted(word: np.ndarray, bits: int, out: np.ndarray) -> None:
+    """Reverse of :func:`_joined`, into ``out``."""
+    for k in reversed(range(out.shape[1])):
+        out[:, k] = word & np.uint64((1 << bits) - 1)
+        word = word >> np.uint64(bits)
+
+
+def _be(word: np.ndarray, size: int) -> np.ndarray:
+    """The last ``size`` bytes of each number, high byte first."""
+    return word.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size:]
+
+
+def _from_be(raw: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, 8 - raw.shape[1]:] = raw
+    return wide.view(">u8").reshape(-1).astype(np.uint64)
+
+
 def _pack(values: np.ndarray, bits: int) -> bytes:
-    wide = 16 if bits <= 16 else 32
+    """Chunks side by side; eight chunks of up to 16 bits fill ``bits`` bytes, in one or two numbers."""
     out = []
     for i in range(0, len(values), PACK):  # PACK is a multiple of 8: only the last slice is padded
-        v = values[i:i + PACK].astype(f">u{wide // 8}").view(np.uint8).reshape(-1, wide // 8)
-        out.append(np.packbits(np.unpackbits(v, axis=1)[:, wide - bits:].reshape(-1)).tobytes())
+        v = values[i:i + PACK]
+        if bits > 16:
+            v = v.astype(">u4").view(np.uint8).reshape(-1, 4)
+            out.append(np.packbits(np.unpackbits(v, axis=1)[:, 32 - bits:].reshape(-1)).tobytes())
+            continue
+        size = (len(v) * bits + 7) // 8
+        v = np.concatenate((v, np.zeros(-len(v) % 8, v.dtype))).reshape(-1, 8)
+        if bits <= 8:
+            raw = _be(_joined(v, bits), bits)
+        else:
+            high, low = _joined(v[:, :4], bits), _joined(v[:, 4:], bits)
+            over = np.uint64(8 * bits - 64)
+            raw = np.hstack((_be((high << np.uint64(64 - 4 * bits)) | (low >> over), 8), _be(low, bits - 8)))
+        out.append(raw.tobytes()[:size])
     return b"".join(out)
 
 
 def _unpack_run(data: np.ndarray, bits: int, a: int, n: int) -> np.ndarray:
     """The ``n`` neighbouring chunks from position ``a`` of a packed level."""
-    wide = 16 if bits <= 16 else 32
     out = np.empty(n, np.uint32)
     for i in range(0, n, PACK):
         m = min(PACK, n - i)
-        first = (a + i) * bits
-        flat = np.unpackbits(data[first >> 3:(first + m * bits + 7) >> 3])[first & 7:(first & 7) + m * bits]
-        row = np.zeros((m, wide), np.uint8)
-        row[:, wide - bits:] = flat.reshape(m, bits)
-        out[i:i + m] = np.packbits(row, axis=1).view(f">u{wide // 8}").reshape(-1)
+        if bits > 16:
+            first = (a + i) * bits
+            flat = np.unpackbits(data[first >> 3:(first + m * bits + 7) >> 3])[first & 7:(first & 7) + m * bits]
+            row = np.zeros((m, 32), np.uint8)
+            row[:, 32 - bits:] = flat.reshape(m, bits)
+            out[i:i + m] = np.packbits(row, axis=1).view(">u4").reshape(-1)
+            continue
+        skip = (a + i) % 8
+        rows = -(-(skip + m) // 8)
+        part = data[(a + i) // 8 * bits:][:rows * bits]
+        raw = np.concatenate((part, np.zeros(rows * bits - len(part), np.uint8))).reshape(rows, bits)
+        got = np.empty((rows, 8), np.uint32)
+        if bits <= 8:
+            _parted(_from_be(raw), bits, got)
+        else:
+            first, last = _from_be(raw[:, :8]), _from_be(raw[:, 8:])
+            _parted(first >> np.uint64(64 - 4 * bits), bits, got[:, :4])
+            # the low four chunks: what the first number has beyond the high four, then the second number
+            _parted((first << np.uint64(8 * bits - 64)) | last, bits, got[:, 4:])
+        out[i:i + m] = got.reshape(-1)[skip:skip + m]
     return out
 
 
@@ -195,23 +255,42 @@ class Segment:
         return out
 
 
-def word_parts(word: str) -> tuple[str, ...]:
-    """Parts of a word that are pre-tokenised apart: around a line feed, and marks closing letters or digits."""
-    if "\n" in word:
-        a, _, b = word.partition("\n")
-        if a and b and "\n" not in b and not a[-1].isspace() and not b[0].isspace():
-            return (*word_parts(a), "\n", *word_parts(b))
-    elif word and word[-1] in MARKS and (core := word.rstrip(MARKS))[-1:].isalnum():
-        return core, word[len(core):]
+def word_parts(word: str, odd: set[str]) -> tuple[str, ...]:
+    """Parts of a word that are pre-tokenised apart: around a line feed, and the pre-tokens of plain words.
+
+    Parts that need not be one pre-token are added to ``odd``.
+    """
+    core = word[1:] if word[:1] == " " else word
+    if core.isascii() and core.isalpha():
+        return (word,)
+    if PLAIN.fullmatch(word):
+        return (word,) if core.isalpha() else tuple(PRE_TOKEN.findall(word))
+    a, feed, b = word.partition("\n")
+    if a and b and "\n" not in b and not a[-1].isspace() and not b[0].isspace():
+        odd.add(feed)
+        return (*word_parts(a, odd), feed, *word_parts(b, odd))
+    odd.add(word)
     return (word,)
 
 
 class _Words(dict):
-    """Ids (as bytes) of words; a batch's new ones are encoded in one call."""
+    """Ids (as bytes) of words; plain pre-tokens go to the model of the tokenizer at once, other words through all of it."""
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        form = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
+        self.by_bytes = tokenizer.normalizer is None and form.get("type") == "ByteLevel" and \
+            form.get("use_regex") and not form.get("add_prefix_space")
+
+    def encode(self, parts: set[str], odd: set[str]) -> dict[str, bytes]:
+        """Ids of parts of words."""
+        tokenize = self.tokenizer.model.tokenize
+        out = {p: array("I", [t.id for t in tokenize(byte_names(p))]).tobytes() for p in parts - odd}
+        rest = list(parts & odd)
+        out.update(zip(rest, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
+            rest, add_special_tokens=False)]))
+        return out
 
     def ids(self, texts: list[list[str]]) -> list[list[bytes]]:
         """Ids of the words of each text."""
@@ -219,19 +298,28 @@ class _Words(dict):
             self.clear()
         get = self.get
         out = [list(map(get, ws)) for ws in texts]
-        gaps = [(r, n, w) for ws, r in zip(texts, out) if None in r for n, (w, x) in enumerate(zip(ws, r)) if x is None]
-        new = {w: word_parts(w) for _, _, w in gaps}
-        rest = list({p for ps in new.values() for p in ps if p not in self})
-        known = dict(zip(rest, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
-            rest, add_special_tokens=False)]))
+        missing = {w for ws, r in zip(texts, out) if None in r for w, x in zip(ws, r) if x is None}
+        odd: set[str] = set()
+        if self.by_bytes:
+            new = {w: word_parts(w, odd) for w in missing}
+        else:
+            odd, new = missing, {w: (w,) for w in missing}
+        known = self.encode({p for ps in new.values() for p in ps if p not in self}, odd)
         for w, ps in new.items():
-            known[w] = known.get(w) or b"".join([known.get(p) or self[p] for p in ps])
-        for r, n, w in gaps:
-            r[n] = known[w]
+            if len(ps) > 1:
+                known[w] = b"".join([known.get(p) or self[p] for p in ps])
+        for n, ws in enumerate(texts):
+            if None in out[n]:
+                out[n] = [known[w] if x is None else x for w, x in zip(ws, out[n])]
         self.update((w, x) for w, x in known.items() if len(w) <= MAX_CACHED_CHARS)
         return out
 
 
+def byte_names(part: str) -> str:
+    """A plain part in the characters that name its UTF-8 bytes."""
+    return part.replace(" ", "\u0120") if part.isascii() else part.encode().decode("latin-1").translate(BYTE_NAMES)
+
+
 @cache
 def _words(definition: str) -> _Words:
     """The words that this worker remembers, over all its tasks."""

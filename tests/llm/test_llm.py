@@ -468,3 +468,29 @@ def test_pipeline_stages(spark, tmp_path):
     p = pieces.load(PIECES)
     for i, r in got.items():
         assert pieces.decode(p, np.array(r["ids"])) == texts[i].replace("password=abcdefgh12", "[SECRET]")
+
+
+def test_word_encoder_equals_the_library_on_random_strings():
+    with open(BYTE_BPE, encoding="utf-8") as f:
+        tokenizer = tokenfile._tokenizer(f.read())
+    words = tokenfile._Words(tokenizer)
+    assert words.by_bytes
+    pool = ["a", "Z", "é", "ß", "Ж", "0", "²", "½", "'", "'s", "'re", "!", "_", "­", "́", ";", "ª", "«", " ",
+            "  ", "\n", "\t", " ", " ", "中", "😀", "the", "\x1c", "٠", "ˇ", "҇"]
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    got = [x.tolist() for i in range(0, len(texts), 500) for x in tokenfile.encode(words, texts[i:i + 500], 2)]
+    assert got == [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_packed_chunks_of_all_widths_come_back():
+    rng = np.random.default_rng(0)
+    for bits in range(1, 33):
+        for n in (0, 1, 7, 8, 9, 100, 70_001):
+            v = rng.integers(0, 1 << bits, n, dtype=np.uint64).astype(np.uint32)
+            packed = np.frombuffer(tokenfile._pack(v, bits), np.uint8)
+            assert len(packed) == (n * bits + 7) // 8
+            a = int(rng.integers(0, n + 1))
+            assert (tokenfile._unpack_run(packed, bits, a, n - a) == v[a:]).all()
+            at = np.arange(0, n, 13)
+            assert not n or (tokenfile._unpack(packed, bits, at) == v[at]).all()
