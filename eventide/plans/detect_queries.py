@@ -272,6 +272,33 @@ def embedding_outliers(spark, sf):
     return o.select("event_id", "event_type", F.round("distance", 4).alias("distance"), "severity")
 
 
+EMB_ALL_SQL = EMB_SQL.replace(" WHERE rn <= 20", "")
+
+
+@query("centroids_all", EMB_ALL_SQL + "SELECT CAST(label AS VARCHAR) AS type, CAST(pos - 1 AS INTEGER) AS dim, "
+       "round(cv, 4) AS value FROM c")
+def centroids_all(spark, sf):
+    """AGG-12 over all vectors of a type."""
+    from eventide.functions.vectors import centroids
+    c = centroids(event_vectors(spark, sf), "type", "vector").filter("n >= 3")
+    return c.select("type", F.posexplode("centroid").alias("dim", "value")).withColumn("value", F.round("value", 4))
+
+
+@query("cosine_distance_all", EMB_ALL_SQL + "SELECT id, type, round(distance, 4) AS distance FROM r")
+def cosine_distance_all(spark, sf):
+    """FN-7 of every vector to the centroid of all vectors of its type."""
+    d = EMB.distances(event_vectors(spark, sf), sample=None)
+    return d.select("id", "type", F.round("distance", 4).alias("distance"))
+
+
+@query("embedding_outliers_all", EMB_ALL_SQL + "SELECT id AS event_id, type AS event_type, round(distance, 4) AS distance, "
+       "'LOW' AS severity FROM r WHERE distance > 0.85")
+def embedding_outliers_all(spark, sf):
+    """EMB-1 over all vectors."""
+    o = EMB.outliers(event_vectors(spark, sf), sample=None)
+    return o.select("event_id", "event_type", F.round("distance", 4).alias("distance"), "severity")
+
+
 # --------------------------------------------------------------------------
 # Alerts over the detectors' output
 # --------------------------------------------------------------------------

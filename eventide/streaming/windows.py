@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.model import WINDOW_MINUTES
 
 
+def _multiple(spark: SparkSession, length: str, slide: str) -> bool:
+    """Whether ``length`` is a whole number of ``slide``s."""
+    seconds = "unix_micros(timestamp '1970-01-01' + interval {})"
+    return spark.sql(f"select {seconds.format(length)} % {seconds.format(slide)} = 0").first()[0]
+
+
 def sliding_counts(events: DataFrame, length: str = f"{WINDOW_MINUTES} minutes", slide: str = "30 seconds",
                    watermark: str | None = None, ts_col: str = "received_at") -> DataFrame:
     """Counts per (window, type, source): the 5-minute trailing count
@@ -15,11 +21,18 @@ def sliding_counts(events: DataFrame, length: str = f"{WINDOW_MINUTES} minutes",
     reference's polled SQL uses an inclusive end). On a stream, ``watermark``
     bounds state: events later than it are dropped (STR-3; the reference
     counts an event only if it is inside the window at check time).
-    The aggregation is partial: each task pre-counts its windows.
+    In batch, events are counted per slide first and only those counts are
+    spread over the windows (a slide lies whole in each, when the length is a
+    multiple of it); a stream counts its windows in one stateful aggregation.
     """
     if watermark is not None:
         events = events.withWatermark(ts_col, watermark)
+    n = F.count(F.lit(1))
+    if not events.isStreaming and _multiple(events.sparkSession, length, slide):
+        events = (events.groupBy(F.window(F.col(ts_col), slide).start.alias(ts_col), "type", "source")
+                  .agg(n.alias("n")))
+        n = F.sum("n")
     w = F.window(F.col(ts_col), length, slide)
-    return (events.groupBy(w.alias("w"), "type", "source").agg(F.count(F.lit(1)).alias("event_count"))
+    return (events.groupBy(w.alias("w"), "type", "source").agg(n.alias("event_count"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "type", "source", "event_count"))
