@@ -173,6 +173,31 @@ def schema_snapshots(spark, sf):
         fmt("last_seen_at").alias("last_seen_at"))
 
 
+DRIFT_ALL_SQL = DRIFT_SQL.replace(" WHERE rn <= 20", "")
+
+
+@query("schema_drift_all", DRIFT_ALL_SQL + """
+SELECT type, strftime(check_at, '%Y-%m-%d %H:%M:%S') AS check_at, sample_count, array_to_string(fields, ',') AS fields,
+  CASE WHEN prev_hash IS NULL THEN 'FIRST' WHEN prev_hash = schema_hash THEN 'SAME' ELSE 'DRIFT' END AS outcome FROM l""")
+def schema_drift_all(spark, sf):
+    """DRIFT-1 over all payloads of each (type, day)."""
+    checks = D.schema_checks(D.check_samples(shaped_events(spark, sf), check="1 day", n=None))
+    return checks.select("type", fmt("check_at").alias("check_at"), "sample_count",
+                         F.array_join("field_names", ",").alias("fields"), "outcome")
+
+
+@query("schema_snapshots_all", DRIFT_ALL_SQL + """
+SELECT type AS event_type, schema_hash, array_to_string(arg_min(fields, check_at), ',') AS fields,
+  CAST(arg_min(sample_count, check_at) AS INTEGER) AS sample_count,
+  strftime(min(check_at), '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(max(check_at), '%Y-%m-%d %H:%M:%S') AS last_seen_at
+FROM l GROUP BY type, schema_hash""")
+def schema_snapshots_all(spark, sf):
+    """SNK-6..8 image over all payloads, with the fields and sample count of a schema's first check."""
+    snap = D.snapshots(D.schema_checks(D.check_samples(shaped_events(spark, sf), check="1 day", n=None)))
+    return snap.select("event_type", "schema_hash", F.array_join("field_names", ",").alias("fields"), "sample_count",
+                       fmt("first_seen_at").alias("first_seen_at"), fmt("last_seen_at").alias("last_seen_at"))
+
+
 # --------------------------------------------------------------------------
 # Volume
 # --------------------------------------------------------------------------
