@@ -12,8 +12,8 @@
 * Training: a sample of ``SAMPLE_TEXTS`` distinct texts at most (the smallest
   text hashes, so it does not depend on row order); identifiers are its words
   outside base spans that are not tokens to score, names joined from them,
-  dates, random strings its base
-  values and encoded digests. The model is one table of
+  dates and long decimal numbers (card, phone and record numbers are no
+  secrets); random strings are its base values and encoded digests. The model is one table of
   ``len(ALPHABET)**2`` numbers, whatever the size of the input.
 
 Null text is empty and has no spans; an empty table gives no rows; repeated
@@ -104,7 +104,10 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_TEXTS) -
         F.lower(a), F.lit("_"), F.lower(b), F.initcap(F.lower(a)), F.lit("-"), F.lower(b))))
     year = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(F.col("h"), F.lit(20000)).cast("int")),
                          "yyyy-MM-dd")
-    plain = F.concat(F.col("words"), F.col("names"), F.array(F.concat(year, F.lit("_"), year), F.concat(year, F.lit("/00001/00002000"))))
+    number = F.pmod(F.col("h"), F.lit(10 ** 16)).cast("string")
+    numbers = F.array(F.lpad(number, 16, "0"), F.reverse(F.lpad(number, 19, "0")))
+    plain = F.concat(F.col("words"), F.col("names"), numbers,
+                     F.array(F.concat(year, F.lit("_"), year), F.concat(year, F.lit("/00001/00002000"))))
     tokens = spans.select(F.explode(F.concat(
         F.transform(random, lambda t: F.struct(F.lit(1).alias("label"), t.alias("token"))),
         F.transform(plain, lambda t: F.struct(F.lit(0).alias("label"), t.alias("token"))))).alias("t")).select("t.*")

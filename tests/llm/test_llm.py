@@ -200,7 +200,7 @@ def test_random_strings_and_identifiers(spark):
     import base64
     keys += [base64.b64encode(hashlib.sha256(bytes([i])).digest()).decode()[:30] for i in range(20)]
     names = ["maximum_connection_count2", "getUserNameFromSession", "the-quick-brown-fox-99", "thisIsACamelCaseIdentifier",
-             "2024-01-01/2024-02-01"]
+             "2024-01-01/2024-02-01", "4111111111111111", "0846248622952057", "00491701234567891234"]
     words = "the maximum connection count of user names from this session is quick and brown camel case identifier"
     docs = frame(spark, [f"{words} {k} {words}" for k in keys + names] + [words] * 5)
     got = secrets.scan(docs).orderBy("doc_id").select(secrets.count_kind("__spans", 3).alias("n")).collect()
