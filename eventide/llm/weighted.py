@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from eventide.llm.common import checkpoint, shuffle_partitions
 
-SLOTS = 16
+SLOTS = 32
 #: Stands for a null doc_id in sort and join keys.
 NO_ID = -(1 << 63)
 
