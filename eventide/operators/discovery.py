@@ -1,18 +1,16 @@
 """DISC-1..4, AGG-10/11: payload schema discovery as DataFrame jobs.
 
-Level-wise walk: level 1 explodes the members of each payload object; level
-*k+1* explodes the members of the objects found at level *k* (or of the first
-element of an array, when that element is an object, with ``[*]`` in the
-path). Each level is a Generate over the previous one, all levels are
-combined with ``unionByName``, and events are merged by a partially
-aggregated ``groupBy(path)``.
+Level-wise walk inside the row: level 1 is the array of the members of a
+payload object; level *k+1* holds the members of the objects of level *k* (or
+of the first element of an array, when that element is an object, with ``[*]``
+in the path). All levels come from one read, are spread by one ``explode``,
+and events are merged by a partially aggregated ``groupBy(path)``.
 
 The number of levels comes from the data: one cheap ``schema_of_variant_agg``
 pass (partially aggregated, returns one schema string bounded by the schema
-width) gives the nesting depth; a final emptiness check of the next level
-covers fields whose merged type is ``VARIANT`` (mixed types). Deep payloads
-(more than ``CHAIN_LIMIT`` levels) checkpoint each level to the shared
-checkpoint folder instead of re-deriving it.
+width) gives the nesting depth; an emptiness check of the next level covers
+fields whose merged type is ``VARIANT`` (mixed types). A caller that knows the
+depth passes it and saves the pass.
 """
 
 from __future__ import annotations
@@ -22,8 +20,6 @@ from pyspark.sql import functions as F
 
 from eventide.functions.json import type_name
 
-CHAIN_LIMIT = 6
-
 
 def _obj(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
@@ -86,54 +82,52 @@ def schema_depth(schema: str) -> int:
     return _depth(node)
 
 
-def _level0(df: DataFrame, payload_col: str, keep: list[str]) -> DataFrame:
-    return df.select(*keep, F.explode(_obj(F.col(payload_col))).alias("path", "value"))
-
-
-def _next(level: DataFrame, keep: list[str]) -> DataFrame:
-    v = F.col("value")
-    obj = _obj(v)
-    first = _obj(F.try_variant_get(v, "$[0]", "variant"))
-    pre = F.when(obj.isNotNull(), F.concat("path", F.lit("."))).otherwise(F.concat("path", F.lit("[*].")))
-    members = F.when(obj.isNotNull(), obj).otherwise(first)
-    return (level.select(*keep, pre.alias("__pre"), F.explode(members).alias("__k", "value"))
-            .select(*keep, F.concat("__pre", "__k").alias("path"), "value"))
-
-
-def _levels(df: DataFrame, payload_col: str, keep: list[str], depth: int | None) -> DataFrame:
-    if depth is None:
-        merged = df.select(F.schema_of_variant_agg(F.col(payload_col))).first()[0] or ""
-        depth = max(1, schema_depth(merged))
-        # fields of mixed type (VARIANT in the merged schema) may nest deeper
-        check = "VARIANT" in merged
-    else:
-        check = False
-    ckpt = depth > CHAIN_LIMIT
-    if ckpt:
-        from eventide.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)  # the cluster's shared folder (a local one only when unset)
-    cur = _level0(df, payload_col, keep)
-    if ckpt:
-        cur = cur.checkpoint()
-    out = [cur]
-    d = 1
-    while True:
-        while d < depth:
-            cur = _next(cur, keep)
-            if ckpt:
-                cur = cur.checkpoint()
-            out.append(cur)
-            d += 1
-        if not check:
-            break
-        probe = _next(cur, keep)
-        if probe.isEmpty():
-            break
-        depth += 4
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+_MEMBERS = "array<struct<path:string,ord:string,value:variant>>"
+
+
+def _children(e: Column) -> Column:
+    """Members of an object, or of the object that is an array's first element."""
+    obj = _obj(e["value"])
+    first = _obj(F.try_variant_get(e["value"], "$[0]", "variant"))
+    sep = F.when(obj.isNotNull(), F.lit(".")).otherwise(F.lit("[*]."))
+    return F.coalesce(F.transform(F.map_entries(F.coalesce(obj, first)), lambda x: F.struct(
+        F.concat(e["path"], sep, x["key"]).alias("path"),
+        F.concat(e["ord"], F.lit("\0"), x["key"]).alias("ord"), x["value"].alias("value"))),
+        F.array().cast(_MEMBERS))
+
+
+def _levels(df: DataFrame, payload_col: str, keep: list[str], depth: int) -> DataFrame:
+    """``keep`` and the members of levels 1 to ``depth`` as arrays ``__l1`` ..; one row per input row."""
+    top = F.transform(F.map_entries(_obj(F.col(payload_col))), lambda x: F.struct(
+        x["key"].alias("path"), x["key"].alias("ord"), x["value"].alias("value")))
+    cur = df.select(*keep, F.coalesce(top, F.array().cast(_MEMBERS)).alias("__l1"))
+    for k in range(1, depth):
+        cur = cur.select("*", F.flatten(F.transform(f"__l{k}", _children)).alias(f"__l{k + 1}"))
+    return cur
+
+
+def _data_depth(df: DataFrame, payload_col: str) -> int:
+    """Levels of the payloads: one partially aggregated pass, one schema string to the driver."""
+    merged = df.select(F.schema_of_variant_agg(F.col(payload_col))).first()[0] or ""
+    depth = max(1, schema_depth(merged))
+    # fields of mixed type (VARIANT in the merged schema) may nest deeper
+    while "VARIANT" in merged and not _levels(df, payload_col, [], depth + 1).filter(
+            F.size(f"__l{depth + 1}") > 0).isEmpty():
+        depth += 1
+    return depth
+
+
+def _paths(df: DataFrame, payload_col: str, keep: list[str], depth: int | None) -> DataFrame:
+    """``keep`` and ``__p``: (path, order, type code) of every member, sorted; one row per input row."""
+    depth = depth or _data_depth(df, payload_col)
+    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
+    typed = [F.transform(F.transform(f"__l{k}", lambda e: F.struct(
+        e["path"].alias("path"), e["ord"].alias("ord"), e["value"].alias("value"),
+        F.schema_of_variant(e["value"]).alias("s"))), lambda e: F.struct(
+        e["path"].alias("path"), e["ord"].alias("ord"),
+        F.array_position(names, type_name(e["value"], e["s"])).cast("int").alias("code")))
+        for k in range(1, depth + 1)]
+    return _levels(df, payload_col, keep, depth).select(*keep, F.array_sort(F.concat(*typed)).alias("__p"))
 
 
 def event_paths(df: DataFrame, payload_col: str = "payload", keep: list[str] | None = None,
@@ -141,50 +135,63 @@ def event_paths(df: DataFrame, payload_col: str = "payload", keep: list[str] | N
     """DISC-1/2: one row per (event, path occurrence) with the type name
     (``field_type``). Non-object payloads (and NULL) yield nothing."""
     keep = list(keep if keep is not None else [c for c in df.columns if c != payload_col])
-    rec = _levels(df.select(*keep, payload_col), payload_col, keep, depth)
-    return rec.select(*keep, "path", type_name(F.col("value")).alias("field_type"))
+    names = F.array(*[F.lit(n) for n in TYPE_NAMES])
+    rec = _paths(df.select(*keep, payload_col), payload_col, keep, depth)
+    return rec.select(*keep, F.explode("__p").alias("__f")).select(
+        *keep, F.col("__f.path").alias("path"), F.element_at(names, F.col("__f.code")).alias("field_type"))
 
 
 # The type names of DISC-2, in code order for aggregation.
 TYPE_NAMES = ("string", "integer", "long", "double", "boolean", "array", "object", "null", "unknown")
+#: Place of a NULL ``seq`` in the order of events: after every 64-bit number.
+LAST_SEQ = "10000000000000000000"
 
 
 def discover(df: DataFrame, payload_col: str = "payload", seq_col: str = "seq",
              depth: int | None = None, group_cols: tuple[str, ...] = ()) -> DataFrame:
     """DISC-3 / AGG-11: (path, type, occurrences) over many payloads.
 
-    ``occurrences`` counts events containing the path; ``type`` is the type
-    in the earliest event by ``seq`` (first seen wins). A path repeated in one
-    event (a key containing ``.``) counts once, keeping its last type.
-    Type names are aggregated as small integer codes so both aggregations
-    stay hash-based (fixed-width buffers) with map-side partial aggregation.
+    Every row is one event, also when ``seq`` (a 64-bit number) repeats.
+    ``occurrences`` counts events containing the path; ``type`` is the type in
+    the event with the smallest ``seq`` (first seen wins; of equal ones the
+    first of ``TYPE_NAMES``, NULL last). A path repeated in one event (a key
+    containing ``.``) counts once and keeps the type met last in a depth-first
+    walk of the keys in order. Repeats are settled inside the row, so the only
+    shuffle is that of the partially aggregated (path, type) records.
     """
     keep = [*group_cols, seq_col]
+    rec = _paths(df.select(*keep, payload_col), payload_col, keep, depth)
+    last = F.filter("__p", lambda x, i: ~F.get(F.col("__p"), i + 1)["path"].eqNullSafe(x["path"]))
+    rec = rec.select(*keep, F.explode(last).alias("__f"))
+    # (seq, code) as one number: a fixed-width buffer keeps the aggregation hash-based
+    seq = F.coalesce(F.col(seq_col).cast("decimal(34,0)"), F.lit(LAST_SEQ).cast("decimal(34,0)"))
+    rec = rec.select(*group_cols, F.col("__f.path").alias("path"),
+                     (seq * F.lit(16).cast("decimal(2,0)") + F.col("__f.code").cast("decimal(2,0)")).alias("__t"))
+    out = rec.groupBy(*group_cols, "path").agg(F.min("__t").alias("__t"), F.count(F.lit(1)).alias("occurrences"))
     names = F.array(*[F.lit(n) for n in TYPE_NAMES])
-    rec = (event_paths(df, payload_col, keep, depth)
-           .withColumn("__t", F.array_position(names, F.col("field_type")).cast("int"))
-           .withColumn("__o", F.monotonically_increasing_id()))
-    per_event = rec.groupBy(*keep, "path").agg(F.max_by("__t", "__o").alias("__t"))
-    out = per_event.groupBy(*group_cols, "path").agg(
-        F.min_by("__t", F.col(seq_col)).alias("__t"),
-        F.count(F.lit(1)).alias("occurrences"))
-    return out.select(*group_cols, "path", F.element_at(names, F.col("__t")).alias("type"), "occurrences")
+    code = F.pmod(F.col("__t"), F.lit(16).cast("decimal(2,0)")).cast("int")
+    return out.select(*group_cols, "path", F.element_at(names, code).alias("type"), "occurrences")
 
 
 def field_sets(df: DataFrame, group_cols: list[str], payload_col: str = "payload",
                depth: int | None = None, count_col: str | None = None) -> DataFrame:
     """AGG-10: sorted set of field paths per group (names only).
 
-    ``collect_set`` holds distinct names, bounded by the schema width, not by
-    the number of rows; it is partially aggregated before the shuffle. With
+    Names are first made distinct per group by a hash aggregation and then
+    collected, so a group's state holds distinct names only. With
     ``count_col`` every input row also contributes a marker record, so the
-    same single aggregation yields the per-group row count (AGG-15) and
+    same single read yields the per-group row count (AGG-15) and
     groups whose payloads have no fields still appear (with ``[]``).
     """
     src = df.select(*group_cols, payload_col)
-    rec = _levels(src, payload_col, list(group_cols), depth).select(*group_cols, "path")
-    aggs = [F.array_sort(F.collect_set("path")).alias("field_names")]
+    depth = depth or _data_depth(src, payload_col)
+    paths = [F.transform(f"__l{k}", lambda e: e["path"]) for k in range(1, depth + 1)]
+    if count_col:
+        paths.append(F.array(F.lit(None).cast("string")))
+    rec = _levels(src, payload_col, list(group_cols), depth).select(
+        *group_cols, F.explode(F.concat(*paths)).alias("path"))
+    names = rec.groupBy(*group_cols, "path").agg(F.count(F.lit(1)).alias("__n"))
+    aggs = [F.array_sort(F.collect_list("path")).alias("field_names")]
     if count_col:
-        rec = rec.unionByName(src.select(*group_cols, F.lit(None).cast("string").alias("path")))
-        aggs.append(F.count_if(F.col("path").isNull()).alias(count_col))
-    return rec.groupBy(*group_cols).agg(*aggs)
+        aggs.append(F.sum(F.when(F.col("path").isNull(), F.col("__n"))).alias(count_col))
+    return names.groupBy(*group_cols).agg(*aggs)

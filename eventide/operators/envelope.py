@@ -101,14 +101,19 @@ def _epoch(ts: Column) -> Column:
     return (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(20,6)")
 
 
+def envelope_json(payload: Column, status: Column, error_message: Column, processed_at: Column) -> Column:
+    """ENV-3: JSON text of an envelope whose outcome is given; the other members are columns."""
+    return F.to_json(F.struct(
+        F.col("id").alias("id"), F.col("type").alias("type"), F.col("source").alias("source"),
+        _epoch(F.col("timestamp")).alias("timestamp"), payload.alias("payload"),
+        F.col("metadata").alias("metadata"), status.alias("status"),
+        error_message.alias("errorMessage"), _epoch(processed_at).alias("processedAt")))
+
+
 def serialize(df: DataFrame, out_col: str = "value") -> DataFrame:
     """ENV-3: envelope -> JSON text, NULL fields omitted, times as epoch seconds."""
-    return df.withColumn(out_col, F.to_json(F.struct(
-        F.col("id").alias("id"), F.col("type").alias("type"), F.col("source").alias("source"),
-        _epoch(F.col("timestamp")).alias("timestamp"), F.col("payload").alias("payload"),
-        F.col("metadata").alias("metadata"), F.col("status").alias("status"),
-        F.col("error_message").alias("errorMessage"),
-        _epoch(F.col("processed_at")).alias("processedAt"))))
+    return df.withColumn(out_col, envelope_json(F.col("payload"), F.col("status"), F.col("error_message"),
+                                                F.col("processed_at")))
 
 
 def build_envelopes(requests: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -138,7 +143,11 @@ def _blank(c: Column) -> Column:
 
 
 def parse_requests(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """VAL-3 + VAL-1: parse request bodies, list violated fields, flag validity."""
+    """VAL-3 + VAL-1: parse request bodies, list violated fields, flag validity.
+
+    A body is malformed when it is not a JSON object or holds an object or
+    array where text belongs; a malformed body has no violations.
+    """
     v = F.try_parse_json(F.col(value_col))
     t_raw, s_raw, p_raw = (F.try_variant_get(v, f"$['{k}']", "variant") for k in ("type", "source", "payload"))
     t = F.when(kind(t_raw) != "null", as_text(t_raw))
@@ -147,7 +156,8 @@ def parse_requests(df: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(_blank(t), F.lit("type")), F.when(_blank(s), F.lit("source")),
         # only an absent payload violates: a JSON null is a (null) JSON node
         F.when(p_raw.isNull(), F.lit("payload"))))
-    malformed = v.isNull()
+    nested = [F.coalesce(kind(r).isin("object", "array"), F.lit(False)) for r in (t_raw, s_raw)]
+    malformed = v.isNull() | (kind(v) != "object") | nested[0] | nested[1]
     return df.withColumns({
         "type": t, "source": s, "payload": p_raw,
         "metadata": F.try_variant_get(v, "$['metadata']", "variant"),
@@ -171,3 +181,13 @@ def check_batch_size(df: DataFrame, batch_col: str = "batch_id", max_batch: int
         "batch_error": F.when(F.col("batch_size") > max_batch, F.format_string(
             "Batch size %d exceeds maximum of %d", F.col("batch_size"), F.lit(max_batch))),
     })
+
+
+def check_batch_requests(parsed: DataFrame, batch_col: str = "batch_id") -> DataFrame:
+    """VAL-1/3 for batches: one invalid or malformed request rejects its whole batch.
+
+    Input: the output of ``parse_requests``. Counts are partially aggregated
+    per batch and joined back, as in ``check_batch_size``.
+    """
+    bad = parsed.groupBy(batch_col).agg(F.count_if(~F.col("valid")).alias("invalid_requests"))
+    return parsed.join(bad, batch_col, "left").withColumn("batch_invalid", F.col("invalid_requests") > 0)

@@ -190,12 +190,47 @@ def _set_path(m: Column, parts: list[str], val: Column) -> Column:
 
 
 def _flatten_into(m: Column, parts: list[str], obj: Column) -> Column:
-    """FLATTEN of an object: copy its members under ``parts`` (root when empty)."""
+    """FLATTEN of an object: copy its members under ``parts``.
+
+    At the root (no ``parts``) a member's key stays a key; below a prefix a
+    ``.`` in it nests, as in any destination path (MAP-9).
+    """
     if not parts:
         return F.map_concat(m, _obj_map(obj))
     head, rest = parts[0], parts[1:]
-    merged = F.to_variant_object(_flatten_into(_obj_map(m[head]), rest, obj))
-    return F.map_concat(m, F.create_map(F.lit(head), merged))
+    inner = _obj_map(m[head])
+    merged = _flatten_into(inner, rest, obj) if rest else _nest_members(inner, _obj_map(obj))
+    return F.map_concat(m, F.create_map(F.lit(head), F.to_variant_object(merged)))
+
+
+def _nest_members(m: Column, members: Column) -> Column:
+    """Members added to ``m``, their dotted keys as paths (trailing dots dropped), of any depth.
+
+    Only objects that hold a dotted key take the second way: all entries are
+    (path, value) pairs, and from the deepest level up the pairs of one parent
+    become that parent's object, merged over the object it already is.
+    """
+    dotted = F.exists(F.map_keys(members), lambda k: F.contains(k, F.lit(".")))
+    own = F.transform(F.map_entries(m), lambda e: F.struct(F.array(e["key"]).alias("p"), e["value"].alias("v")))
+    new = F.transform(F.map_entries(members), lambda e: F.struct(
+        F.split(F.rtrim(e["key"], F.lit(".")), r"\.").alias("p"), e["value"].alias("v")))
+    pairs = F.concat(own, new)
+
+    def lift(acc: Column, level: Column) -> Column:
+        deep = F.filter(acc, lambda e: F.size(e["p"]) == level)
+        rest = F.filter(acc, lambda e: F.size(e["p"]) < level)
+        parents = F.array_distinct(F.transform(deep, lambda e: F.slice(e["p"], F.lit(1), level - 1)))
+        built = F.transform(parents, lambda q: F.struct(q.alias("p"), F.to_variant_object(F.map_concat(
+            _obj_map(F.try_element_at(F.filter(rest, lambda e: e["p"] == q), F.lit(-1))["v"]),
+            F.map_from_entries(F.transform(
+                F.filter(deep, lambda e: F.slice(e["p"], F.lit(1), level - 1) == q),
+                lambda e: F.struct(F.element_at(e["p"], -1), e["v"]))))).alias("v")))
+        return F.concat(rest, built)
+
+    deepest = F.greatest(F.array_max(F.transform(pairs, lambda e: F.size(e["p"]))), F.lit(2))
+    nested = F.aggregate(F.sequence(deepest, F.lit(2), F.lit(-1)), pairs, lift)
+    nested = F.map_from_entries(F.transform(nested, lambda e: F.struct(F.get(e["p"], F.lit(0)), e["v"])))
+    return F.when(dotted, nested).otherwise(F.map_concat(m, members))
 
 
 def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_col: str = "payload",

@@ -236,6 +236,21 @@ def volume_spike(spark, sf):
                      F.round("score", 4).alias("score"), "severity")
 
 
+@query("volume_descriptions", _se_window(86400) + """
+SELECT event_type, event_source, strftime(window_start AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start,
+  CASE WHEN event_count < avg_count THEN 'Volume drop detected' ELSE 'Volume spike detected' END AS title,
+  event_type || ' events from ' || event_source || ': ' || event_count || ' events in last 1440 min (avg: ' ||
+  CAST(round(avg_count) AS BIGINT) || CASE WHEN event_count < avg_count
+    THEN ', drop: ' || CAST(round((1 - event_count / avg_count) * 100) AS BIGINT) || '%)'
+    ELSE printf(', z-score: %.1f)', (event_count - avg_count) / stddev_count) END AS description
+FROM g WHERE stddev_count IS NOT NULL AND stddev_count <> 0 AND event_count >= 10
+  AND ((event_count - avg_count) / stddev_count > 2.0 OR (event_count < avg_count * 0.8 AND avg_count > 10))""")
+def volume_descriptions(spark, sf):
+    """FN-10: alert titles and texts, at thresholds low enough for many alerts."""
+    _, alerts = ST.detect_volume(stored_events(spark, sf), "1 day", spike_z=2.0, drop_ratio=0.8)
+    return alerts.select("event_type", "event_source", fmt("window_start").alias("window_start"), "title", "description")
+
+
 @query("volume_drop", _se_window(604800, 4 * 86400) + """
 SELECT event_type, event_source, strftime(window_start AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start, event_count,
   round((1 - event_count / avg_count) * 100, 4) AS score, 'MEDIUM' AS severity FROM g
@@ -378,6 +393,15 @@ def alerts_by_detector(spark, sf):
         "detector_type", "event_type", "event_id", "resolved")
 
 
+@query("resolve_unknown", f"""
+SELECT 'no-alert-' || CAST(label AS VARCHAR) AS id FROM (SELECT DISTINCT label FROM embeddings)""")
+def resolve_unknown(spark, sf):
+    """SNK-10: ids to resolve that no alert carries are reported, the others are not."""
+    em = A.to_alerts(EMB.outliers(event_vectors(spark, sf), sample=None), ["event_type", "event_id"])
+    asked = event_vectors(spark, sf).select(F.concat(F.lit("no-alert-"), "type").alias("id")).unionByName(em.select("id"))
+    return A.resolve(em, asked)[1]
+
+
 LIVE_AS_OF = "2024-01-30 12:00:00"
 LIVE_START = "2024-01-29 12:00:00"
 SRC = "'src-' || CAST(user_id % 5 AS VARCHAR)"

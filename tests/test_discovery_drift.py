@@ -59,3 +59,14 @@ def test_added_removed_none(spark):
     assert c[1]["added"] == ["discount"] and c[1]["removed"] == []
     assert c[2]["removed"] == ["discount"]
     assert c[4]["field_names"] == [] and c[4]["sample_count"] == 1
+
+
+def test_events_sharing_a_seq_are_events_of_their_own(spark):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (1, '{"a": "x"}'), (None, '{"b": true}'), (2, None)], "seq long, p string")
+    got = discover(df.select("seq", F.try_parse_json("p").alias("payload")))
+    assert sorted(map(tuple, got.collect())) == [("a", "string", 2), ("b", "boolean", 1)]
+
+
+def test_a_repeated_path_keeps_the_type_met_last(payloads):
+    got = discover(payloads({"a": {"b": "x"}, "a.b": 1}))
+    assert sorted(map(tuple, got.collect())) == [("a", "object", 1), ("a.b", "integer", 1)]

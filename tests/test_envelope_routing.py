@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from eventide.model import Flow, m
 from eventide.operators import envelope as ENV
-from eventide.operators.routing import dead_letter_rows, route, split, transform
+from eventide.operators.routing import dead_letter_rows, fan_out, route, split, transform
 
 FLOW = Flow("test-flow", "in", "out", (m("userId", "customerId"), m("total", "amount", "TO_DOUBLE")))
 
@@ -113,3 +113,29 @@ def test_hostile_records_are_dead_letters_not_failures(spark):
     got = parse_envelopes(spark.createDataFrame(rows + [('{"id": "x", "type": "t", "status": 2}',)], "value string"))
     out = got.select("parse_ok", "status", "timestamp").collect()
     assert [r["parse_ok"] for r in out] == [False] * len(bad) + [True]
+
+
+def test_bodies_that_are_no_requests(spark):
+    bodies = ["[1,2]", "5", "null", '{"type":{"a":1},"source":"s","payload":1}', '{"type":"t","source":"s","payload":null}']
+    df = spark.createDataFrame([(i // 4, b) for i, b in enumerate(bodies)], "batch_id int, value string")
+    parsed = ENV.parse_requests(df)
+    got = [(r["malformed"], r["violations"]) for r in parsed.collect()]
+    assert got == [(True, [])] * 4 + [(False, [])]
+    batches = ENV.check_batch_requests(parsed).select("batch_id", "invalid_requests", "batch_invalid").distinct().collect()
+    assert sorted(map(tuple, batches)) == [(0, 4, True), (1, 0, False)]
+
+
+def test_fan_out_reads_each_definitions_own_topic(spark):
+    rows = [("k1", env(), "in"), ("k2", env(payload={"total": "x"}), "in"), ("k3", "{bad", "other"), ("k4", env(), "none")]
+    df = spark.createDataFrame(rows, "key string, value string, topic string")
+    flows = [Flow("a", "in", "a.out", FLOW.mappings, state="ACTIVE"), Flow("b", "other", "b.out", (), state="ACTIVE"),
+             Flow("c", "in", "c.out", (m("userId", "u"),), dead_letter_topic="c.dlq", state="ACTIVE")]
+    got = {(r["flow"], r["key"]): r for r in fan_out(df, flows).collect()}
+    assert {k: (r["topic"], r["ok"]) for k, r in got.items()} == {
+        ("a", "k1"): ("a.out", True), ("a", "k2"): ("events.failed", False), ("b", "k3"): ("events.failed", False),
+        ("c", "k1"): ("c.out", True), ("c", "k2"): ("c.out", True)}
+    one = route(transform(df.filter("key = 'k2'"), flows[0]), flows[0]).first()
+    skip = {"processedAt"}
+    assert {k: v for k, v in json.loads(got["a", "k2"]["value"]).items() if k not in skip} == {
+        k: v for k, v in json.loads(one["value"]).items() if k not in skip}
+    assert got["b", "k3"]["value"] == "{bad"

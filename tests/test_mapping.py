@@ -140,3 +140,13 @@ def test_error_only_when_applied(payloads):
 def test_quoted_keys(payloads):
     out, _ = mapped(payloads, {"it's": {"a-b c": 1}}, [m("it's.a-b c", "o\"k")])
     assert out == {"o\"k": 1}
+
+
+def test_flatten_nests_dotted_keys_below_a_prefix(payloads):
+    out, _ = mapped(payloads, {"o": {"x.y": 1, "x.z.q": 2, "x.z.r": {"k": 1}, "w": 3}}, [m("o", "p", "FLATTEN")])
+    assert out == {"p": {"x": {"y": 1, "z": {"q": 2, "r": {"k": 1}}}, "w": 3}}
+    out, _ = mapped(payloads, {"v": 0, "o": {"x": {"a": 1}, "x.b": 2, "t.": 5}},
+                    [m("v", "p.x.old"), m("v", "p.kept"), m("o", "p", "FLATTEN")])
+    assert out == {"p": {"kept": 0, "x": {"a": 1, "b": 2}, "t": 5}}
+    out, _ = mapped(payloads, {"o": {"x.y": 1}}, [m("o", "", "FLATTEN")])
+    assert out == {"x.y": 1}

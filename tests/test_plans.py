@@ -38,3 +38,17 @@ def test_no_python_udfs_anywhere(spark):
     for name in ["flagship_route_status", "map_flatten", "discover_orders", "cosine_distance", "schema_drift"]:
         p = plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+
+
+def scans(spark, name):
+    df = E.queries()[name](spark, SF)
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_fan_out_reads_its_tables_once(spark):
+    assert scans(spark, "fanout_counts") == 2  # orders and customer, for two definitions
+
+
+def test_discovery_reads_its_table_once(spark):
+    assert scans(spark, "discover_documents") == 1
+    assert plan(spark, "discover_documents").split("== Optimized")[0].count("Exchange hashpartitioning") == 1
