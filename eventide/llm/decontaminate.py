@@ -16,7 +16,12 @@ The index holds the test items; the training passages are the queries.
 * Verification: the item's question (all but its last sentence) and answer
   (its last sentence; of a single sentence, its last quarter) are aligned to
   the passage. Both must overlap by ``MIN_OVERLAP`` of their words in common
-  runs of ``RUN_WORDS`` words or more.
+  runs of ``RUN_WORDS`` words or more, or the item must lie there as a lightly
+  edited copy: aligned as a whole, word by word in order, with ``RUN_WORDS``
+  words in a row, question and answer each miss at most ``1 - MIN_OVERLAP`` of
+  their words (one word in short ones), and the item misses no more than that
+  in all. A part of one word may only be missed if nothing of the other is; in
+  place of an answer another word must stand.
 
 The benchmark is read in shards of ``SHARD_ITEMS`` items, each small enough to
 send to every task; all documents are run against every shard. Documents are
@@ -28,6 +33,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -44,6 +50,8 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 MIN_OVERLAP = 0.8
 RUN_WORDS = 3
+#: Cost of a passage word skipped inside an aligned copy (a common word earns 1).
+SKIP = 0.5
 PASSAGE = 128
 BLOCK = 16
 SHARD_ITEMS = 20_000
@@ -73,6 +81,65 @@ def overlap(part: list[str], passage: list[str], run: int = RUN_WORDS) -> float:
     return sum(b.size for b in blocks if b.size >= min(run, len(part))) / len(part)
 
 
+def align(item: list[str], passage: list[str]) -> tuple[list[int], int]:
+    """Item positions aligned to equal passage words, in order, and the first passage word after them.
+
+    The alignment is the one with most common words less ``SKIP`` for each
+    passage word skipped between them; item words are left out at no cost.
+    """
+    n = len(passage)
+    best = [0.0] * (n + 1)  # best alignment of the item so far that ends before a passage position
+    rows = []
+    for w in item:
+        # per position: 0 as without this word, 1 aligned to it, 2 the passage word is skipped
+        new, how = [best[0]], [0]
+        for j, p in enumerate(passage, 1):
+            x, k = best[j], 0
+            if p == w and best[j - 1] + 1 >= x:
+                x, k = best[j - 1] + 1, 1
+            if new[-1] - SKIP > x:
+                x, k = new[-1] - SKIP, 2
+            new.append(x)
+            how.append(k)
+        rows.append(how)
+        best = new
+    j = end = max(range(n + 1), key=best.__getitem__)
+    i, out = len(item), []
+    while i:
+        k = rows[i - 1][j]
+        if k == 1:
+            out.append(i - 1)
+        i, j = i - (k != 2), j - (k != 0)
+    return out[::-1], end
+
+
+def edited_copy(question: list[str], answer: list[str], passage: list[str]) -> tuple[float, float] | None:
+    """Aligned shares of question and answer if the item lies in the passage as a lightly edited copy."""
+    words_in = Counter(passage)
+
+    def most(n: int) -> int:
+        return max(1, int(n * (1 - MIN_OVERLAP) + 1e-9))
+    # no alignment has more common words than the bags
+    for part in (question, answer):
+        if len(part) - (Counter(part) & words_in).total() > most(len(part)):
+            return None
+    hits, end = align(question + answer, passage)
+    cut = len(question)
+    q = sum(h < cut for h in hits)
+    a = len(hits) - q
+    run = longest = 0
+    for before, h in zip([None, *hits], hits):
+        run = run + 1 if before is not None and h == before + 1 else 1
+        longest = max(longest, run)
+    missed = cut + len(answer) - len(hits)
+    if cut - q > most(cut) or len(answer) - a > most(len(answer)) or missed > most(cut + len(answer)) \
+            or longest < min(RUN_WORDS, cut + len(answer)):
+        return None
+    if cut and not q and a < len(answer) or answer and not a and (q < cut or end >= len(passage)):
+        return None
+    return q / max(cut, 1), a / max(len(answer), 1)
+
+
 @dataclass
 class Index:
     ids: np.ndarray
@@ -197,7 +264,12 @@ def matches(ix: Index, texts: list[str | None]) -> list[list[tuple[int, float, f
         d = int(np.searchsorted(places, begin, side="right")) - 1
         passage = tokens[d][begin - places[d]:begin - places[d] + ix.passage]
         q, a = (overlap(p, passage) for p in ix.parts[i])
-        if q >= MIN_OVERLAP and a >= MIN_OVERLAP and found.get((d, i), (0.0,))[0] < score:
+        if q < MIN_OVERLAP or a < MIN_OVERLAP:
+            copy = edited_copy(*ix.parts[i], passage)
+            if copy is None:
+                continue
+            q, a = max(q, copy[0]), max(a, copy[1])
+        if found.get((d, i), (0.0,))[0] < score:
             found[d, i] = (score, q, a)
     for (d, i), (score, q, a) in sorted(found.items(), key=lambda x: (x[0][0], ix.ids[x[0][1]])):
         out[d].append((int(ix.ids[i]), round(score, 6), round(q, 6), round(a, 6)))

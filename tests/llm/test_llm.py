@@ -149,6 +149,25 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(empty(spark), items(spark)).count() == 0
 
 
+def test_every_single_word_edit_is_found():
+    texts = ITEMS[:2] + ["Where does the old northern railway line to Kastel end today, by the lake or in the hills? Lake Mirn.",
+                         "Why? Because the copper bridge over the Senn was sold to Brale in spring.",
+                         "Who painted the seven green doors of the harbour in Orla and left without a word? Tamsin."]
+    df = collections.Counter(w for t in texts for w in set(decontaminate.words(t)))
+    ix = decontaminate.build(list(enumerate(texts)), df, len(texts), 15.0, threshold=0.5)
+    noise = random.Random(3).choices(VOCABULARY, k=80)
+    copies = []
+    for i, t in enumerate(texts):
+        w = decontaminate.words(t)
+        copies += [(i, [*noise, *w[:k], *new, *w[k + 1:], *noise]) for k in range(len(w)) for new in (["zzz"], [], [w[k], "zzz"])
+                   if new or len(decontaminate.question_answer(t)[1]) > 1 or k < len(w) - 1]
+    got = decontaminate.matches(ix, [" ".join(c) for _, c in copies])
+    assert [i for (i, _), g in zip(copies, got) if i not in [m[0] for m in g]] == []
+    # questions without their answers are none
+    alone = [" ".join([*noise, *decontaminate.question_answer(t)[0], *noise]) for t in texts[:3]]
+    assert decontaminate.matches(ix, alone) == [[], [], []]
+
+
 def test_block_max_retrieval_is_exhaustive():
     r = random.Random(4)
     vocabulary = [f"t{i}" for i in range(80)]
