@@ -26,7 +26,8 @@ The index holds the test items; the training passages are the queries.
 The benchmark is read in shards of ``SHARD_ITEMS`` items, each small enough to
 send to every task; all documents are run against every shard. Documents are
 not shuffled. Null texts have no words; items without words match nothing;
-item rows that repeat are one item; an empty benchmark or table gives no rows.
+item rows that repeat (same id and text) are one item, an id with several texts
+or none stands for an item of each text; an empty benchmark or table gives no rows.
 """
 
 from __future__ import annotations
@@ -142,7 +143,7 @@ def edited_copy(question: list[str], answer: list[str], passage: list[str]) -> t
 
 @dataclass
 class Index:
-    ids: np.ndarray
+    ids: list[int | None]
     parts: list[tuple[list[str], list[str]]]
     vocabulary: dict[str, int]
     start: np.ndarray  # postings of a term: start[t]:start[t+1], by item
@@ -157,10 +158,10 @@ class Index:
     threshold: float
 
 
-def build(rows: list[tuple[int, str]], df: dict[str, int], n_items: int, avg_len: float,
+def build(rows: list[tuple[int | None, str]], df: dict[str, int], n_items: int, avg_len: float,
           threshold: float = THRESHOLD) -> Index:
     """Index of one shard of items."""
-    ids = np.array([r[0] for r in rows], np.int64)
+    ids = [r[0] for r in rows]
     tokens = [words(r[1]) for r in rows]
     vocabulary: dict[str, int] = {}
     t_, i_, w_ = [], [], []
@@ -245,8 +246,8 @@ def retrieve(ix: Index, terms: np.ndarray) -> list[tuple[int, int, float]]:
     return out
 
 
-def matches(ix: Index, texts: list[str | None]) -> list[list[tuple[int, float, float, float]]]:
-    """(item id, score, question overlap, answer overlap) of each text, by item id."""
+def matches(ix: Index, texts: list[str | None]) -> list[list[tuple[int | None, float, float, float]]]:
+    """(item id, score, question overlap, answer overlap) of each text, one per item, null ids first, then by id."""
     tokens = [words(t) for t in texts]
     get = ix.vocabulary.get
     out: list[list] = [[] for _ in texts]
@@ -271,20 +272,23 @@ def matches(ix: Index, texts: list[str | None]) -> list[list[tuple[int, float, f
             q, a = max(q, copy[0]), max(a, copy[1])
         if found.get((d, i), (0.0,))[0] < score:
             found[d, i] = (score, q, a)
-    for (d, i), (score, q, a) in sorted(found.items(), key=lambda x: (x[0][0], ix.ids[x[0][1]])):
-        out[d].append((int(ix.ids[i]), round(score, 6), round(q, 6), round(a, 6)))
+    for (d, i), (score, q, a) in sorted(found.items()):  # items are in id order
+        out[d].append((ix.ids[i], round(score, 6), round(q, 6), round(a, 6)))
     return out
 
 
 def shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """Indexes of the benchmark, ``SHARD_ITEMS`` items at a time, in id order."""
+    """Indexes of the benchmark, ``SHARD_ITEMS`` items at a time, in id and text hash order, null ids first."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
-        "id is not null and text is not null").groupBy("id").agg(F.min("text").alias("text"))
+        "text is not null").distinct()
+    keys = ["has_id", "n", "h", "text"]
+    keyed = rows.withColumns({"has_id": F.col("id").isNotNull(), "n": F.coalesce("id", F.lit(0)), "h": F.xxhash64("text")})
     low = None
     n_items, avg_len, df_all = None, 0.0, None
     while True:
-        part = rows if low is None else rows.where(F.col("id") > low)
-        got = [(r["id"], r["text"]) for r in part.orderBy("id").limit(SHARD_ITEMS).collect()]
+        part = keyed if low is None else keyed.where(F.struct(*keys) > F.struct(*[F.lit(low[k]).alias(k) for k in keys]))
+        page = part.orderBy(*keys).limit(SHARD_ITEMS).collect()
+        got = [(r["id"], r["text"]) for r in page]
         if not got:
             return
         if n_items is None:
@@ -302,7 +306,7 @@ def shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text") ->
             df = {w: df.get(w, 1) for _, t in got for w in words(t)}
         if any(words(t) for _, t in got):
             yield build(got, df, n_items, max(avg_len, 1.0))
-        low = got[-1][0]
+        low = page[-1]
 
 
 _FOUND = "array<struct<item_id:long,score:double,question:double,answer:double>>"
@@ -332,7 +336,7 @@ def find(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, score, question_overlap, answer_overlap): one row per document row and item found."""
+    """(doc_id, item_id, score, question_overlap, answer_overlap): one row per document row and item (id and text) found."""
     hits = find(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), items, "text")
     return hits.select("doc_id", F.explode("__found").alias("f")).select(
         "doc_id", F.col("f.item_id").alias("item_id"), F.col("f.score").alias("score"),

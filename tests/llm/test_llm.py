@@ -149,6 +149,20 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(empty(spark), items(spark)).count() == 0
 
 
+@pytest.mark.parametrize("shard", [20_000, 2])
+def test_items_are_told_apart_by_id_and_text(spark, monkeypatch, shard):
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", shard)
+    more = ["Which bell rang over the harbour of Tarn at noon? The bell of Saint Odo.",
+            "Who kept the keys of the eastern gate that winter? The miller and his two sons."]
+    bench = spark.createDataFrame([(0, ITEMS[0]), (0, ITEMS[1]), (0, ITEMS[0]), (1, more[0]), (2, more[0]),
+                                   (None, more[1]), (None, ITEMS[2]), (-3, None)], "item_id long, text string")
+    texts = ["x y " + t + " z" for t in [*ITEMS, *more]] + [ITEMS[0] + " " + ITEMS[1], "none of them"]
+    got = decontaminate.contaminated(frame(spark, texts), bench).collect()
+    assert collections.Counter((r["doc_id"], r["item_id"]) for r in got) == {
+        (0, 0): 1, (1, 0): 1, (2, None): 1, (3, 1): 1, (3, 2): 1, (4, None): 1, (5, 0): 2}
+    assert [r["doc_id"] for r in decontaminate.keep_clean(frame(spark, texts), bench).collect()] == [6]
+
+
 def test_every_single_word_edit_is_found():
     texts = ITEMS[:2] + ["Where does the old northern railway line to Kastel end today, by the lake or in the hills? Lake Mirn.",
                          "Why? Because the copper bridge over the Senn was sold to Brale in spring.",
