@@ -8,7 +8,8 @@
 * Method spans (kind ``random``): tokens of ``TOKEN`` characters are scored by
   two first-order character Markov models, one of random strings and one of
   ordinary identifiers; a token is kept when the summed log-likelihood ratio
-  reaches ``MIN_LLR`` nats. Tokens overlapping a base span add nothing.
+  reaches ``MIN_LLR`` nats. Base spans are cut out first: of a token that
+  touches one, each part left is scored as a token of its own.
 * Training: a sample of ``SAMPLE_TEXTS`` distinct texts at most (the smallest
   text hashes, so it does not depend on row order); identifiers are its words
   outside base spans that are not tokens to score, names joined from them,
@@ -124,8 +125,21 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_TEXTS) -
     return (logs[1] - logs[0]).reshape(-1)
 
 
-def random_spans(model: np.ndarray, text: str = "__text", base: str = "__base", min_llr: float = MIN_LLR) -> Column:
-    """Token spans that the models call random and no base span overlaps."""
+def _without(text: str, spans: str, fill: str) -> Column:
+    """The text with ``fill`` for each character of the spans, which are ordered by start and may overlap."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def add(a: Column, s: Column) -> Column:
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(
+            a["out"], F.substring(F.col(text), a["at"] + 1, s["start"] - a["at"]),
+            F.repeat(F.lit(fill), s["end"] - F.greatest(a["at"], s["start"]))).alias("out"))
+    cut = F.aggregate(spans, start, add, lambda a: F.concat(
+        a["out"], F.substring(F.col(text), a["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, cut).otherwise(F.col(text))
+
+
+def random_spans(model: np.ndarray, text: str = "__rest", min_llr: float = MIN_LLR) -> Column:
+    """Token spans that the models call random. ``text`` holds spaces for its base spans."""
     table = F.lit(model)
     tokens = F.regexp_extract_all(F.col(text), _lit(TOKEN), F.lit(0))
     between = F.split(F.col(text), TOKEN, -1)
@@ -142,14 +156,15 @@ def random_spans(model: np.ndarray, text: str = "__text", base: str = "__base",
             (a["at"] + s["gap"]).alias("start"), F.lit(3).alias("kind"),
             (a["at"] + s["gap"] + s["n"]).alias("end")))).otherwise(a["out"]).alias("out")),
         lambda a: a["out"])
-    run = F.filter(run, lambda r: ~F.exists(F.col(base), lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
     return F.when(F.col(text).rlike(TOKEN), run).otherwise(F.array().cast(_SPAN))
 
 
 def scan(docs: DataFrame, text_col: str = "text", model: np.ndarray | None = None) -> DataFrame:
-    """``docs`` with ``__text`` (never null), ``__base`` and ``__spans`` (all spans by start, then kind)."""
+    """``docs`` with ``__text`` (never null), ``__base``, ``__rest`` (the text without base spans) and ``__spans``
+    (all spans by start, then kind)."""
     model = train(docs, text_col) if model is None else model
     found = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("__base", base_spans())
+    found = found.withColumn("__rest", _without("__text", "__base", " "))
     return found.withColumn("__spans", F.array_sort(F.concat("__base", random_spans(model))))
 
 
