@@ -12,10 +12,11 @@
   touches one, each part left is scored as a token of its own.
 * Training: a sample of ``SAMPLE_TEXTS`` distinct texts at most (the smallest
   text hashes, so it does not depend on row order); identifiers are its words
-  outside base spans that are not tokens to score, names joined from them,
-  dates and long decimal numbers (card, phone and record numbers are no
-  secrets); random strings are its base values and encoded digests. The model is one table of
-  ``len(ALPHABET)**2`` numbers, whatever the size of the input.
+  outside base spans, long ones too unless they are ``MIXED``, names joined from
+  them, dates and long decimal numbers (card, phone and record numbers are no
+  secrets); random strings are its base values and encoded digests, letters of
+  one case among them. The model is one table of ``len(ALPHABET)**2`` numbers,
+  whatever the size of the input.
 
 Null text is empty and has no spans; an empty table gives no rows; repeated
 rows are scanned each on their own.
@@ -35,8 +36,10 @@ ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 8, 16, 32
 KINDS = ["assign", "access", "hex", "random"]
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: A token worth scoring: long enough, with a digit or a capital after a small letter.
-TOKEN = r"(?=[A-Za-z+/_=-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_=-]{16,}"
+#: A token to score: as many characters as the base patterns ask of a value. The ratio alone decides.
+TOKEN = r"[A-Za-z0-9+/_=-]{8,}"
+#: Tokens that may be secrets and are no training words: with a digit or a capital after a small letter.
+MIXED = r"^(?=[A-Za-z+/_=-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_=-]{8,}$"
 MIN_LLR = 8.0
 SAMPLE_TEXTS = 1000
 #: Added to each pair count.
@@ -95,14 +98,17 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE_TEXTS) -
     values = F.transform(values, lambda v: F.regexp_extract(v, r"([A-Za-z0-9+/_.=-]+)$", 1))
     encoded = F.base64(F.unhex("digest"))
     random = F.concat(values, F.array(F.col("digest"), encoded, F.translate(encoded, "+/", "-_"),
-                                      F.upper(F.translate(encoded, "+/=", "")), F.translate(encoded, "+/=", "")))
+                                      F.upper(F.translate(encoded, "+/=", "")), F.translate(encoded, "+/=", ""),
+                                      F.lower(F.translate(encoded, "0123456789+/=", "")),
+                                      F.upper(F.translate(encoded, "0123456789+/=", ""))))
     clear = F.aggregate("__spans", F.col("__text"), lambda t, s: F.replace(
         t, F.substring(F.col("__text"), s["start"] + 1, s["end"] - s["start"]), F.lit(" ")))
-    words = F.filter(F.split(clear, r"[^A-Za-z0-9+/_=-]+"), lambda w: (F.length(w) >= 3) & ~w.rlike(TOKEN))
+    words = F.filter(F.split(clear, r"[^A-Za-z0-9+/_=-]+"), lambda w: (F.length(w) >= 3) & ~w.rlike(MIXED))
     spans = spans.withColumn("words", words)
     after = F.transform("words", lambda w, i: F.coalesce(F.get("words", i + 1), w))
     spans = spans.withColumn("names", F.zip_with("words", after, lambda a, b: F.concat(
-        F.lower(a), F.lit("_"), F.lower(b), F.initcap(F.lower(a)), F.lit("-"), F.lower(b))))
+        F.lower(a), F.lit("_"), F.lower(b), F.initcap(F.lower(a)), F.lit("-"), F.lower(b), F.lit("/"), F.lower(a),
+        F.lit("/"), F.upper(b), F.lit("_"), F.upper(a))))
     year = F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(F.col("h"), F.lit(20000)).cast("int")),
                          "yyyy-MM-dd")
     number = F.pmod(F.col("h"), F.lit(10 ** 16)).cast("string")

@@ -266,6 +266,18 @@ def test_rest_of_a_token_beside_a_base_span(spark):
     assert [r["text"] for r in secrets.redact(docs).orderBy("doc_id").collect()][:2] == ["[SECRET][SECRET]", "é [SECRET][SECRET] é"]
 
 
+def test_random_strings_of_one_case_and_short_ones(spark):
+    r = random.Random(12)
+    lower, upper, mixed = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    keys = ["xkqzjvwbfhgtqmzrxkcvpwnd", "XKQZJVWBFHGTQMZRXKCVPWND", "k9Xv2Qp7Zr4T"]
+    keys += ["".join(r.choices(a, k=n)) for a, n in [(lower, 24), (upper, 24), (mixed, 10), (mixed, 15)] for _ in range(10)]
+    plain = [w.upper() for w in ("administrators", "configuration", "responsibilities")] + ["International", "Responsibilities/Communication"]
+    docs = frame(spark, [f"under {k} here" for k in keys + plain] + prose(40))
+    n = [x["n"] for x in secrets.scan(docs).orderBy("doc_id").select(secrets.count_kind("__spans", 3).alias("n")).collect()]
+    assert n[:3] == [1, 1, 1] and sum(n[:len(keys)]) >= 0.9 * len(keys)
+    assert sum(n[len(keys):]) == 0
+
+
 def test_redaction(spark):
     docs = frame(spark, ["before password=abcdefgh1 after", "clean text", None])
     got = secrets.redact(docs).orderBy("doc_id").collect()
