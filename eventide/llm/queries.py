@@ -77,9 +77,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_token_files")
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of every document, written as directly addressable codes and read back."""
+    """Token ids of every document as the library encodes them, written as directly addressable codes and read back."""
     path = f"{checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    tokenfile.write(read_table(spark, sf_dir, "documents"), path, BYTE_BPE, END_ID)
+    tokenfile.write(read_table(spark, sf_dir, "documents"), path, BYTE_BPE, END_ID, special_text=False)
     return tokenfile.read(spark, path)
 
 

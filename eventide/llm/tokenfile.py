@@ -273,6 +273,13 @@ def word_parts(word: str, odd: set[str]) -> tuple[str, ...]:
     return (word,)
 
 
+def added_tokens(tokenizer) -> re.Pattern | None:
+    """Pattern of the added tokens that a text is cut at; None if none is, or if the library has to cut."""
+    added = [t for t in tokenizer.get_added_tokens_decoder().values() if not (t.special and tokenizer.encode_special_tokens)]
+    # earliest match, then the longest, as the library
+    return re.compile("|".join(re.escape(t.content) for t in sorted(added, key=lambda t: -len(t.content)))) if added else None
+
+
 class _Words(dict):
     """Ids (as bytes) of words; plain pre-tokens go to the model of the tokenizer at once, other words through all of it."""
 
@@ -282,6 +289,24 @@ class _Words(dict):
         form = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
         self.by_bytes = tokenizer.normalizer is None and form.get("type") == "ByteLevel" and \
             form.get("use_regex") and not form.get("add_prefix_space")
+        self.added = added_tokens(tokenizer)
+        #: texts are cut at added tokens; those with further rules leave it to the library, which then gets whole texts
+        self.plain_added = tokenizer.normalizer is None and not any(
+            t.lstrip or t.rstrip or t.single_word for t in tokenizer.get_added_tokens_decoder().values())
+
+    def split(self, text: str) -> list[str]:
+        """Words of a text, whose ids joined are the ids of the text; each added token is one."""
+        if self.added is None or not self.added.search(text):
+            return split_words(text)
+        if not self.plain_added:
+            return [text]
+        out, at = [], 0
+        for m in self.added.finditer(text):
+            if m.start() > at:
+                out += split_words(text[at:m.start()])
+            out.append(m[0])
+            at = m.end()
+        return out + split_words(text[at:]) if at < len(text) else out
 
     def encode(self, parts: set[str], odd: set[str]) -> dict[str, bytes]:
         """Ids of parts of words."""
@@ -301,7 +326,9 @@ class _Words(dict):
         missing = {w for ws, r in zip(texts, out) if None in r for w, x in zip(ws, r) if x is None}
         odd: set[str] = set()
         if self.by_bytes:
-            new = {w: word_parts(w, odd) for w in missing}
+            whole = {w for w in missing if self.added is not None and self.added.search(w)}
+            new = {w: (w,) if w in whole else word_parts(w, odd) for w in missing}
+            odd |= whole
         else:
             odd, new = missing, {w: (w,) for w in missing}
         known = self.encode({p for ps in new.values() for p in ps if p not in self}, odd)
@@ -321,18 +348,19 @@ def byte_names(part: str) -> str:
 
 
 @cache
-def _words(definition: str) -> _Words:
+def _words(definition: str, special_text: bool = True) -> _Words:
     """The words that this worker remembers, over all its tasks."""
-    return _Words(_tokenizer(definition))
+    return _Words(_tokenizer(definition, special_text))
 
 
 @cache
-def _tokenizer(definition: str):
+def _tokenizer(definition: str, special_text: bool = True):
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     t = Tokenizer.from_str(definition)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    if special_text:
+        t.encode_special_tokens = True  # their strings in a text are ordinary text
     return t
 
 
@@ -356,14 +384,18 @@ def split_words(text: str) -> list[str]:
 
 def encode(words: _Words, texts: list[str | None], end: int) -> list[np.ndarray]:
     """Ids of each text, with the end id."""
-    cut = [split_words(t) if t else [] for t in texts]
+    cut = [words.split(t) if t else [] for t in texts]
     last = np.array([end], "<u4").tobytes()
     return [np.frombuffer(b"".join([*r, last]), "<u4") for r in words.ids(cut)]
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str = "doc_id", text_col: str = "text",
-          segment_tokens: int = SEGMENT_TOKENS) -> None:
-    """Encode ``docs`` and write their segments to ``path``."""
+          segment_tokens: int = SEGMENT_TOKENS, special_text: bool = True) -> None:
+    """Encode ``docs`` and write their segments to ``path``.
+
+    ``special_text``: strings of special tokens in a text are ordinary text;
+    otherwise they are those tokens, which is the library's default.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -375,7 +407,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str
                         ("data", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _words(sent.value)
+        words = _words(sent.value, special_text)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list = []
         held: list[np.ndarray] = []

@@ -404,6 +404,25 @@ def test_token_files(spark, tmp_path):
     assert tokenfile.read(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_added_tokens_as_the_untouched_library(spark, tmp_path):
+    from eventide.llm import queries
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(BYTE_BPE)
+    r = random.Random(3)
+    pool = ["a", " ", "  ", "\n", "<|endoftext|>", "<|endoftext", "|>", "<", "é", "the", " Fox", "'s", "12", "\t", "中"]
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> <|endoftext|><|endoftext|>\n y", None, ""]
+    texts += ["".join(r.choices(pool, k=r.randrange(14))) for _ in range(3000)]
+    assert tk.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    os.mkdir(tmp_path / "in")
+    frame(spark, texts).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    got = {x["doc_id"]: x for x in queries.op7_token_files(spark, str(tmp_path / "in")).collect()}
+    at = 0
+    for i, t in enumerate(texts):
+        x = np.array([*tk.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (at, len(x), zlib.crc32(x.tobytes())), t
+        at += len(x)
+
+
 def test_segments_hold_any_ids():
     r = np.random.default_rng(9)
     for ids in (np.zeros(1, np.uint32), r.integers(0, 2 ** 32, 3000, np.uint32), r.zipf(1.3, 5000).clip(0, 2 ** 31).astype(np.uint32)):
