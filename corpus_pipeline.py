@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group (4-word shingles, 4 bits)."""
+    """One row of each group, that of the smallest id, then text hash (4-word shingles, 4 bits)."""
     return simhash.keep_first(docs, k=4, max_bits=4)
 
 

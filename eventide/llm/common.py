@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventide.session import checkpoint_dir
 
@@ -93,68 +92,7 @@ def _table(parts: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.n
     return t, np.flatnonzero(new)
 
 
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row of each id, and all rows without one.
-
-    Where no id repeats (seen from the id column alone) the rows are left as
-    they are, without a shuffle; otherwise only rows of repeated ids go
-    through ``dropDuplicates``.
-    """
-    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1 and __id is not null").select("__id")
-    if many.isEmpty():
-        return docs
-    same = docs[id_col] == many["__id"]
-    return docs.join(many, same, "left_anti").unionByName(docs.join(many, same, "left_semi").dropDuplicates([id_col]))
-
-
-def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Cut a partition sorted by integer ``keys`` into tables of whole key runs.
-
-    Yields (table, starts): the rows and the first row of each run. A run that
-    reaches the end of a batch waits for the next one, so a run is never cut.
-    """
-    held: list[pa.RecordBatch] = []
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = [b.column(b.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
-        new = np.zeros(b.num_rows, bool)
-        for c in cols:
-            new[1:] |= c[1:] != c[:-1]
-        new[0] = last is None or any(c[0] != x for c, x in zip(cols, last, strict=True))
-        last = [c[-1] for c in cols]
-        at = np.flatnonzero(new)
-        if not len(at):
-            held.append(b)
-            continue
-        cut = int(at[-1])
-        if held or cut:
-            yield _table([*held, b.slice(0, cut)], keys)
-        held = [b.slice(cut)]
-    if held:
-        yield _table(held, keys)
-
-
-def _table(parts: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.ndarray]:
-    t = pa.Table.from_batches(parts).combine_chunks()
-    new = np.zeros(t.num_rows, bool)
-    for k in keys:
-        c = t.column(k).to_numpy()
-        new[1:] |= c[1:] != c[:-1]
-    if len(new):
-        new[0] = True
-    return t, np.flatnonzero(new)
-
-
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row of each id. Rows of unrepeated ids are not shuffled.
-
-    Ids that repeat (few, found from the id column alone) go through
-    ``dropDuplicates``; the others pass through an anti-join against them.
-    A null id counts as one id.
-    """
-    many = docs.groupBy(F.col(id_col).alias("__id")).count().where("count > 1 and __id is not null").select("__id")
-    once = docs.join(many, docs[id_col].eqNullSafe(many["__id"]), "left_anti")
-    rest = docs.join(many, docs[id_col].eqNullSafe(many["__id"]), "left_semi").dropDuplicates([id_col])
-    return once.unionByName(rest)
+def one_row_per_key(docs: DataFrame, columns: list[str], many: DataFrame) -> DataFrame:
+    """One row of each key (``columns``, not null). ``many`` holds the keys that may repeat; other rows are not shuffled."""
+    same = [docs[c] == many[m] for c, m in zip(columns, many.columns, strict=True)]
+    return docs.join(many, same, "left_anti").unionByName(docs.join(many, same, "left_semi").dropDuplicates(columns))

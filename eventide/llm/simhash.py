@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import batch_of, bounded_batches, checkpoint, one_row_per_id, sorted_runs, utf8, words_of
+from eventide.llm.common import batch_of, bounded_batches, checkpoint, one_row_per_key, sorted_runs, utf8, words_of
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -183,6 +183,14 @@ def components(edges: DataFrame) -> DataFrame:
         seen = tuple(mark)
 
 
+def _components_of(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, first_id, root): the distinct fingerprints of ``fps``, the smallest doc_id and the component of each."""
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    comp = components(links(nodes.select("fp"), max_bits))
+    return nodes.join(comp, F.col("fp") == F.col("u"), "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every input row.
@@ -193,10 +201,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives no rows; further columns are not read.
     """
     fps = checkpoint(fingerprints(docs, id_col, text_col, k))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    comp = components(links(nodes.select("fp"), max_bits))
-    rooted = nodes.join(comp, F.col("fp") == F.col("u"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    rooted = _components_of(fps, max_bits)
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_fp = rooted.join(ids, "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
@@ -206,7 +211,30 @@ def hex_fingerprint(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
 
 
-def keep_first(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, one row each; rows without an id stay."""
-    more = near_duplicates(docs, **params).where("doc_id <> component_id").select(F.col("doc_id").alias("__more")).distinct()
-    return one_row_per_id(docs).join(more, F.col("doc_id") == F.col("__more"), "left_anti")
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
+               max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` per component: that of the smallest id, then text hash; a row without an id only if none has one.
+
+    Rows are told apart by id and text, so an id that stands for several texts
+    loses only those that repeat another row. Equal rows are one.
+    """
+    bounded_batches(docs.sparkSession)
+    key = [F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("n"),
+           F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull()).alias("h")]
+    names = ["no_id", "n", "h"]
+    schema = pa.schema([("no_id", pa.bool_()), ("n", pa.int64()), ("h", pa.int64()), ("fp", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t, k) for t in utf8(b.column(3))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fps, pa.int64())], schema=schema)
+
+    rows = checkpoint(docs.select(*key, F.col(text_col)).mapInArrow(run, "no_id boolean, n long, h long, fp long"))
+    root = _components_of(rows.select(F.col("n").alias("doc_id"), "fp"), max_bits).select("fp", "root")
+    placed = rows.join(root, "fp").select("root", F.struct(*names).alias("key"))
+    shared = placed.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last")
+    more = placed.join(shared, "root").where("key <> first").select("key.*").distinct()
+    keyed = docs.withColumns({f"__{n}": c for n, c in zip(names, key)})
+    mine = [f"__{n}" for n in names]
+    left = keyed.join(more, [F.col(m) == F.col(n) for m, n in zip(mine, names)], "left_anti")
+    return one_row_per_key(left, mine, rows.groupBy(*names).count().where("count > 1").select(*names)).select(*docs.columns)

@@ -347,6 +347,17 @@ def test_simhash_edges(spark):
     assert simhash.keep_first(frame(spark, ["a b", "a b", "c d e f g"], [1, 1, 2])).count() == 2
 
 
+def test_keep_first_tells_rows_apart_by_id_and_text(spark):
+    r = random.Random(13)
+    a, b, c, d = (" ".join(r.choices([f"v{i}" for i in range(300)], k=80)) for _ in range(4))
+    rows = [(7, a), (7, b), (3, b), (8, c), (8, d), (8, c), (None, d), (None, "one two three"), (None, "one two three"),
+            (None, a)]
+    docs = frame(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = [(x["doc_id"], x["text"]) for x in simhash.keep_first(docs).collect()]
+    assert sorted(got, key=str) == sorted([(7, a), (3, b), (8, c), (8, d), (None, "one two three")], key=str)
+    assert simhash.keep_first(docs).columns == docs.columns and simhash.keep_first(empty(spark)).count() == 0
+
+
 # --- language ID
 
 def test_viterbi_brute_force():
