@@ -153,8 +153,9 @@ def random_spans(model: np.ndarray, text: str = "__rest", min_llr: float = MIN_L
     def score(t: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(1), F.length(t) - 1), F.lit(0.0),
                            lambda a, i: a + F.get(table, _pair_code(t, i)))
-    steps = F.transform(tokens, lambda t, i: F.struct(
-        F.length(F.get(between, i)).alias("gap"), F.length(t).alias("n"), (score(t) >= min_llr).alias("hit")))
+    # zipped, so that the text is split once and not for each token; the piece after the last token has none (null)
+    steps = F.zip_with(between, tokens, lambda g, t: F.struct(
+        F.length(g).alias("gap"), F.length(t).alias("n"), (score(t) >= min_llr).alias("hit")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
     run = F.aggregate(steps, start, lambda a, s: F.struct(
         (a["at"] + s["gap"] + s["n"]).alias("at"),
