@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm import decontaminate, kneser, langid, pieces, repeats, secrets, simhash, tokenfile, warc, weighted
+from eventide.llm import centroids, decontaminate, kneser, langid, packing, pieces, repeats, secrets, simhash, tokenfile, \
+    warc, weighted
 from eventide.llm.common import read_table
 from eventide.session import checkpoint_dir
 
@@ -17,6 +18,7 @@ from eventide.session import checkpoint_dir
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +106,16 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kneser-Ney and base log-probabilities of every document."""
     left = langid.remainder("doc_id", 5)
     return kneser.score(read_table(spark, sf_dir, "documents"), left != 1, left == 1)
+
+
+@query("op11_centroids", centroids.ORACLE)
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distances and inertia of every vector after 10 rounds with 8 centroids."""
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 2048 tokens."""
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end=0)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
