@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import centroids, decontaminate, kneser, langid, packing, pieces, repeats, secrets, simhash, tokenfile, \
-    warc, weighted
+    trie, warc, weighted
 from eventide.llm.common import read_table
 from eventide.session import checkpoint_dir
 
@@ -119,3 +119,9 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of at most 2048 tokens."""
     packed = packing.pack(read_table(spark, sf_dir, "documents"), WORD_BPE, end=0)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op13_prefix_trie", trie.ORACLE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.build(read_table(spark, sf_dir, "conversations"), trie.FORK).drop("digest")
