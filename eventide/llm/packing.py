@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
 import uuid
 import zlib
 from array import array
@@ -37,13 +36,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import bounded_batches, shuffle_partitions, utf8
-from eventide.llm.tokenfile import BYTE_NAMES
+from eventide.llm.common import bounded_batches, shuffle_partitions
+from eventide.llm.pretokens import Units, cut_words, merged
 from eventide.session import checkpoint_dir
 
 CAPACITY = 2048
@@ -53,10 +51,6 @@ OPEN_BINS = 4096
 RUN = 4096
 #: Tasks whose open sequences are packed again together.
 FAN_IN = 16
-#: Encoded words that a worker remembers.
-CACHE_WORDS = 1_000_000
-MAX_CACHED_BYTES = 64
-
 #: The normalizer and pre-tokenizer of the word-level BPE file whose words can be encoded apart.
 WORD_FORM = {
     "normalizer": {"type": "Sequence", "normalizers": [
@@ -66,86 +60,40 @@ WORD_FORM = {
          "behavior": "Removed", "invert": True},
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
 }
-ASCII_PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
-ASCII_WORD = re.compile(rb"[!-~]+")
-#: Words of characters whose classes and lower case are the same in all Unicode versions in use.
-PLAIN_WORD = re.compile(r"[!-~¡-įı-ɏЀ-ӿ]+")
+ADDED = re.compile(r"<\|[^\s]+")
 
 
-class WordCodes(dict):
-    """Ids (bytes of ``<u4``) of words; new ones are encoded by the tokenizer, plain ones by its model alone."""
+class WordCodes:
+    """Encoder of the word-level BPE file; files of another form are left to the library."""
 
     def __init__(self, definition: str):
-        super().__init__()
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         form = json.loads(definition)
-        added = form.get("added_tokens") or []
-        #: words between ASCII white space are encoded apart: nothing the file does runs across it
-        self.by_word = all(form.get(k) == v for k, v in WORD_FORM.items()) and not any(
-            t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"] or t["content"].split() != [t["content"]]
-            for t in added) and form.get("post_processor") is None
-        self.added = re.compile(b"|".join(re.escape(t["content"].encode()) for t in added)) if added else None
-        self.parts: dict[str, bytes] = {}
-
-    def _parts(self, word: bytes) -> list[str] | None:
-        """Names of the pre-tokens of a plain word; None for words that the whole tokenizer has to see."""
-        if ASCII_WORD.fullmatch(word):
-            if b"<" in word and self.added is not None and self.added.search(word):
-                return None
-            low = word.decode("ascii").lower()
-            return [low] if low.isalpha() else ASCII_PART.findall(low)
-        text = word.decode("utf-8", "replace")
-        if not PLAIN_WORD.fullmatch(text) or not unicodedata.is_normalized("NFC", text) or (
-                self.added is not None and self.added.search(word)):
-            return None
-        return [p.encode().decode("latin-1").translate(BYTE_NAMES) for p in PART.findall(text.lower())]
+        #: words between ASCII white space are encoded apart: nothing the file does runs across it, and its added
+        #: tokens begin with <| and hold no white space
+        self.by_word = all(form.get(k) == v for k, v in WORD_FORM.items()) and form.get("post_processor") is None and not any(
+            t["lstrip"] or t["rstrip"] or t["normalized"] or t["single_word"] or not ADDED.fullmatch(t["content"])
+            for t in form.get("added_tokens") or [])
+        self.units = Units(self.tokenizer.model, self._library)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _new(self, words: set[bytes]) -> dict[bytes, bytes]:
-        tokenize, parts, out, rest = self.tokenizer.model.tokenize, self.parts, {}, []
-        if len(parts) > CACHE_WORDS:
-            parts.clear()
-        for w in words:
-            names = self._parts(w)
-            if names is None:
-                rest.append(w)
-                continue
-            ids = []
-            for p in names:
-                got = parts.get(p)
-                if got is None:
-                    got = array("I", [t.id for t in tokenize(p)]).tobytes()
-                    if len(p) <= MAX_CACHED_BYTES:
-                        parts[p] = got
-                ids.append(got)
-            out[w] = ids[0] if len(ids) == 1 else b"".join(ids)
-        out.update(zip(rest, self._library([w.decode("utf-8", "replace") for w in rest])))
-        return out
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text."""
-        if not self.by_word:
-            return self._library([t.decode("utf-8", "replace") for t in texts])
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        get = self.get
-        cut = [t.split() for t in texts]
-        out = [list(map(get, ws)) for ws in cut]
-        new = self._new({w for ws, r in zip(cut, out) if None in r for w, x in zip(ws, r) if x is None})
-        self.update((w, x) for w, x in new.items() if len(w) <= MAX_CACHED_BYTES)
-        return [b"".join([new[w] if x is None else x for w, x in zip(ws, r)] if None in r else r)
-                for ws, r in zip(cut, out)]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: none) joined, and where each text's ids begin (one more than texts)."""
+        texts = texts.fill_null("")
+        if self.by_word:
+            return self.units.encode(texts, cut_words)
+        ids = self._library(texts.to_pylist())
+        return np.frombuffer(b"".join(ids), "<u4"), np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)))
 
 
 @cache
 def _codes(definition: str) -> WordCodes:
-    """The words that this worker remembers, over all its tasks."""
+    """The encoder of this worker, over all its tasks."""
     return WordCodes(definition)
 
 
@@ -163,10 +111,12 @@ def encode_pieces(docs: DataFrame, tokenizer_path: str, end: int, capacity: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = _codes(sent.value)
         key = TaskContext.get().partitionId() << 40
-        for b in batches:
+        for b in merged(batches):
             rows: list[tuple] = []
-            for doc, ids in zip(b.column(0).to_pylist(), codes.encode(utf8(b.column(1)))):
-                ids += last
+            ids, bounds = codes.encode(b.column(1))
+            data = ids.tobytes()
+            for doc, x, y in zip(b.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                ids = data[4 * x:4 * y] + last
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((key, doc, n, at // 4, len(part) // 4, zlib.crc32(part), part))

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventide.llm import packing
@@ -97,10 +98,12 @@ def test_words_are_encoded_as_in_the_text():
     codes = packing.WordCodes(open(WORD_BPE, encoding="utf-8").read())
     assert codes.by_word
     t, r = library(), random.Random(1)
-    pool = [*"abXZ 's'T'RE'Ve.,!_<|>09 \n\t\r\x0b\x0c\x00\x1c\x85  éÉßıİΣσςЖжñ́ͅΐŉﬁ你好🙂²½", "<|endoftext|>", "I'LL"]
+    pool = [*"abXZ 's'T'RE'Ve.,!_<|>09 \n\t\r\x0b\x0c\x00\x1c\x85  éÉßıİΣσςЖжñ́ͅΐŉﬁJ̌İ你好🙂²½", "<|endoftext|>", "I'LL"]
     for _ in range(3000):
         s = "".join(r.choices(pool, k=r.randint(0, 14)))
-        assert np.frombuffer(codes.encode([s.encode()])[0], "<u4").tolist() == t.encode(s, add_special_tokens=False).ids
+        ids, bounds = codes.encode(pa.array([s, None, s[::-1]]))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [
+            t.encode(x, add_special_tokens=False).ids for x in (s, "", s[::-1])]
 
 
 def test_open_bins_best_fit():
