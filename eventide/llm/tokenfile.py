@@ -33,12 +33,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import bounded_batches, shuffle_partitions
+from eventide.llm.pretokens import Units, byte_names, cut_bytes, merged
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
@@ -52,9 +54,8 @@ MAX_CACHED_CHARS = 64
 PLAIN = re.compile(r" ?[!-~\u00a1-\u04ff]+")
 #: Fixed value: the pre-tokens of byte-level BPE (those of white space left out).
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
-#: The characters by which byte-level BPE names bytes: printable ones name themselves, the others follow from 256 on.
-_NAMED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_NAMES = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_NAMED)))}
+#: Texts with these are cut by the rules of :func:`split_words`: what may begin an added token, and white space beyond ASCII.
+ODD = r"<\||[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def widths(ids: np.ndarray) -> list[int]:
@@ -290,10 +291,14 @@ class _Words(dict):
         self.by_bytes = tokenizer.normalizer is None and form.get("type") == "ByteLevel" and \
             form.get("use_regex") and not form.get("add_prefix_space")
         self.added = added_tokens(tokenizer)
+        self.units = Units(tokenizer.model, self._library)
         #: texts are cut at added tokens; those with further rules leave it to the library, which then gets whole texts
         self.plain_added = tokenizer.normalizer is None and not any(
             t.lstrip or t.rstrip or t.single_word for t in tokenizer.get_added_tokens_decoder().values())
 
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def split(self, text: str) -> list[str]:
         """Words of a text, whose ids joined are the ids of the text; each added token is one."""
         if self.added is None or not self.added.search(text):
@@ -313,8 +318,7 @@ class _Words(dict):
         tokenize = self.tokenizer.model.tokenize
         out = {p: array("I", [t.id for t in tokenize(byte_names(p))]).tobytes() for p in parts - odd}
         rest = list(parts & odd)
-        out.update(zip(rest, [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
-            rest, add_special_tokens=False)]))
+        out.update(zip(rest, self._library(rest)))
         return out
 
     def ids(self, texts: list[list[str]]) -> list[list[bytes]]:
@@ -342,11 +346,6 @@ class _Words(dict):
         return out
 
 
-def byte_names(part: str) -> str:
-    """A plain part in the characters that name its UTF-8 bytes."""
-    return part.replace(" ", "\u0120") if part.isascii() else part.encode().decode("latin-1").translate(BYTE_NAMES)
-
-
 @cache
 def _words(definition: str, special_text: bool = True) -> _Words:
     """The words that this worker remembers, over all its tasks."""
@@ -389,6 +388,20 @@ def encode(words: _Words, texts: list[str | None], end: int) -> list[np.ndarray]
     return [np.frombuffer(b"".join([*r, last]), "<u4") for r in words.ids(cut)]
 
 
+def encode_batch(words: _Words, texts: pa.Array, end: int) -> list[np.ndarray]:
+    """As :func:`encode`; texts without odd characters are cut in whole arrays of bytes."""
+    texts = texts.fill_null("")
+    if not words.by_bytes or not len(texts):
+        return encode(words, texts.to_pylist(), end)
+    odd = pc.match_substring_regex(texts, ODD)
+    ids, bounds = words.units.encode(pc.if_else(odd, "", texts), cut_bytes)
+    last = np.array([end], "<u4")
+    out = [np.concatenate((ids[a:b], last)) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    for n in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+        out[n] = encode(words, [texts[n].as_py()], end)[0]
+    return out
+
+
 def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str = "doc_id", text_col: str = "text",
           segment_tokens: int = SEGMENT_TOKENS, special_text: bool = True) -> None:
     """Encode ``docs`` and write their segments to ``path``.
@@ -417,8 +430,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end: int, id_col: str
             return pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([size], pa.int64()),
                 pa.array([len(ids)], pa.int64()), pa.array([pack_segment(ids, held)], pa.binary())], schema=schema)
-        for b in batches:
-            for i, x in zip(b.column(0).to_pylist(), encode(words, b.column(1).to_pylist(), end)):
+        for b in merged(batches):
+            for i, x in zip(b.column(0).to_pylist(), encode_batch(words, b.column(1), end)):
                 ids.append(i)
                 held.append(x)
                 size += len(x)
