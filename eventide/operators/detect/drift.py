@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.text import drift_text, schema_hash
-from eventide.model import SCHEMA_SAMPLE
+from eventide.model import SCHEMA_SAMPLE, SCHEMA_SNAPSHOTS
 from eventide.operators.discovery import field_sets
 from eventide.operators.sampling import latest_n
 
@@ -29,20 +29,28 @@ def check_samples(events: DataFrame, check: str | None = None, n: int | None = S
     return latest_n(ev, ["type", "check_at"], [F.col("stored_at").desc(), F.col("id").desc()], n)
 
 
-def schema_checks(samples: DataFrame) -> DataFrame:
-    """Per (type, check): field set, hash, sample count, and the comparison
-    with the previous check: ``outcome`` FIRST / SAME / DRIFT."""
+def current_schemas(samples: DataFrame) -> DataFrame:
+    """Per (type, check): field set, hash and sample count."""
     parsed = samples.withColumn("payload", F.try_parse_json("payload"))  # FLT-10: non-JSON skipped
     cur = field_sets(parsed, ["type", "check_at"], count_col="sample_count")
-    cur = cur.withColumn("schema_hash", schema_hash(F.col("field_names")))
-    return compare_checks(cur)
+    return cur.withColumn("schema_hash", schema_hash(F.col("field_names")))
+
+
+def schema_checks(samples: DataFrame) -> DataFrame:
+    """The schemas of every check and the comparison with the previous one:
+    ``outcome`` FIRST / SAME / DRIFT."""
+    return compare_checks(current_schemas(samples))
 
 
 def compare_checks(cur: DataFrame) -> DataFrame:
     """Compare every check with the one before it of the same type."""
     w = Window.partitionBy("type").orderBy("check_at")
-    cur = cur.withColumns({"prev_hash": F.lag("schema_hash").over(w),
-                           "prev_fields": F.lag("field_names").over(w)})
+    return outcomes(cur.withColumns({"prev_hash": F.lag("schema_hash").over(w),
+                                     "prev_fields": F.lag("field_names").over(w)}))
+
+
+def outcomes(cur: DataFrame) -> DataFrame:
+    """Outcome and field differences of checks with ``prev_hash`` and ``prev_fields``."""
     added = F.array_except("field_names", "prev_fields")
     removed = F.array_except("prev_fields", "field_names")
     outcome = (F.when(F.col("prev_hash").isNull(), "FIRST")
@@ -68,11 +76,40 @@ def drift_alerts(checks: DataFrame) -> DataFrame:
 def snapshots(checks: DataFrame) -> DataFrame:
     """SNK-6/7/8 image: one snapshot per (type, hash); first/last seen checks.
 
-    ``sample_count`` and ``field_names`` are those of the first check with the
-    hash: later checks with it only move ``last_seen_at``.
+    A check with the same hash as the one before (SAME) touches its snapshot:
+    the last such check gives ``sample_count``. A drift back to a known hash
+    only moves ``last_seen_at``; a snapshot never touched keeps the count of the
+    check that wrote it, and ``field_names`` are always of that check.
     """
+    touched = F.max_by(F.when(F.col("outcome") == "SAME", F.col("sample_count")),
+                       F.when(F.col("outcome") == "SAME", F.col("check_at")))
     return checks.groupBy(F.col("type").alias("event_type"), "schema_hash").agg(
         F.min_by("field_names", "check_at").alias("field_names"),
-        F.min_by("sample_count", "check_at").cast("int").alias("sample_count"),
+        F.coalesce(touched, F.min_by("sample_count", "check_at")).cast("int").alias("sample_count"),
         F.min("check_at").alias("first_seen_at"),
         F.max("check_at").alias("last_seen_at"))
+
+
+def latest_snapshots(image: DataFrame) -> DataFrame:
+    """TOP-3: the snapshot of each type that was seen last: type, prev_hash, prev_fields."""
+    order = F.struct("last_seen_at", "schema_hash")
+    return image.groupBy(F.col("event_type").alias("type")).agg(
+        F.max_by("schema_hash", order).alias("prev_hash"), F.max_by("field_names", order).alias("prev_fields"))
+
+
+def merge_snapshots(image: DataFrame, checks: DataFrame) -> DataFrame:
+    """SNK-6/7/8: the snapshot table after one check of each type (the rules of :func:`snapshots`)."""
+    c = checks.select(F.col("type").alias("event_type"), "schema_hash", F.col("field_names").alias("__fields"),
+                      F.col("sample_count").cast("int").alias("__count"), F.col("check_at").alias("__at"), "outcome")
+    count = F.when(F.col("outcome") == "SAME", F.col("__count")).otherwise(F.coalesce("sample_count", "__count"))
+    return image.join(c, ["event_type", "schema_hash"], "full").select(
+        "event_type", "schema_hash", F.coalesce("field_names", "__fields").alias("field_names"), count.alias("sample_count"),
+        F.coalesce("first_seen_at", "__at").alias("first_seen_at"), F.greatest("last_seen_at", "__at").alias("last_seen_at"))
+
+
+def one_image(images: DataFrame) -> DataFrame:
+    """One snapshot table from those that several runs have left: the row seen last per (type, hash), from the earliest on."""
+    last = F.struct("last_seen_at", "sample_count")
+    return images.groupBy("event_type", "schema_hash").agg(
+        F.min_by("field_names", "first_seen_at").alias("field_names"), F.max_by("sample_count", last).alias("sample_count"),
+        F.min("first_seen_at").alias("first_seen_at"), F.max("last_seen_at").alias("last_seen_at"))

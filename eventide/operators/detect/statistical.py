@@ -86,12 +86,17 @@ def live_check(events: DataFrame, history: DataFrame | None, as_of, window_minut
            .groupBy(F.col("type").alias("event_type"), F.col("source").alias("event_source"))
            .agg(F.count(F.lit(1)).alias("event_count"))
            .withColumns({"window_start": start, "window_end": end}))
-    if history is None:
+    hist = None if history is None else history.groupBy("event_type", "event_source").agg(
+        F.avg("event_count").alias("h_avg"), F.stddev_samp("event_count").alias("h_std"))
+    return check_counts(cur, hist, window_minutes, **thresholds)
+
+
+def check_counts(cur: DataFrame, hist: DataFrame | None, window_minutes: int = WINDOW_MINUTES,
+                 **thresholds) -> tuple[DataFrame, DataFrame]:
+    """A check from its counts and the history of each key (``h_avg``, ``h_std``): (baseline rows, alerts)."""
+    if hist is None:
         hist = cur.select("event_type", "event_source").limit(0).withColumns(
             {"h_avg": F.lit(None).cast("double"), "h_std": F.lit(None).cast("double")})
-    else:
-        hist = history.groupBy("event_type", "event_source").agg(
-            F.avg("event_count").alias("h_avg"), F.stddev_samp("event_count").alias("h_std"))
     j = cur.join(hist, ["event_type", "event_source"], "left")
     none = F.col("h_avg").isNull() | F.col("h_std").isNull()
     base = j.select("event_type", "event_source", "window_start", "window_end", "event_count",

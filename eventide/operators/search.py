@@ -56,7 +56,7 @@ def page(df: DataFrame, page: int = 0, size: int = PAGE_SIZE, order: list[Column
 
     Planned as a TakeOrderedAndProject with offset: each task keeps its top
     ``(page+1)*size`` rows, so only that many rows per task are shuffled.
-    For deep paging use :func:`page_after` (keyset), which is a filter.
+    For deep paging use :func:`page_deep` (any page), or :func:`page_after` (keyset), which is a filter.
     """
     order = list(order or [F.col("received_at").desc()])
     order.append(F.col(tiebreak).asc())
@@ -70,6 +70,49 @@ def page_after(df: DataFrame, after_ts, after_id: str, size: int = PAGE_SIZE) ->
     return df.filter(cond).orderBy(F.col("received_at").desc(), F.col("id").asc()).limit(size)
 
 
+#: Time units of a rank directory, from coarse to fine.
+RANK_UNITS = ("day", "hour", "minute", "second")
+
+
+def page_deep(df: DataFrame, page: int, size: int = PAGE_SIZE, settled: int = 10_000) -> DataFrame:
+    """TOP-4 for any page of ``received_at desc, id asc``: the rows before it are counted, not sorted.
+
+    A rank directory is looked up unit by unit: rows per day (of a landed table
+    per ``received_date``, its partition), then per hour, minute and second of
+    the units that hold the page, until at most ``settled`` rows are left to
+    sort. Each step is a partially aggregated count over what the last step
+    left, and a filter that prunes the partitions of a landed table; the counts
+    (one per unit) are all that reaches the driver. Rows without a time are last.
+    """
+    skip = page * size
+    for unit in RANK_UNITS:
+        by_date = unit == "day" and "received_date" in df.columns
+        key = F.col("received_date").cast("timestamp") if by_date else F.date_trunc(unit, "received_at")
+        counts = df.groupBy(key.alias("u")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("u").desc_nulls_last()).collect()
+        before, units, inside = 0, [], 0
+        for r in counts:
+            if before + inside + r["n"] <= skip and not units:
+                before += r["n"]
+            elif before + inside < skip + size:
+                units.append(r["u"])
+                inside += r["n"]
+        if not units:
+            return df.limit(0)
+        skip -= before
+        timed = [u for u in units if u is not None]
+        keep = F.col("received_at").isNull() if None in units else F.lit(False)
+        if timed:
+            first, last = F.lit(min(timed)), F.lit(max(timed)) + F.expr(f"INTERVAL 1 {unit}")
+            inside_time = (F.col("received_at") >= first) & (F.col("received_at") < last)
+            keep = keep | inside_time if None in units else inside_time
+            if "received_date" in df.columns and None not in units:
+                df = df.filter(F.col("received_date").between(F.to_date(first), F.to_date(F.lit(max(timed)))))
+        df = df.filter(keep)
+        if inside <= settled or not timed:
+            break
+    return df.orderBy(F.col("received_at").desc(), F.col("id").asc()).offset(skip).limit(size)
+
+
 def total(df: DataFrame) -> DataFrame:
     """AGG-1 (the page total)."""
     return df.agg(F.count(F.lit(1)).alias("total"))

@@ -188,11 +188,11 @@ def schema_drift_all(spark, sf):
 
 @query("schema_snapshots_all", DRIFT_ALL_SQL + """
 SELECT type AS event_type, schema_hash, array_to_string(arg_min(fields, check_at), ',') AS fields,
-  CAST(arg_min(sample_count, check_at) AS INTEGER) AS sample_count,
+  CAST(coalesce(arg_max(sample_count, check_at) FILTER (WHERE prev_hash = schema_hash), arg_min(sample_count, check_at)) AS INTEGER) AS sample_count,
   strftime(min(check_at), '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(max(check_at), '%Y-%m-%d %H:%M:%S') AS last_seen_at
 FROM l GROUP BY type, schema_hash""")
 def schema_snapshots_all(spark, sf):
-    """SNK-6..8 image over all payloads, with the fields and sample count of a schema's first check."""
+    """SNK-6..8 image over all payloads, with the fields of a schema's first check and the sample count of the last that touched it."""
     snap = D.snapshots(D.schema_checks(D.check_samples(shaped_events(spark, sf), check="1 day", n=None)))
     return snap.select("event_type", "schema_hash", F.array_join("field_names", ",").alias("fields"), "sample_count",
                        fmt("first_seen_at").alias("first_seen_at"), fmt("last_seen_at").alias("last_seen_at"))

@@ -238,6 +238,20 @@ def map_flatten(spark, sf):
         "priority", "balance")
 
 
+@query("map_flatten_scalars",
+       "SELECT o_orderkey AS order_id, o_orderstatus AS status, o_orderpriority AS label, "
+       "CASE WHEN o_orderstatus = 'P' THEN 'pending' END AS total FROM orders WHERE o_orderpriority <> '5-LOW'")
+def map_flatten_scalars(spark, sf):
+    """MAP-10: FLATTEN of numbers, texts and arrays passes them unchanged."""
+    recs = parse_envelopes(order_records(spark, sf)).filter("parse_ok")
+    out = compile_mappings(recs, [m("orderId", "n", "FLATTEN"), m("status", "a.status", "FLATTEN"), m("tags", "tags", "FLATTEN"),
+                                  m("total", "total", "FLATTEN")])
+    p = "mapped"
+    total = vget(p, "$.total", "string")
+    return out.select(vget(p, "$.n", "bigint").alias("order_id"), vget(p, "$.a.status", "string").alias("status"),
+                      vget(p, "$.tags[0].label", "string").alias("label"), F.when(total == "pending", total).alias("total"))
+
+
 @query("map_flatten_nested",
        f"SELECT o_orderkey AS order_id, c_name AS cust_name, c_nationkey AS cust_nation, "
        f"o_orderstatus AS status_kept, 'x' AS overwritten FROM {ORD} WHERE o_orderpriority <> '5-LOW'")
