@@ -48,6 +48,23 @@ def register_conversion(name: str, fn: Conv, needs_text: bool = True) -> None:
         NEEDS_TEXT.add(name)
 
 
+def is_fraction(s: str) -> str:
+    """Whether a VARIANT schema string is that of a number written with a point: a decimal, but not one of 19 or more
+    digits without a fraction, which is a whole number beyond 64 bits. (A number with an exponent is a DOUBLE.)"""
+    return f"({s} LIKE 'DECIMAL(%' AND NOT {s} RLIKE {lit(r'^DECIMAL[(](19|[2-9][0-9]),0[)]$')})"
+
+
+def scalar_text(v: str, k: str, s: str) -> str:
+    """Scalar text of a JSON value as SQL: '' for containers; a number with a point is a double, so ``100.0`` keeps its form."""
+    return (f"CASE WHEN {k} IN ('object', 'array') THEN '' WHEN {is_fraction(s)} "
+            f"THEN CAST(try_variant_get({v}, '$', 'double') AS STRING) ELSE CAST({v} AS STRING) END")
+
+
+def _as_read(x: Val) -> tuple[str, None]:
+    """The value; a number with a point as the double it is (a decimal prints ``100.0`` as ``100``)."""
+    return f"CASE WHEN {is_fraction(x.s)} THEN CAST(try_variant_get({x.v}, '$', 'double') AS VARIANT) ELSE {x.v} END", None
+
+
 # Conversions are written as SQL text over the compiler's attribute names
 # (``Val`` fields hold quoted column names); see functions/sqltext.py.
 NOW_ISO_SQL = "date_format(current_timestamp(), " + lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") + ")"
@@ -98,8 +115,8 @@ def _mask(x: Val) -> tuple[str, None]:
             f"repeat('*', length({x.t}) - 2), substring({x.t}, -1, 1)) END AS VARIANT)"), None
 
 
-register_conversion("NONE", lambda x: (x.v, None), needs_text=False)
-register_conversion("FLATTEN", lambda x: (x.v, None), needs_text=False)  # objects: the compiler
+register_conversion("NONE", _as_read, needs_text=False)
+register_conversion("FLATTEN", _as_read, needs_text=False)  # objects: the compiler
 register_conversion("TO_STRING", lambda x: (f"CAST({x.t} AS VARIANT)", None))
 register_conversion("TO_INTEGER", lambda x: _integral(x, 32))
 register_conversion("TO_LONG", lambda x: _integral(x, 64))
@@ -134,8 +151,7 @@ def convert_column(df: DataFrame, col: str, name: str | None, out: str = "conver
     from eventide.functions.json import jtrim, kind_of_schema
     parts = df.withColumn("__cv_s", F.schema_of_variant(F.col(col)))
     parts = parts.withColumn("__cv_k", kind_of_schema(F.col("__cv_s")))
-    parts = parts.withColumn("__cv_t", F.when(F.col("__cv_k").isin("object", "array"), F.lit(""))
-                             .otherwise(F.col(col).cast("string")))
+    parts = parts.withColumn("__cv_t", F.expr(scalar_text(f"`{col}`", "`__cv_k`", "`__cv_s`")))
     parts = parts.withColumn("__cv_tt", jtrim(F.col("__cv_t")))
     o, e = conversion(name)(Val(f"`{col}`", "`__cv_k`", "`__cv_t`", "`__cv_tt`", "`__cv_s`"))
     res = parts.withColumn(out, as_column(o)).withColumn(

@@ -61,10 +61,20 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
+def is_fraction(s: Column) -> Column:
+    """Whether a VARIANT schema string is that of a number written with a point (see ``conversions.is_fraction``)."""
+    return s.startswith("DECIMAL(") & ~s.rlike(r"^DECIMAL[(](19|[2-9][0-9]),0[)]$")
+
+
+def as_read(v: Column) -> Column:
+    """A JSON value; a number with a point as the double it is."""
+    return F.when(is_fraction(F.schema_of_variant(v)), F.try_variant_get(v, "$", "double").cast("variant")).otherwise(v)
+
+
 def as_text(v: Column) -> Column:
     """Scalar text of a JSON value; ``""`` for objects and arrays."""
     k = kind(v)
-    return F.when(k.isin("object", "array"), F.lit("")).otherwise(v.cast("string"))
+    return F.when(k.isin("object", "array"), F.lit("")).otherwise(as_read(v).cast("string"))
 
 
 # Fixed value: the JVM String.trim set, every char from U+0000 to U+0020.

@@ -27,8 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.conversions import NOW_ISO_SQL, Val, as_column, conversion, needs_text
-from eventide.functions.json import jtrim, split_path, variant_path
+from eventide.functions.conversions import NOW_ISO_SQL, Val, as_column, conversion, needs_text, scalar_text
+from eventide.functions.json import as_read, jtrim, split_path, variant_path
 from eventide.functions.sqltext import ident, lit
 from eventide.model import NOW_TOKEN, UUID_TOKEN, FieldMapping, Flow
 
@@ -57,6 +57,7 @@ class _Step:
         self.dest = split_path(mp.destination_field)
         self.flatten = mp.conversion == "FLATTEN"
         self.text = needs_text(mp.conversion)
+        self.schema = self.text or self.flatten or mp.conversion in (None, "NONE")
         i = idx
         self.n = {k: f"__{k}{i}" for k in ("s", "a", "v", "sc", "k", "t", "tt", "o", "e")}
         self.q = {k: ident(v) for k, v in self.n.items()}
@@ -80,7 +81,7 @@ class _Step:
         return {self.n["a"]: has, self.n["v"]: f"CASE WHEN {has} THEN {s} END"}
 
     def stage_schema(self) -> dict:
-        return {self.n["sc"]: f"schema_of_variant({self.q['v']})"} if (self.text or self.flatten) else {}
+        return {self.n["sc"]: f"schema_of_variant({self.q['v']})"} if self.schema else {}
 
     def stage_kind(self) -> dict:
         if not (self.text or self.flatten):
@@ -93,7 +94,7 @@ class _Step:
     def stage_text(self) -> dict:
         if not self.text:
             return {}
-        return {self.n["t"]: f"CASE WHEN {self.q['k']} IN ('object', 'array') THEN '' ELSE CAST({self.q['v']} AS STRING) END"}
+        return {self.n["t"]: scalar_text(self.q["v"], self.q["k"], self.q["sc"])}
 
     def stage_trim(self) -> dict:
         return {self.n["tt"]: jtrim(F.col(self.n["t"]))} if self.text else {}
@@ -195,11 +196,12 @@ def _flatten_into(m: Column, parts: list[str], obj: Column) -> Column:
     At the root (no ``parts``) a member's key stays a key; below a prefix a
     ``.`` in it nests, as in any destination path (MAP-9).
     """
+    members = F.transform_values(_obj_map(obj), lambda _, v: as_read(v))
     if not parts:
-        return F.map_concat(m, _obj_map(obj))
+        return F.map_concat(m, members)
     head, rest = parts[0], parts[1:]
     inner = _obj_map(m[head])
-    merged = _flatten_into(inner, rest, obj) if rest else _nest_members(inner, _obj_map(obj))
+    merged = _flatten_into(inner, rest, obj) if rest else _nest_members(inner, members)
     return F.map_concat(m, F.create_map(F.lit(head), F.to_variant_object(merged)))
 
 
@@ -263,7 +265,7 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
     cur = cur.withColumns({err_col: err, out_col: F.create_map().cast(_EMPTY)})
     for s in steps:
         a = s.applied
-        v = s.value if s.flatten else s.out
+        v = s.out
         o = F.col(out_col)
         if s.dest is None or len(s.dest) == 0:
             if not s.flatten or s.dest is not None:

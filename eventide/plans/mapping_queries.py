@@ -55,6 +55,26 @@ def convert_integer(spark, sf):
                       vget("mapped", "$.q", "int").alias("qty_int"), "map_error")
 
 
+@query("convert_number_text",
+       "WITH t AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS DOUBLE) AS VARCHAR) AS q, "
+       f"CAST(CAST(l_extendedprice AS DOUBLE) AS VARCHAR) AS p, CAST(l_partkey AS VARCHAR) AS k FROM {LI}) "
+       "SELECT l_orderkey, l_linenumber, q AS qty_text, p AS price_text, k AS part_text, "
+       "substr(q, 1, 1) || repeat('*', length(q) - 2) || right(q, 1) AS qty_mask, "
+       "'{\"d\":' || q || ',\"f\":' || q || ',\"p\":' || p || ',\"q\":' || q || '}' AS kept FROM t")
+def convert_number_text(spark, sf):
+    """CONV-0/1/9: numbers with a point, whole ones among them, keep their form as text, masked and unchanged."""
+    li = table(spark, sf, "lineitem")
+    num = [F.col(c).cast("double").cast("string") for c in ("l_quantity", "l_extendedprice")]
+    text = F.format_string('{"qty":%s,"price":%s,"part":%d,"in":{"f":%s}}', *num, F.col("l_partkey"), num[0])
+    src = li.select("l_orderkey", "l_linenumber", F.parse_json(text).alias("payload"))
+    out = compile_mappings(src, [m("qty", "t.q", "TO_STRING"), m("price", "t.p", "TO_STRING"), m("part", "t.k", "TO_STRING"),
+                                 m("qty", "t.m", "MASK")])
+    out = out.withColumnRenamed("mapped", "text").drop("map_error")
+    out = compile_mappings(out, [m("qty", "q"), m("price", "p", "NONE"), m("qty", "d", default="0"), m("in", "", "FLATTEN")])
+    return out.select("l_orderkey", "l_linenumber", *[vget("text", f"$.t.{c}", "string").alias(a) for c, a in (
+        ("q", "qty_text"), ("p", "price_text"), ("k", "part_text"), ("m", "qty_mask"))], F.to_json("mapped").alias("kept"))
+
+
 @query("convert_long",
        f"SELECT l_orderkey, l_linenumber, l_orderkey AS order_long, l_partkey AS part_long, "
        f"CAST(trunc(l_extendedprice) AS BIGINT) AS price_long FROM {LI}")
