@@ -3,14 +3,11 @@
 Level-wise walk inside the row: level 1 is the array of the members of a
 payload object; level *k+1* holds the members of the objects of level *k* (or
 of the first element of an array, when that element is an object, with ``[*]``
-in the path). All levels come from one read, are spread by one ``explode``,
-and events are merged by a partially aggregated ``groupBy(path)``.
-
-The number of levels comes from the data: one cheap ``schema_of_variant_agg``
-pass (partially aggregated, returns one schema string bounded by the schema
-width) gives the nesting depth; an emptiness check of the next level covers
-fields whose merged type is ``VARIANT`` (mixed types). A caller that knows the
-depth passes it and saves the pass.
+in the path). The walk is a fixpoint of its own row: it goes on while the last
+level has members, at most once per object of the payload, so one read of the
+table finds paths of any depth and nothing runs while the plan is built. All
+members leave by one ``explode``, and events are merged by a partially
+aggregated ``groupBy(path)``. A caller that knows the depth may give it.
 """
 
 from __future__ import annotations
@@ -25,63 +22,6 @@ def _obj(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _parse_type(s: str, i: int):
-    """Parse one type of a ``schema_of_variant`` string -> (node, next index)."""
-    if s.startswith("OBJECT<", i):
-        i += 7
-        kids = []
-        while s[i] != ">":
-            if s[i] == "`":  # quoted field name
-                j = i + 1
-                while not (s[j] == "`" and s[j + 1] != "`"):
-                    j += 2 if s[j] == "`" else 1
-                i = j + 1
-            else:
-                i = s.index(":", i)
-            i = s.index(":", i) + 1
-            while s[i] == " ":
-                i += 1
-            node, i = _parse_type(s, i)
-            kids.append(node)
-            if s[i] == ",":
-                i += 1
-                while s[i] == " ":
-                    i += 1
-        return ("OBJECT", kids), i + 1
-    if s.startswith("ARRAY<", i):
-        node, i = _parse_type(s, i + 6)
-        return ("ARRAY", node), i + 1
-    j = i
-    level = 0
-    while j < len(s) and (level > 0 or s[j] not in ",>"):
-        level += s[j] == "("
-        level -= s[j] == ")"
-        j += 1
-    return ("SCALAR", s[i:j]), j
-
-
-def _depth(node) -> int:
-    kind, body = node
-    if kind != "OBJECT":
-        return 0
-    best = 0
-    for k in body:
-        if k[0] == "OBJECT":
-            best = max(best, _depth(k))
-        elif k[0] == "ARRAY" and k[1][0] == "OBJECT":
-            best = max(best, _depth(k[1]))
-    return 1 + best
-
-
-def schema_depth(schema: str) -> int:
-    """Object nesting depth of a merged VARIANT schema (``OBJECT<..>`` and
-    ``ARRAY<OBJECT<..>>`` nest; other arrays stop the walk, as in DISC-1)."""
-    if not schema:
-        return 0
-    node, _ = _parse_type(schema, 0)
-    return _depth(node)
-
-
 _MEMBERS = "array<struct<path:string,ord:string,value:variant>>"
 
 
@@ -96,38 +36,31 @@ def _children(e: Column) -> Column:
         F.array().cast(_MEMBERS))
 
 
-def _levels(df: DataFrame, payload_col: str, keep: list[str], depth: int) -> DataFrame:
-    """``keep`` and the members of levels 1 to ``depth`` as arrays ``__l1`` ..; one row per input row."""
-    top = F.transform(F.map_entries(_obj(F.col(payload_col))), lambda x: F.struct(
-        x["key"].alias("path"), x["key"].alias("ord"), x["value"].alias("value")))
-    cur = df.select(*keep, F.coalesce(top, F.array().cast(_MEMBERS)).alias("__l1"))
-    for k in range(1, depth):
-        cur = cur.select("*", F.flatten(F.transform(f"__l{k}", _children)).alias(f"__l{k + 1}"))
-    return cur
-
+def _members(payload: Column, depth: int | None) -> Column:
+    """All members of a payload (of the first ``depth`` levels, if given) as one array."""
+    top = F.coalesce(F.transform(F.map_entries(_obj(payload)), lambda x: F.struct(
+        x["key"].alias("path"), x["key"].alias("ord"), x["value"].alias("value"))), F.array().cast(_MEMBERS))
+    # each level has an object that no earlier level had: the braces of the text bound the number of levels
+    text = F.coalesce(F.to_json(payload), F.lit(""))
+    levels = F.lit(depth) if depth else F.greatest(F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit(""))), F.lit(1))
 
-def _data_depth(df: DataFrame, payload_col: str) -> int:
-    """Levels of the payloads: one partially aggregated pass, one schema string to the driver."""
-    merged = df.select(F.schema_of_variant_agg(F.col(payload_col))).first()[0] or ""
-    depth = max(1, schema_depth(merged))
-    # fields of mixed type (VARIANT in the merged schema) may nest deeper
-    while "VARIANT" in merged and not _levels(df, payload_col, [], depth + 1).filter(
-            F.size(f"__l{depth + 1}") > 0).isEmpty():
-        depth += 1
-    return depth
+    def walk(acc: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(acc["last"], _children))
+        return F.when(F.size(acc["last"]) == 0, acc).otherwise(
+            F.struct(below.alias("last"), F.concat(acc["all"], below).alias("all")))
+    start = F.struct(top.alias("last"), top.alias("all"))
+    return F.aggregate(F.slice(F.sequence(F.lit(1), levels), F.lit(2), levels), start, walk, lambda acc: acc["all"])
 
 
 def _paths(df: DataFrame, payload_col: str, keep: list[str], depth: int | None) -> DataFrame:
     """``keep`` and ``__p``: (path, order, type code) of every member, sorted; one row per input row."""
-    depth = depth or _data_depth(df, payload_col)
     names = F.array(*[F.lit(n) for n in TYPE_NAMES])
-    typed = [F.transform(F.transform(f"__l{k}", lambda e: F.struct(
+    typed = F.transform(F.transform("__m", lambda e: F.struct(
         e["path"].alias("path"), e["ord"].alias("ord"), e["value"].alias("value"),
         F.schema_of_variant(e["value"]).alias("s"))), lambda e: F.struct(
         e["path"].alias("path"), e["ord"].alias("ord"),
         F.array_position(names, type_name(e["value"], e["s"])).cast("int").alias("code")))
-        for k in range(1, depth + 1)]
-    return _levels(df, payload_col, keep, depth).select(*keep, F.array_sort(F.concat(*typed)).alias("__p"))
+    return df.select(*keep, _members(F.col(payload_col), depth).alias("__m")).select(*keep, F.array_sort(typed).alias("__p"))
 
 
 def event_paths(df: DataFrame, payload_col: str = "payload", keep: list[str] | None = None,
@@ -183,13 +116,10 @@ def field_sets(df: DataFrame, group_cols: list[str], payload_col: str = "payload
     same single read yields the per-group row count (AGG-15) and
     groups whose payloads have no fields still appear (with ``[]``).
     """
-    src = df.select(*group_cols, payload_col)
-    depth = depth or _data_depth(src, payload_col)
-    paths = [F.transform(f"__l{k}", lambda e: e["path"]) for k in range(1, depth + 1)]
+    paths = F.transform(_members(F.col(payload_col), depth), lambda e: e["path"])
     if count_col:
-        paths.append(F.array(F.lit(None).cast("string")))
-    rec = _levels(src, payload_col, list(group_cols), depth).select(
-        *group_cols, F.explode(F.concat(*paths)).alias("path"))
+        paths = F.concat(paths, F.array(F.lit(None).cast("string")))
+    rec = df.select(*group_cols, F.explode(paths).alias("path"))
     names = rec.groupBy(*group_cols, "path").agg(F.count(F.lit(1)).alias("__n"))
     aggs = [F.array_sort(F.collect_list("path")).alias("field_names")]
     if count_col:
