@@ -31,21 +31,31 @@ def same_length(a: Column, b: Column) -> Column:
     return F.size(a) == F.size(b)
 
 
-def centroids(vectors: DataFrame, key: str = "type", vec: str = "vector") -> DataFrame:
-    """AGG-12: element-wise mean per key -> ``(key, centroid array<double>, n, dims_ok)``.
-
-    Built as ``posexplode`` + ``groupBy(key, pos).avg`` (partial aggregation:
-    a key holding a third of all vectors is reduced map-side), then the
-    per-key array is re-assembled from at most ``dims`` rows per key.
-    ``dims_ok`` is false when the vectors of a key differ in length (the
-    reference raises for that key).
+def vector_sums(vectors: DataFrame, key: str = "type", vec: str = "vector") -> DataFrame:
+    """Mean vector and counts per key from one read: ``(key, n, usable, centroid, dims_ok)``.
+
+    Every row leaves its components by position and a marker; sums and counts
+    per (key, position) are combined map-side, so a key holding a third of all
+    vectors costs ``dims + 1`` rows per task. ``n`` counts rows, ``usable`` those
+    with a vector; ``dims_ok`` is false where vectors of a key differ in length
+    (the reference raises for that key): some position is then not in all.
     """
-    sized = vectors.select(key, vec).filter(F.col(vec).isNotNull())
-    dims = sized.groupBy(key).agg(F.min(F.size(vec)).alias("__dmin"), F.max(F.size(vec)).alias("__dmax"),
-                                  F.count(F.lit(1)).alias("n"))
-    parts = sized.select(key, F.posexplode(vec).alias("pos", "x")).groupBy(key, "pos").agg(F.avg("x").alias("x"))
-    arr = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("__c"))
-    out = arr.join(dims, key).select(
-        key, F.transform("__c", lambda e: e["x"]).alias("centroid"), "n",
-        (F.col("__dmin") == F.col("__dmax")).alias("dims_ok"))
-    return out
+    v = F.col(vec)
+    parts = F.concat(F.array(F.struct(F.lit(-1).alias("pos"), v.isNotNull().cast("double").alias("x"))),
+                     F.coalesce(F.transform(v, lambda x, i: F.struct(i.alias("pos"), x.cast("double").alias("x"))),
+                                F.array().cast("array<struct<pos:int,x:double>>")))
+    sums = vectors.select(key, F.explode(parts).alias("e")).groupBy(key, F.col("e.pos").alias("pos")).agg(
+        F.sum("e.x").alias("s"), F.avg("e.x").alias("x"), F.count(F.lit(1)).alias("n"))
+    marker = F.col("pos") == -1
+    out = sums.groupBy(key).agg(
+        F.max(F.when(marker, F.col("n"))).alias("n"), F.max(F.when(marker, F.col("s"))).cast("long").alias("usable"),
+        F.min(F.when(~marker, F.col("n"))).alias("__least"),
+        F.array_sort(F.collect_list(F.when(~marker, F.struct("pos", "x")))).alias("__c"))
+    return out.select(key, "n", "usable", F.transform("__c", lambda e: e["x"]).alias("centroid"),
+                      F.coalesce(F.col("__least") == F.col("usable"), F.lit(True)).alias("dims_ok"))
+
+
+def centroids(vectors: DataFrame, key: str = "type", vec: str = "vector") -> DataFrame:
+    """AGG-12: element-wise mean per key -> ``(key, centroid array<double>, n, dims_ok)``, for keys with components."""
+    sums = vector_sums(vectors, key, vec).filter(F.size("centroid") > 0)
+    return sums.select(key, "centroid", F.col("usable").alias("n"), "dims_ok")

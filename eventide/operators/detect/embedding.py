@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.vectors import centroids, cosine_distance
+from eventide.functions.vectors import cosine_distance, vector_sums
 from eventide.model import EMBED_BATCH, EMBED_MIN_EVENTS, EMBED_THRESHOLD
 from eventide.operators.sampling import latest_n
 
@@ -24,12 +24,11 @@ def distances(vectors: DataFrame, sample: int | None = EMBED_BATCH, min_events:
     partitions except through that join.
     """
     s = latest_n(vectors, ["type"], [F.col("seq").desc()], sample)
-    # eligibility per type from a partial aggregation joined back (not a
+    # eligibility and centroid of a type from one aggregation joined back (not a
     # window over the type, which would put a hot type in one task)
-    ok = (s.groupBy("type").agg(F.count(F.lit(1)).alias("__n"), F.count("vector").alias("__u"))
-          .filter((F.col("__n") >= min_events) & (F.col("__u") >= min_events)).select("type"))
-    s = s.join(ok, "type", "left_semi").filter(F.col("vector").isNotNull())
-    c = centroids(s, "type", "vector").filter("dims_ok")
+    c = vector_sums(s).filter((F.col("n") >= min_events) & (F.col("usable") >= min_events) & F.col("dims_ok")
+                              & (F.size("centroid") > 0))
+    s = s.filter(F.col("vector").isNotNull())
     j = s.join(c.select("type", "centroid"), "type")
     return j.select("id", "type", "seq", cosine_distance(F.col("vector"), F.col("centroid")).alias("distance"))
 

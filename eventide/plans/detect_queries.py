@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from eventide.functions.json import unwrap_payload
@@ -13,6 +15,7 @@ from eventide.operators.detect import statistical as ST
 from eventide.operators.discovery import discover, field_sets
 from eventide.operators.sampling import latest_n
 from eventide.plans.registry import query
+from eventide.session import checkpoint_dir
 from eventide.sources.adapters import (document_events, event_vectors, order_records, shaped_events,
                                        stored_events)
 from eventide.sources.topics import discovery_sample, tail_sample
@@ -363,7 +366,10 @@ SELECT v.n + d.n + e.n AS total, v.n + d.n + e.n - e0.n AS open, e0.n AS resolve
   ({EMB_SQL} SELECT count(*) AS n FROM r WHERE distance > 0.85) e,
   ({EMB_SQL} SELECT count(*) AS n FROM r WHERE distance > 0.85 AND type IN ('0', '1')) e0""")
 def alert_stats(spark, sf):
-    alerts = alert_table(spark, sf)
+    """AGG-9 after SNK-9/10: the detectors' alerts are stored once, then resolved and counted."""
+    path = f"{checkpoint_dir(spark)}/alerts-{uuid.uuid4().hex}"
+    alert_table(spark, sf).write.parquet(path)
+    alerts = spark.read.parquet(path)
     res = alerts.filter((F.col("detector_type") == "EMBEDDING") & F.col("event_type").isin("0", "1")).select("id")
     resolved, _ = A.resolve(alerts, res)
     return A.alert_stats(resolved)

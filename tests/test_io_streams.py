@@ -101,3 +101,34 @@ def test_publish_and_pattern_read(spark):
     recs.write.parquet(os.path.join(base, "topics"))
     assert read_topic(spark, pattern=r"^[a-z]+\.raw$", path=os.path.join(base, "topics")).count() == 2
     assert [r[0] for r in list_topics(recs).collect()] == ["events.raw", "orders.raw"]
+
+
+def test_kafka_options_and_tail_offsets(spark):
+    import pytest
+
+    from eventide.sources.topics import kafka_options, read_topic_tail, tail_offsets
+    assert kafka_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "startingOffsets": "earliest", "subscribe": "t"}
+    assert kafka_options("b:1", pattern=".*", max_per_trigger=100) == {
+        "kafka.bootstrap.servers": "b:1", "startingOffsets": "earliest", "subscribePattern": ".*", "maxOffsetsPerTrigger": "100"}
+    with pytest.raises(ValueError):
+        kafka_options("b:1")
+    start, end = tail_offsets({"t": {0: 5, 1: 0}}, {"t": {0: 8, 1: 100, 2: 0}}, 10)
+    assert json.loads(start) == {"t": {"0": 5, "1": 90, "2": 0}} and json.loads(end) == {"t": {"0": 8, "1": 100, "2": 0}}
+    base = tempfile.mkdtemp(prefix="eventide-tail-")
+    recs = [(f"k{i}", json.dumps({"i": i}) if i % 5 else "x", "t", i % 2, i) for i in range(40)]
+    spark.createDataFrame(recs, "key string, value string, topic string, partition int, offset bigint").write.parquet(f"{base}/t")
+    assert sorted(r["offset"] for r in read_topic_tail(spark, "t", 3, path=f"{base}/t").collect()) == [34, 36, 38]
+
+
+def test_transform_stream_writes_topic_folders(spark):
+    from eventide.sources.topics import TOPIC_SCHEMA, read_topic
+    from eventide.streaming.jobs import transform_stream
+    base = tempfile.mkdtemp(prefix="eventide-out-")
+    recs = [(f"e{i}", json.dumps({"id": f"e{i}", "type": "t", "source": "s", "payload": {"x": i}}) if i % 2 else "junk", "in", 0, i)
+            for i in range(6)]
+    spark.createDataFrame(recs, TOPIC_SCHEMA).write.parquet(f"{base}/in")
+    fl = Flow("f", "in", "out", (m("x", "x"),), state="ACTIVE")
+    transform_stream(spark, read_topic(spark, "in", path=f"{base}/in", stream=True), [fl], f"{base}/box", f"{base}/table",
+                     f"{base}/ck", buckets=4).awaitTermination(300)
+    run = [n for n in os.listdir(f"{base}/box") if n.startswith("run=")][0]
+    assert sorted(n for n in os.listdir(f"{base}/box/{run}/batch=0") if "=" in n) == ["topic=events.failed", "topic=out"]
