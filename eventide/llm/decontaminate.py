@@ -23,8 +23,8 @@ The index holds the test items; the training passages are the queries.
   in all. A part of one word may only be missed if nothing of the other is; in
   place of an answer another word must stand.
 
-The benchmark is read in shards of ``SHARD_ITEMS`` items, each small enough to
-send to every task; all documents are run against every shard. Documents are
+The benchmark is read in shards of about ``SHARD_ITEMS`` items, each small enough
+to send to every task; all documents are run against every shard. Documents are
 not shuffled. Null texts have no words; items without words match nothing;
 item rows that repeat (same id and text) are one item, an id with several texts
 or none stands for an item of each text; an empty benchmark or table gives no rows.
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +46,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import bounded_batches
+from eventide.llm.common import apart, bounded_batches
+from eventide.session import checkpoint_dir
+from eventide.sources.folders import delete
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -159,15 +162,15 @@ class Index:
 
 
 def build(rows: list[tuple[int | None, str]], df: dict[str, int], n_items: int, avg_len: float,
+          longest: int = 0,
           threshold: float = THRESHOLD) -> Index:
-    """Index of one shard of items."""
+    """Index of one shard of items; ``longest``: words of the longest item of all shards."""
     ids = [r[0] for r in rows]
     tokens = [words(r[1]) for r in rows]
+    longest = max([longest, *map(len, tokens)])
     vocabulary: dict[str, int] = {}
     t_, i_, w_ = [], [], []
-    longest = 0
     for i, ws in enumerate(tokens):
-        longest = max(longest, len(ws))
         tf: dict[str, int] = {}
         for w in ws:
             tf[w] = tf.get(w, 0) + 1
@@ -277,36 +280,49 @@ def matches(ix: Index, texts: list[str | None]) -> list[list[tuple[int | None, f
     return out
 
 
-def shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
-    """Indexes of the benchmark, ``SHARD_ITEMS`` items at a time, in id and text hash order, null ids first."""
+def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, words) of the distinct items (id and text), words as they are matched."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
         "text is not null").distinct()
-    keys = ["has_id", "n", "h", "text"]
-    keyed = rows.withColumns({"has_id": F.col("id").isNotNull(), "n": F.coalesce("id", F.lit(0)), "h": F.xxhash64("text")})
-    low = None
-    n_items, avg_len, df_all = None, 0.0, None
-    while True:
-        part = keyed if low is None else keyed.where(F.struct(*keys) > F.struct(*[F.lit(low[k]).alias(k) for k in keys]))
-        page = part.orderBy(*keys).limit(SHARD_ITEMS).collect()
-        got = [(r["id"], r["text"]) for r in page]
-        if not got:
-            return
-        if n_items is None:
-            tokens = rows.select("id", F.expr("regexp_extract_all(lower(text), '[\\\\p{L}\\\\p{M}\\\\p{N}_]+', 0)").alias("w"))
-            n_items, avg_len = tokens.agg(F.count("*"), F.avg(F.size("w"))).first()
-            df_all = tokens.select(F.explode(F.array_distinct("w")).alias("w")).groupBy("w").count()
-        if n_items <= SHARD_ITEMS:
-            df: dict[str, int] = {}
-            for _, text in got:
-                for w in set(words(text)):
-                    df[w] = df.get(w, 0) + 1
-        else:
-            mine = items.sparkSession.createDataFrame([(w,) for w in {w for _, t in got for w in words(t)}], "w string")
-            df = {r["w"]: r["count"] for r in df_all.join(F.broadcast(mine), "w").collect()}
-            df = {w: df.get(w, 1) for _, t in got for w in words(t)}
-        if any(words(t) for _, t in got):
-            yield build(got, df, n_items, max(avg_len, 1.0))
-        low = page[-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([words(t) for t in b.column(1).to_pylist()], pa.list_(pa.string()))],
+                                             names=["id", "text", "words"])
+    return rows.mapInArrow(run, "id long, text string, words array<string>")
+
+
+def shards(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Index]:
+    """Indexes of the benchmark, about ``SHARD_ITEMS`` items each, in id and text order, null ids first.
+
+    Items are dealt to shards by the hash of id and text, in one pass that
+    writes them by shard; a shard is read from its own folder. Document
+    frequencies, lengths and the passage length are those of all items, counted
+    over the words that matching uses, so no result depends on the number of
+    shards.
+    """
+    spark = items.sparkSession
+    bounded_batches(spark)
+    path = f"{checkpoint_dir(spark)}/benchmark-{uuid.uuid4().hex}"
+    found = item_words(items, id_col, text_col)
+    n_items, avg_len, longest = found.agg(F.count("*"), F.avg(F.size("words")), F.max(F.size("words"))).first()
+    if not longest:
+        return
+    n_shards = -(-n_items // SHARD_ITEMS)
+    found.withColumn("shard", F.pmod(F.xxhash64("id", "text"), F.lit(n_shards)).cast("int")).write.partitionBy("shard").parquet(path)
+    try:
+        kept = spark.read.schema("id long, text string, words array<string>, shard int").parquet(path)
+        df_all = kept.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+        for k in range(n_shards):
+            mine = kept.where(F.col("shard") == k)
+            vocabulary = mine.select(F.explode("words").alias("w")).distinct()
+            df = {r["w"]: r["n"] for r in df_all.join(vocabulary, "w").collect()}  # the words of one shard
+            rows = sorted(((r["id"], r["text"]) for r in mine.select("id", "text").collect()),
+                          key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+            if df:
+                yield build(rows, df, n_items, max(avg_len, 1.0), longest)
+    finally:
+        delete(spark, path)  # the indexes hold all of it
 
 
 _FOUND = "array<struct<item_id:long,score:double,question:double,answer:double>>"
@@ -344,5 +360,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows in which no item is found; the columns of ``docs``."""
-    return find(docs, items).where(F.size("__found") == 0).select(*docs.columns)
+    """Rows in which no item is found; the columns of ``docs``, whatever their names, unchanged."""
+    plain, back = apart(docs, {"__found"})
+    return find(plain, items).where(F.size("__found") == 0).select(*back)
