@@ -30,10 +30,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import batch_of, bounded_batches, checkpoint, one_row_per_key, sorted_runs, utf8, words_of
+from eventide.llm.common import apart, batch_of, bounded_batches, checkpoint, one_row_per_key, sorted_runs, utf8, words_of
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+#: Components of most rows that are joined by a broadcast.
+HEAVY_ROOTS = 1000
 SEED = 42
 #: Fingerprints of one block of a long posting list.
 LIST_BLOCK = 4096
@@ -191,6 +193,19 @@ def _components_of(fps: DataFrame, max_bits: int) -> DataFrame:
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
 
 
+def _with_root(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` joined with ``table`` (one row per root) on ``root``.
+
+    The ``HEAVY_ROOTS`` roots of most rows are joined by a broadcast of that many
+    rows of ``table``, so no component of a large share of all rows is dealt to
+    one task; each of the others has at most one in ``HEAVY_ROOTS`` of the rows.
+    """
+    heavy = checkpoint(rows.groupBy("root").count().orderBy(F.col("count").desc(), "root").limit(HEAVY_ROOTS).select("root"))
+    known = table.join(F.broadcast(heavy), "root", "left_semi")
+    light = rows.join(F.broadcast(heavy), "root", "left_anti").join(table, "root")
+    return rows.join(F.broadcast(known), "root").unionByName(light)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every input row.
@@ -203,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = checkpoint(fingerprints(docs, id_col, text_col, k))
     rooted = _components_of(fps, max_bits)
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = rooted.join(ids, "root").select("fp", "component_id")
+    by_fp = _with_root(rooted, ids).select("fp", "component_id")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -216,9 +231,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of ``docs`` per component: that of the smallest id, then text hash; a row without an id only if none has one.
 
     Rows are told apart by id and text, so an id that stands for several texts
-    loses only those that repeat another row. Equal rows are one.
+    loses only those that repeat another row. Equal rows are one. All columns stay as
+    they are, whatever their names.
     """
     bounded_batches(docs.sparkSession)
+    docs, back = apart(docs, {"no_id", "n", "h", "__no_id", "__n", "__h"} - {id_col, text_col})
     key = [F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("n"),
            F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(text_col).isNull()).alias("h")]
     names = ["no_id", "n", "h"]
@@ -233,8 +250,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     root = _components_of(rows.select(F.col("n").alias("doc_id"), "fp"), max_bits).select("fp", "root")
     placed = rows.join(root, "fp").select("root", F.struct(*names).alias("key"))
     shared = placed.groupBy("root").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last")
-    more = placed.join(shared, "root").where("key <> first").select("key.*").distinct()
+    more = _with_root(placed, shared).where("key <> first").select("key.*").distinct()
     keyed = docs.withColumns({f"__{n}": c for n, c in zip(names, key)})
     mine = [f"__{n}" for n in names]
     left = keyed.join(more, [F.col(m) == F.col(n) for m, n in zip(mine, names)], "left_anti")
-    return one_row_per_key(left, mine, rows.groupBy(*names).count().where("count > 1").select(*names)).select(*docs.columns)
+    return one_row_per_key(left, mine, rows.groupBy(*names).count().where("count > 1").select(*names)).select(*back)
