@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventide.session import checkpoint_dir
 
@@ -96,3 +97,21 @@ def one_row_per_key(docs: DataFrame, columns: list[str], many: DataFrame) -> Dat
     """One row of each key (``columns``, not null). ``many`` holds the keys that may repeat; other rows are not shuffled."""
     same = [docs[c] == many[m] for c, m in zip(columns, many.columns, strict=True)]
     return docs.join(many, same, "left_anti").unionByName(docs.join(many, same, "left_semi").dropDuplicates(columns))
+
+
+def apart(docs: DataFrame, names: set[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` without columns called like one of ``names`` (they get unused names), and its columns under their own names.
+
+    An operator that works with columns of ``names`` neither reads nor changes
+    columns of its input that happen to be called so.
+    """
+    taken = {c.lower() for c in docs.columns} | {n.lower() for n in names}
+    new = []
+    for c in docs.columns:
+        unused = c
+        while unused.lower() in {n.lower() for n in names} or (unused != c and unused.lower() in taken):
+            unused = f"{unused}_in"
+        taken.add(unused.lower())
+        new.append(unused)
+    back = [F.col(f"`{n}`").alias(c) for n, c in zip(new, docs.columns)]
+    return docs.toDF(*new), back

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import bounded_batches
+from eventide.llm.common import apart, bounded_batches
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -291,6 +291,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Rows with a language covering ``min_score`` of their letters; the columns of ``docs``."""
-    found = identify(docs)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    """Rows with a language covering ``min_score`` of their letters; the columns of ``docs``, whatever their names, unchanged."""
+    plain, back = apart(docs, {"lang_pred", "score", "spans", "held_out"})
+    found = identify(plain)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*back)
