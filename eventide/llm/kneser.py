@@ -57,7 +57,8 @@ BATCH_TOKENS = 2_000_000
 #: Texts of the sample that shows frequent words, and the most words it may name.
 SAMPLE_TEXTS = 2000
 MAX_FREQUENT = 64
-BEGIN, END = np.uint64(xxhash.xxh64_intdigest(b"\x00begin")), np.uint64(xxhash.xxh64_intdigest(b"\x00end"))
+#: Hashes of strings with a space, which no word has.
+BEGIN, END = np.uint64(xxhash.xxh64_intdigest(b" begin")), np.uint64(xxhash.xxh64_intdigest(b" end"))
 BLOB, HEADER = 0, 1
 _U8, _F8 = np.dtype("<u8"), np.dtype("<f8")
 

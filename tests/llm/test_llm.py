@@ -594,3 +594,15 @@ def test_packed_chunks_of_all_widths_come_back():
             assert (tokenfile._unpack_run(packed, bits, a, n - a) == v[a:]).all()
             at = np.arange(0, n, 13)
             assert not n or (tokenfile._unpack(packed, bits, at) == v[at]).all()
+
+
+def test_kneser_ney_end_is_no_word(spark):
+    """Words that spell the names of the markers are words like any other."""
+    texts = ["a \x00end b", "\x00begin \x00end", "a b", "\x00end"]
+    rows = kneser.score(frame(spark, texts), F.lit(True), F.lit(False)).collect()
+    counts = collections.Counter(w for t in texts for w in t.split(" "))
+    total, distinct = sum(counts.values()) + len(texts), len(counts) + 1
+    for r in rows:
+        seen = [counts[w] for w in texts[r["doc_id"]].split(" ")] + [len(texts)]
+        assert r["n_known"] == len(seen) and r["train_tokens"] == total
+        assert r["base_score"] == pytest.approx(sum(math.log10((c + .5) / (total + .5 * (distinct + 1))) for c in seen))
