@@ -1,39 +1,47 @@
-"""Interpolated modified Kneser-Ney bigram model, counted and applied in Spark.
+"""Interpolated modified Kneser-Ney n-gram model, counted and applied in Spark.
 
-Tokens of a text are its lower-cased words and one end; the first token's
-context is the text's begin. With counts c over the training texts,
+Tokens of a text are its lower-cased words and one end; ``order - 1`` begins
+stand before the first. With u a context of one to ``order - 1`` tokens and u'
+the same without its leftmost token,
 
-    p(w|v) = max(c(vw) - D(c(vw)), 0) / c(v) + g(v) q(w)
-    q(w)   = max(k(w) - E(k(w)), 0) / K + e / (V + 1)
+    p(w|u) = max(c(uw) - D(c(uw)), 0) / c(u) + g(u) p(w|u')
+    p(w)   = max(k(w) - E(k(w)), 0) / K + e / (V + 1)
 
-k(w) is the number of distinct words before w, K their sum, V the number of
-distinct training tokens; D and E are the three discounts of modified
-Kneser-Ney from the counts of counts, g and e the mass they free. An unseen
-context leaves q. The unknown token takes the last share of the uniform part,
-so every p(.|v) sums to one.
+In the longest context c counts occurrences in the training texts; in a shorter
+one c(uw) is the number of distinct tokens before uw in the training texts, as
+k(w) is of w alone. c(u) is the sum of c(uw) over w, K that of k, V the number
+of distinct training tokens. Every order has its own three discounts, from the
+counts of its counts; g and e are the mass that they free. An unseen context
+leaves the shorter one. The unknown token takes the last share of the uniform
+part, so every p(.|u) sums to one. Perplexity is 10 ** (-score / n_tokens).
 
 How it runs (text is read once and never shuffled; every message is the
-pre-aggregated content of a batch of documents, so a frequent word or pair
+pre-aggregated content of a batch of documents, so a frequent word or n-gram
 costs one entry per batch):
 
 1. A task reads documents in batches of ``BATCH_TOKENS`` and deals their
-   distinct bigrams, with the batch's documents of each, over shards by the
-   hash of v. Words that a sample of the corpus shows to be frequent, and the
-   begin, are dealt by the hash of (v, w); the sample places work and changes
-   no result.
-2. Each shard counts its bigrams over all batches and sends every distinct w
-   (k and c in the shard) to the shard of w, which sums them and answers.
+   distinct n-grams, with the batch's documents of each, over shards by the
+   hash of v, the token before w: all orders from 2 on, and their contexts, end
+   in v or vw and so are whole in one shard. A message holds each of its words'
+   hashes once and refers to them by place. Words that a sample of the corpus
+   shows to be frequent, and the begin, are dealt by the hash of (v, w); the
+   sample places work and changes no result.
+2. Each shard counts its n-grams of all orders over all batches. What it shares
+   with others (k and c of every w, contexts that end in a frequent v) goes to
+   the shard of its hash, which sums and answers.
 3. Each shard writes its part of the model as sorted hash arrays to its own
-   temporary files, maps them into memory, looks its bigrams up and sums the
-   log-probabilities by batch and document; the files go when it is done.
+   temporary files, maps them into memory, looks its n-grams up message by
+   message and sums the log-probabilities by batch and document; the files go
+   when it is done.
 4. The sums of a batch's documents are added up.
 
 The model grows with the corpus, and is nowhere held whole: a shard's part is
 1 / shards of it. Shards follow ``spark.sql.shuffle.partitions``.
 
 Null text is empty (the end alone). Rows with a null id are scored and not
-learned from. Repeated rows are texts of their own. Without training texts all
-tokens are unknown and score 0. An empty table gives no rows.
+learned from. Repeated rows are texts of their own. Other columns of the input
+are not read. Without training texts all tokens are unknown and score 0, at
+perplexity 1. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,9 +62,8 @@ from pyspark.sql import functions as F
 from eventide.llm.common import batch_of, bounded_batches, shuffle_partitions, utf8, words_of
 
 BATCH_TOKENS = 2_000_000
-#: Texts of the sample that shows frequent words, and the most words it may name.
-SAMPLE_TEXTS = 2000
-MAX_FREQUENT = 64
+#: Share of the rows in the sample that shows frequent words.
+SAMPLE = 1 / 64
 #: Hashes of strings with a space, which no word has.
 BEGIN, END = np.uint64(xxhash.xxh64_intdigest(b" begin")), np.uint64(xxhash.xxh64_intdigest(b" end"))
 BLOB, HEADER = 0, 1
@@ -145,109 +152,161 @@ class HashArray:
         return [np.where(hit, self.columns[n][i], 0) if len(self.keys) else np.zeros(len(keys)) for n in names]
 
 
-def deal(docs: list[tuple], shards: int, frequent: np.ndarray, batch: int) -> Iterator[tuple[int, int, int, bytes]]:
+def deal(docs: list[tuple], shards: int, frequent: np.ndarray, batch: int,
+         order: int) -> Iterator[tuple[int, int, int, bytes]]:
     """(shard, batch, kind, body) of a batch of (doc_id, trains, held_out, word hashes)."""
     n_tokens = np.array([len(d[3]) + 1 for d in docs], np.int64)
-    w = np.concatenate([x for d in docs for x in (d[3], [END])]).astype(np.uint64)
-    v = np.empty_like(w)
-    v[1:] = w[:-1]
-    first = np.cumsum(n_tokens) - n_tokens
-    v[first] = BEGIN
-    doc = np.repeat(np.arange(len(docs), dtype=np.uint64), n_tokens)
-    ph = pair_hash(v, w)
-    order = np.lexsort((doc, ph))
-    ph, doc, v, w = ph[order], doc[order], v[order], w[order]
-    new = np.ones(len(ph), bool)
-    new[1:] = ph[1:] != ph[:-1]
-    place = new.copy()
-    place[1:] |= doc[1:] != doc[:-1]  # a document counts once per pair, with its number of times
-    at = np.flatnonzero(place)
-    times = np.diff(np.append(at, len(ph)))
+    tokens = np.concatenate([x for d in docs for x in (d[3], [END])]).astype(np.uint64)
+    words, at = np.unique(np.append(tokens, BEGIN), return_inverse=True)
+    doc = np.repeat(np.arange(len(docs)), n_tokens)
+    place = np.arange(len(tokens)) + (order - 1) * (doc + 1)
+    padded = np.full(len(tokens) + (order - 1) * len(docs), at[-1], np.int32)
+    padded[place] = at[:-1]
+    columns = [padded[place - j] for j in range(order)]  # w, v, and so on to the left
+    h = words[columns[0]]
+    for c in columns[1:]:
+        h = pair_hash(words[c], h)
+    by = np.argsort(h, kind="stable")  # leaves the documents of an n-gram in order
+    h, doc = h[by], doc[by]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    once = new.copy()
+    once[1:] |= doc[1:] != doc[:-1]  # a document counts once per n-gram, with its number of times
+    at = np.flatnonzero(once)
+    times = np.diff(np.append(at, len(h)))
     start = np.flatnonzero(new)
-    n_docs = np.add.reduceat(place.astype(np.int64), start)
-    v, w, doc = v[start], w[start], doc[at]
-    shard = shard_of(np.where(np.isin(v, frequent), pair_hash(v, w), v), shards)
+    n_docs = np.add.reduceat(once.astype(np.int64), start)
+    doc = doc[at]
+    columns = [c[by[start]] for c in columns]
+    v = words[columns[1]]
+    shard = shard_of(np.where(np.isin(words, frequent)[columns[1]], pair_hash(v, words[columns[0]]), v), shards)
     trains = np.array([d[1] for d in docs], np.uint8)
-    by = np.argsort(shard, kind="stable")
+    by = np.argsort(shard * len(words) + columns[1], kind="stable")
     begin = np.cumsum(n_docs) - n_docs
     bounds = np.searchsorted(shard[by], np.arange(shards + 1))
     for s in range(shards):
         pick = by[bounds[s]:bounds[s + 1]]
         if not len(pick):
             continue
-        pick = pick[np.argsort(v[pick], kind="stable")]
         size = n_docs[pick]
         where = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[pick], size)
-        cv = v[pick]
-        run = np.flatnonzero(np.concatenate(([True], cv[1:] != cv[:-1])))
-        yield s, batch, BLOB, pack(trains, cv[run], small(np.diff(np.append(run, len(cv)))), w[pick], small(size),
-                                   small(doc[where]), small(times[where]))
+        local, flat = np.unique(np.stack([c[pick] for c in columns]), return_inverse=True)
+        w, v, *left = flat.reshape(order, -1)
+        yield s, batch, BLOB, pack(trains, words[local], small(w), small(np.diff(v, prepend=0)), *map(small, left),
+                                   small(size), small(doc[where]), small(times[where]))
     ids = np.array([d[0] if d[0] is not None else 0 for d in docs], "<i8")
     yield batch % shards, batch, HEADER, pack(ids, np.array([d[0] is not None for d in docs], np.uint8),
                                               np.array([d[2] for d in docs], np.uint8), small(n_tokens))
 
 
+class Message:
+    """The n-grams that a batch dealt to a shard: hashes of every order and of their contexts."""
+
+    def __init__(self, body: bytes):
+        self.trains, self.words, self.w, step, *left, self.per_gram, self.doc, self.times = unpack(body)
+        v = np.cumsum(step, dtype=np.int64)
+        self.v = v
+        gram, context = self.words[self.w], None
+        self.grams, self.contexts = [], []
+        for c in (v, *left):
+            x = self.words[c]
+            gram = pair_hash(x, gram)
+            context = x if context is None else pair_hash(x, context)
+            self.grams.append(gram)
+            self.contexts.append(context)
+
+    def trained(self) -> np.ndarray:
+        """Occurrences of each n-gram in training texts."""
+        used = self.trains[self.doc].astype(np.int64) * self.times
+        return np.add.reduceat(used, np.cumsum(self.per_gram, dtype=np.int64) - self.per_gram)
+
+
 class Shard:
-    """The bigrams of a shard, from the blobs of all batches."""
+    """Counts of the n-grams of a shard, from the messages of all batches.
+
+    ``orders`` holds for order 2 and up the n-grams, their counts and contexts;
+    ``words`` every w and ``shared`` every context with a frequent v, by order,
+    those of held-out texts among them.
+    """
 
-    def __init__(self, bodies: list[bytes]):
-        self.blobs = []
-        v_, w_, c_ = [], [], []
+    def __init__(self, bodies: list[bytes], order: int, frequent: np.ndarray):
+        words, shared = [], [[] for _ in range(order - 1)]
+        grams, contexts, w, c = [], [], [], []
         for body in bodies:
-            trains, cv, per_v, w, per_pair, doc, times = unpack(body)
-            v = np.repeat(cv, per_v)
-            used = trains[doc].astype(np.int64) * times
-            start = np.cumsum(per_pair, dtype=np.int64) - per_pair
-            c = np.add.reduceat(used, start) if len(start) else np.zeros(0, np.int64)
-            self.blobs.append((len(trains), v, w, per_pair, doc, times))
-            v_.append(v)
-            w_.append(w)
-            c_.append(c)
-        v, w, c = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((v_, _U8), (w_, _U8), (c_, np.int64)))
-        self.words, at = np.unique(w, return_inverse=True)  # every word asked for, also by held-out texts
-        ph = pair_hash(v, w)
-        order = np.argsort(ph)
-        start = np.flatnonzero(np.concatenate(([True], ph[order][1:] != ph[order][:-1]))) if len(ph) else order
-        count = np.add.reduceat(c[order], start) if len(ph) else c
-        seen = count > 0
-        one = order[start][seen]
-        self.pairs, self.count = ph[one], count[seen]
-        self.v, w_at = v[one], at[one]
-        self.word_before = np.bincount(w_at, minlength=len(self.words))
-        self.word_count = np.bincount(w_at, weights=self.count, minlength=len(self.words)).astype(np.int64)
-
-    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Contexts, and for each its c, and how many of its pairs occur once, twice, and more often."""
-        v, at = np.unique(self.v, return_inverse=True)
-        c = self.count
-        return v, np.stack([np.bincount(at, weights=x, minlength=len(v)) for x in (
-            c, c == 1, c == 2, c >= 3)], axis=1) if len(v) else np.zeros((0, 4))
+            m = Message(body)
+            words.append(m.words[np.unique(m.w)])
+            hot = np.isin(m.words, frequent)[m.v]
+            for kept, x in zip(shared, m.contexts):
+                kept.append(np.unique(x[hot]))
+            count = m.trained()
+            seen = count > 0
+            grams.append(np.stack(m.grams)[:, seen])
+            contexts.append(np.stack(m.contexts)[:, seen])
+            w.append(m.words[m.w[seen]])
+            c.append(count[seen])
+        grams, contexts = np.concatenate(grams, axis=1), np.concatenate(contexts, axis=1)
+        w, c = np.concatenate(w), np.concatenate(c)
+        self.words = np.unique(np.concatenate(words))
+        self.shared = [np.unique(np.concatenate(x)) for x in shared]
+        self.word_count = np.bincount(np.searchsorted(self.words, w), weights=c, minlength=len(self.words)).astype(np.int64)
+        self.orders = []
+        rows = np.arange(len(w))
+        for n in reversed(range(order - 1)):
+            keys, first, at = np.unique(grams[n][rows], return_index=True, return_inverse=True)
+            # occurrences in the longest order, then the distinct n-grams one longer
+            c = np.bincount(at, weights=c if n == order - 2 else None, minlength=len(keys)).astype(np.int64)
+            rows = rows[first]
+            self.orders.insert(0, (keys, c, contexts[n][rows]))
+        self.word_before = np.bincount(np.searchsorted(self.words, w[rows]), minlength=len(self.words))
+
+    def totals(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By order: contexts, and for each the sum of its counts and how many are 1, 2, and more."""
+        out = []
+        for _, c, contexts in self.orders:
+            u, at = np.unique(contexts, return_inverse=True)
+            out.append((u, np.stack([np.bincount(at, weights=x, minlength=len(u)) for x in (
+                c, c == 1, c == 2, c >= 3)], axis=1)))
+        return out
+
+
+def rows_of(keys: np.ndarray, table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Rows of ``values`` at the sorted ``table``'s places of the keys; zeros where a key is missing."""
+    if not len(table):
+        return np.zeros((len(keys), values.shape[1]))
+    i = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where((table[i] == keys)[:, None], values[i], 0)
 
 
 def _counts_of_counts(c: np.ndarray) -> list[float]:
     return [float((c == k).sum()) for k in (1, 2, 3, 4)]
 
 
-def frequent_words(docs: DataFrame, text_col: str, shards: int, sample: int = SAMPLE_TEXTS) -> np.ndarray:
-    """Hashes of words that would fill a good part of a shard, by a bounded sample (it only places work)."""
-    words = docs.select(F.col(text_col).alias("t")).limit(sample).select(
-        F.explode(F.split(F.lower("t"), r"[\x20\x09-\x0D]+")).alias("w")).groupBy("w").count()
-    top = words.orderBy(F.desc("count"), "w").limit(MAX_FREQUENT).collect()
-    found = [BEGIN, *(np.uint64(xxhash.xxh64_intdigest(r["w"].encode())) for r in top)]
-    return np.array(found, np.uint64)
+def frequent_words(docs: DataFrame, text_col: str, shards: int, share: float = SAMPLE) -> np.ndarray:
+    """Hashes of the begin and of words with a quarter of a shard's tokens or more in a sample (it only places work).
+
+    At most ``4 * shards`` words can hold such a share, so no more are named.
+    """
+    words = docs.select(F.col(text_col).alias("t")).sample(share, seed=1).select(
+        F.explode(F.split(F.lower("t"), r"[\x20\x09-\x0D]+")).alias("w"))
+    top = words.rollup("w").count().orderBy(F.desc("count"), F.col("w").asc_nulls_first()).limit(4 * shards + 1).collect()
+    total = top[0]["count"] if top else 0
+    found = [np.uint64(xxhash.xxh64_intdigest(r["w"].encode())) for r in top[1:] if r["count"] * 4 * shards >= total]
+    return np.sort(np.array([BEGIN, *found], np.uint64))
 
 
 def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: str = "text",
-          shards: int | None = None, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
+          shards: int | None = None, batch_tokens: int = BATCH_TOKENS, order: int = 2) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) of every row.
 
-    ``trains`` and ``held_out`` are boolean columns of ``docs`` (null is false).
+    ``trains`` and ``held_out`` are boolean columns of ``docs`` (null is false);
+    ``order`` (2 or more) is the length of the longest n-grams.
     """
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark = docs.sparkSession
     bounded_batches(spark)
     shards = shards or shuffle_partitions(spark)
-    frequent = np.sort(frequent_words(docs, text_col, shards))
-    n_freq = len(frequent)
+    frequent = frequent_words(docs, text_col, shards)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.coalesce(trains, F.lit(False)).alias("trains"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -257,7 +316,7 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            for r in deal(held, shards, frequent, (part << 32) | seq):
+            for r in deal(held, shards, frequent, (part << 32) | seq, order):
                 yield batch_of(dealt_schema, [[x] for x in r])
         for b in batches:
             for i, text, t, o in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(),
@@ -273,36 +332,43 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
 
     dealt = rows.mapInArrow(read, "shard int, batch long, kind int, body binary")
 
-    n_stats = 3 + 4 + 4 + 4 * n_freq
+    n_stats = 3 + 4 * order  # V, N, K, then the counts of counts by order
     sent_schema = pa.schema([("home", pa.int32()), ("src", pa.int32()), ("body", pa.binary())])
 
     def blobs(t: pa.Table) -> list[bytes]:
         return [x for x, k in zip(t.column("body").to_pylist(), t.column("kind").to_pylist()) if k == BLOB]
 
-    def by_home(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        home = shard_of(words, shards)
-        order = np.argsort(home, kind="stable")
-        bounds = np.searchsorted(home[order], np.arange(shards + 1))
-        for s in range(shards):
-            if bounds[s] < bounds[s + 1]:
-                yield s, order[bounds[s]:bounds[s + 1]]
+    def by_home(hashes: np.ndarray) -> list[np.ndarray]:
+        home = shard_of(hashes, shards)
+        order_ = np.argsort(home, kind="stable")
+        bounds = np.searchsorted(home[order_], np.arange(shards + 1))
+        return [order_[bounds[s]:bounds[s + 1]] for s in range(shards)]
 
     def ask(key: tuple, t: pa.Table) -> pa.Table:
-        me, sh = key[0].as_py(), Shard(blobs(t))
-        v, stats = sh.contexts()
-        of_frequent = np.zeros((n_freq, 4))
-        hit = np.isin(v, frequent)
-        of_frequent[np.searchsorted(frequent, v[hit])] = stats[hit]
-        out = [(0, -1 - me, pack(np.array([*_counts_of_counts(sh.count), *of_frequent.reshape(-1)], _F8)))]
-        for s, at in by_home(sh.words):
-            out.append((s, me, pack(sh.words[at], small(sh.word_before[at]), small(sh.word_count[at]))))
-        return pa.Table.from_batches([batch_of(sent_schema, list(zip(*out)))])
+        bodies, out = blobs(t), []
+        if bodies:
+            me, sh = key[0].as_py(), Shard(bodies, order, frequent)
+            parts = np.concatenate([rows_of(k, *x) for k, x in zip(sh.shared, sh.totals())]).astype(np.int64)
+            contexts = np.concatenate(sh.shared)
+            out.append((0, -1 - me, pack(np.array([x for _, c, _ in sh.orders for x in _counts_of_counts(c)], _F8))))
+            for s, (at, c) in enumerate(zip(by_home(sh.words), by_home(contexts))):
+                if len(at) or len(c):
+                    out.append((s, me, pack(sh.words[at], small(sh.word_before[at]), small(sh.word_count[at]),
+                                            contexts[c], *map(small, parts[c].T))))
+        return pa.Table.from_batches([batch_of(sent_schema, list(zip(*out)) if out else [[]] * 3)])
 
     asked = dealt.groupBy("shard").applyInArrow(ask, "home int, src int, body binary")
 
     answer_schema = pa.schema([("shard", pa.int32()), ("home", pa.int32()), ("body", pa.binary()),
                                ("stats", pa.list_(pa.float64()))])
 
+    def summed(keys: list[np.ndarray], values: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Distinct values summed over equal keys, and the place of every key of each message."""
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = int(at.max(initial=-1)) + 1
+        sums = [np.bincount(at, weights=np.concatenate(x), minlength=n).astype(np.int64) for x in zip(*values)]
+        return sums, np.split(at, np.cumsum([len(k) for k in keys])[:-1])
+
     def answer(key: tuple, t: pa.Table) -> pa.Table:
         me = key[0].as_py()
         stats = np.zeros(n_stats)
@@ -312,18 +378,15 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
                 stats[7:] += unpack(body)[0]
             else:
                 got.append((src, *unpack(body)))
-        words = np.concatenate([g[1] for g in got]) if got else np.zeros(0, _U8)
-        _, at = np.unique(words, return_inverse=True)
-        n = int(at.max(initial=-1)) + 1
-        before = np.bincount(at, weights=np.concatenate([g[2] for g in got]) if got else None, minlength=n)
-        count = np.bincount(at, weights=np.concatenate([g[3] for g in got]) if got else None, minlength=n)
-        stats[:3] = [(count > 0).sum(), count.sum(), before.sum()]
-        stats[3:7] = _counts_of_counts(before)
-        out, i = [(-1, me, None, stats.tolist())], 0
-        for g in got:
-            mine = at[i:i + len(g[1])]
-            i += len(g[1])
-            out.append((g[0], me, pack(small(before[mine].astype(np.int64)), small(count[mine].astype(np.int64))), None))
+        out = []
+        if got:
+            (before, count), words_at = summed([g[1] for g in got], [g[2:4] for g in got])
+            parts, contexts_at = summed([g[4] for g in got], [g[5:] for g in got])
+            stats[:3] = [(count > 0).sum(), count.sum(), before.sum()]
+            stats[3:7] = _counts_of_counts(before)
+            for g, w, c in zip(got, words_at, contexts_at):
+                out.append((g[0], me, pack(*(small(x[w]) for x in (before, count)), *(small(x[c]) for x in parts)), None))
+        out.append((-1, me, None, stats.tolist()))
         return pa.Table.from_batches([batch_of(answer_schema, list(zip(*out)))])
 
     answered = asked.groupBy("home").applyInArrow(answer, "shard int, home int, body binary, stats array<double>")
@@ -341,55 +404,62 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
         batches = [b for b, k in zip(t.column("batch").to_pylist(), t.column("kind").to_pylist()) if k == BLOB]
         if not batches:
             return pa.Table.from_batches([batch_of(sums_schema, list(zip(*out)) if out else [[]] * 4)])
-        sh = Shard(blobs(t))
+        bodies = blobs(t)
+        sh = Shard(bodies, order, frequent)
         stats, replies_ = None, {}
         for home, body, s in zip(r.column("home").to_pylist(), r.column("body").to_pylist(), r.column("stats").to_pylist()):
             if home < 0:
                 stats = np.array(s)
             else:
                 replies_[home] = unpack(body)
-        before, count = np.zeros(len(sh.words)), np.zeros(len(sh.words))
-        for s, at in by_home(sh.words):
-            before[at], count[at] = replies_[s]
+        contexts = np.concatenate(sh.shared)
+        before, count, parts = np.zeros(len(sh.words)), np.zeros(len(sh.words)), np.zeros((len(contexts), 4))
+        for s, (at, c) in enumerate(zip(by_home(sh.words), by_home(contexts))):
+            if s in replies_:
+                before[at], count[at], *of_contexts = replies_[s]
+                parts[c] = np.stack(of_contexts, axis=1)
         types, tokens, sum_before = stats[:3]
-        d, e = discounts(stats[7:11]), discounts(stats[3:7])
+        d = [discounts(stats[3 + 4 * n:7 + 4 * n]) for n in range(order)]
         more = types - stats[3] - stats[4]
         q = np.full(len(sh.words), 1 / (types + 1))
         if sum_before:
-            q = discounted(before, e) / sum_before + (e @ [stats[3], stats[4], more]) / sum_before / (types + 1)
-        v, ctx = sh.contexts()
-        ctx = ctx.copy()
-        hit = np.isin(v, frequent)
-        of_frequent = stats[11:].reshape(n_freq, 4)
-        ctx[hit] = of_frequent[np.searchsorted(frequent, v[hit])]
-        # a frequent context may have no trained pair here and still be known elsewhere
-        extra = ~np.isin(frequent, v) & (of_frequent[:, 0] > 0)
-        v, ctx = np.concatenate((v, frequent[extra])), np.concatenate((ctx, of_frequent[extra]))
+            q = discounted(before, d[0]) / sum_before + (d[0] @ [stats[3], stats[4], more]) / sum_before / (types + 1)
+        ends = np.cumsum([0, *map(len, sh.shared)])
         with tempfile.TemporaryDirectory() as folder:
-            pairs = HashArray(folder, "pairs", sh.pairs, kept=discounted(sh.count, d))
-            contexts = HashArray(folder, "contexts", v, c=ctx[:, 0], free=ctx[:, 1:] @ d)
+            grams, totals = [], []
+            for n, ((keys, c, _), (u, own)) in enumerate(zip(sh.orders, sh.totals())):
+                grams.append(HashArray(folder, f"grams{n}", keys, kept=discounted(c, d[n + 1])))
+                local = ~np.isin(u, sh.shared[n])
+                u = np.concatenate((u[local], sh.shared[n]))
+                own = np.concatenate((own[local], parts[ends[n]:ends[n + 1]]))
+                totals.append(HashArray(folder, f"contexts{n}", u, c=own[:, 0], free=own[:, 1:] @ d[n + 1]))
             words = HashArray(folder, "words", sh.words, q=q, count=count)
-            for b, (n_docs, bv, bw, per_pair, doc, times) in zip(batches, sh.blobs):
-                kept, = pairs.get(pair_hash(bv, bw), "kept")
-                c, free = contexts.get(bv, "c", "free")
-                wq, wc = words.get(bw, "q", "count")
-                known = c > 0
-                c = np.where(known, c, 1)
-                p = np.where(known, kept / c + free / c * wq, wq)
+            del sh, parts, contexts
+            for b, body in zip(batches, bodies):
+                m = Message(body)
+                local_q, local_count = words.get(m.words, "q", "count")
+                p, wc = local_q[m.w], local_count[m.w]
+                for n in range(order - 1):
+                    kept, = grams[n].get(m.grams[n], "kept")
+                    c, free = totals[n].get(m.contexts[n], "c", "free")
+                    known = c > 0
+                    c = np.where(known, c, 1)
+                    p = np.where(known, kept / c + free / c * p, p)
                 base = (wc + 0.5) / (tokens + 0.5 * (types + 1))
                 values = np.stack([np.log10(p), np.log10(base), wc > 0])
-                values = np.repeat(values, per_pair, axis=1) * times
-                out.append((b, BLOB, pack(*[np.bincount(doc, weights=x, minlength=n_docs) for x in values[:2]],
-                                          small(np.bincount(doc, weights=values[2], minlength=n_docs).astype(np.int64))),
+                values = np.repeat(values, m.per_gram, axis=1) * m.times
+                n_docs = len(m.trains)
+                out.append((b, BLOB, pack(*[np.bincount(m.doc, weights=x, minlength=n_docs) for x in values[:2]],
+                                          small(np.bincount(m.doc, weights=values[2], minlength=n_docs).astype(np.int64))),
                             int(tokens)))
-            del pairs, contexts, words
+            del grams, totals, words
         return pa.Table.from_batches([batch_of(sums_schema, list(zip(*out)))])
 
     sums = dealt.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(
         apply, "batch long, kind int, body binary, train_tokens long")
     result_schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                                ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
-                               ("score", pa.float64())])
+                               ("score", pa.float64()), ("perplexity", pa.float64())])
 
     def finish(key: tuple, t: pa.Table) -> pa.Table:
         total, head, trained = None, None, 0
@@ -407,7 +477,8 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
         return pa.Table.from_batches([pa.RecordBatch.from_arrays([
             pa.array(ids, pa.int64(), mask=valid == 0), pa.array(out_ > 0), pa.array(n_tokens.astype(np.int64)),
             pa.array(total[2].astype(np.int64)), pa.array(np.full(m, trained)), pa.array(total[1]),
-            pa.array(total[0])], schema=result_schema)])
+            pa.array(total[0]), pa.array(10 ** (-total[0] / n_tokens))], schema=result_schema)])
 
     return sums.groupBy("batch").applyInArrow(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+                "score double, perplexity double")

@@ -20,6 +20,8 @@ BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 END_ID = 2
+#: Longest n-grams of the language model.
+LM_ORDER = 3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,9 +105,9 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_lm_scoring")
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kneser-Ney and base log-probabilities of every document."""
+    """Kneser-Ney trigram and base log-probabilities, and perplexity, of every document."""
     left = langid.remainder("doc_id", 5)
-    return kneser.score(read_table(spark, sf_dir, "documents"), left != 1, left == 1)
+    return kneser.score(read_table(spark, sf_dir, "documents"), left != 1, left == 1, order=LM_ORDER)
 
 
 @query("op11_centroids", centroids.ORACLE)
