@@ -125,9 +125,11 @@ class HashArray:
     """Sorted hashes with columns of numbers, in files mapped into memory."""
 
     def __init__(self, folder: str, name: str, keys: np.ndarray, **columns: np.ndarray):
-        order = np.argsort(keys)
-        self.keys = self._map(folder, f"{name}-keys", keys[order])
-        self.columns = {k: self._map(folder, f"{name}-{k}", c[order]) for k, c in columns.items()}
+        if (keys[1:] < keys[:-1]).any():
+            order = np.argsort(keys)
+            keys, columns = keys[order], {k: c[order] for k, c in columns.items()}
+        self.keys = self._map(folder, f"{name}-keys", keys)
+        self.columns = {k: self._map(folder, f"{name}-{k}", c) for k, c in columns.items()}
 
     @staticmethod
     def _map(folder: str, name: str, a: np.ndarray) -> np.ndarray:
@@ -160,40 +162,46 @@ def deal(docs: list[tuple], shards: int, frequent: np.ndarray, batch: int,
     words, at = np.unique(np.append(tokens, BEGIN), return_inverse=True)
     doc = np.repeat(np.arange(len(docs)), n_tokens)
     place = np.arange(len(tokens)) + (order - 1) * (doc + 1)
-    padded = np.full(len(tokens) + (order - 1) * len(docs), at[-1], np.int32)
+    padded = np.full(len(tokens) + (order - 1) * len(docs), at[-1])
     padded[place] = at[:-1]
-    columns = [padded[place - j] for j in range(order)]  # w, v, and so on to the left
-    h = words[columns[0]]
-    for c in columns[1:]:
-        h = pair_hash(words[c], h)
-    by = np.argsort(h, kind="stable")  # leaves the documents of an n-gram in order
-    h, doc = h[by], doc[by]
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
+    w, v, *left = (padded[place - j] for j in range(order))
+    shard = shard_of(words, shards)[v]
+    hot = np.isin(words, frequent)[v]
+    shard[hot] = shard_of(pair_hash(words[v[hot]], words[w[hot]]), shards)
+    key = (shard * len(words) + v) * len(words) + w
+    rest = None
+    if left:
+        rest = words[left[0]]
+        for c in left[1:]:
+            rest = pair_hash(words[c], rest)
+    by = np.argsort(key, kind="stable") if rest is None else np.lexsort((rest, key))  # documents stay in order
+    new = np.ones(len(key), bool)
+    new[1:] = np.diff(key[by]) != 0
+    if rest is not None:
+        new[1:] |= np.diff(rest[by]) != 0
+    doc = doc[by]
     once = new.copy()
-    once[1:] |= doc[1:] != doc[:-1]  # a document counts once per n-gram, with its number of times
+    once[1:] |= np.diff(doc) != 0  # a document counts once per n-gram, with its number of times
     at = np.flatnonzero(once)
-    times = np.diff(np.append(at, len(h)))
+    times, doc = np.diff(np.append(at, len(key))), doc[at]
     start = np.flatnonzero(new)
-    n_docs = np.add.reduceat(once.astype(np.int64), start)
-    doc = doc[at]
-    columns = [c[by[start]] for c in columns]
-    v = words[columns[1]]
-    shard = shard_of(np.where(np.isin(words, frequent)[columns[1]], pair_hash(v, words[columns[0]]), v), shards)
+    first = np.append(np.cumsum(once)[start] - 1, len(doc))  # each n-gram's first entry of doc and times
+    columns = [c[by[start]] for c in (w, v, *left)]
+    bounds = np.searchsorted(shard[by[start]], np.arange(shards + 1))
     trains = np.array([d[1] for d in docs], np.uint8)
-    by = np.argsort(shard * len(words) + columns[1], kind="stable")
-    begin = np.cumsum(n_docs) - n_docs
-    bounds = np.searchsorted(shard[by], np.arange(shards + 1))
-    for s in range(shards):
-        pick = by[bounds[s]:bounds[s + 1]]
-        if not len(pick):
+    rank = np.zeros(len(words), np.int64)
+    for s, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        if a == b:
             continue
-        size = n_docs[pick]
-        where = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[pick], size)
-        local, flat = np.unique(np.stack([c[pick] for c in columns]), return_inverse=True)
-        w, v, *left = flat.reshape(order, -1)
-        yield s, batch, BLOB, pack(trains, words[local], small(w), small(np.diff(v, prepend=0)), *map(small, left),
-                                   small(size), small(doc[where]), small(times[where]))
+        mine = np.zeros(len(words), bool)
+        for c in columns:
+            mine[c[a:b]] = True
+        local = np.flatnonzero(mine)
+        rank[local] = np.arange(len(local))
+        lw, lv, *others = (rank[c[a:b]] for c in columns)
+        yield s, batch, BLOB, pack(trains, words[local], small(lw), small(np.diff(lv, prepend=0)), *map(small, others),
+                                   small(np.diff(first[a:b + 1])), small(doc[first[a]:first[b]]),
+                                   small(times[first[a]:first[b]]))
     ids = np.array([d[0] if d[0] is not None else 0 for d in docs], "<i8")
     yield batch % shards, batch, HEADER, pack(ids, np.array([d[0] is not None for d in docs], np.uint8),
                                               np.array([d[2] for d in docs], np.uint8), small(n_tokens))
@@ -230,11 +238,12 @@ class Shard:
     """
 
     def __init__(self, bodies: list[bytes], order: int, frequent: np.ndarray):
-        words, shared = [], [[] for _ in range(order - 1)]
+        words, asked, held, shared = [], [], 0, [[] for _ in range(order - 1)]
         grams, contexts, w, c = [], [], [], []
         for body in bodies:
             m = Message(body)
-            words.append(m.words[np.unique(m.w)])
+            words.append(m.words)
+            asked.append(np.bincount(m.w, minlength=len(m.words)) > 0)
             hot = np.isin(m.words, frequent)[m.v]
             for kept, x in zip(shared, m.contexts):
                 kept.append(np.unique(x[hot]))
@@ -242,22 +251,31 @@ class Shard:
             seen = count > 0
             grams.append(np.stack(m.grams)[:, seen])
             contexts.append(np.stack(m.contexts)[:, seen])
-            w.append(m.words[m.w[seen]])
+            w.append(m.w[seen].astype(np.int64) + held)
             c.append(count[seen])
+            held += len(m.words)
         grams, contexts = np.concatenate(grams, axis=1), np.concatenate(contexts, axis=1)
-        w, c = np.concatenate(w), np.concatenate(c)
-        self.words = np.unique(np.concatenate(words))
+        words, w, c = np.concatenate(words), np.concatenate(w), np.concatenate(c)
+        asked = np.flatnonzero(np.concatenate(asked))
+        self.words, at = np.unique(words[asked], return_inverse=True)
+        place = np.zeros(held, np.int64)
+        place[asked] = at
+        w = place[w]
         self.shared = [np.unique(np.concatenate(x)) for x in shared]
-        self.word_count = np.bincount(np.searchsorted(self.words, w), weights=c, minlength=len(self.words)).astype(np.int64)
+        self.word_count = np.bincount(w, weights=c, minlength=len(self.words)).astype(np.int64)
         self.orders = []
         rows = np.arange(len(w))
         for n in reversed(range(order - 1)):
-            keys, first, at = np.unique(grams[n][rows], return_index=True, return_inverse=True)
+            keys = grams[n][rows]
+            by = np.argsort(keys)
+            keys = keys[by]
+            start = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[:len(keys)])
             # occurrences in the longest order, then the distinct n-grams one longer
-            c = np.bincount(at, weights=c if n == order - 2 else None, minlength=len(keys)).astype(np.int64)
-            rows = rows[first]
-            self.orders.insert(0, (keys, c, contexts[n][rows]))
-        self.word_before = np.bincount(np.searchsorted(self.words, w[rows]), minlength=len(self.words))
+            longest = n == order - 2
+            c = np.add.reduceat(c[by], start) if longest and len(c) else np.diff(np.append(start, len(keys)))
+            rows = rows[by[start]]
+            self.orders.insert(0, (keys[start], c, contexts[n][rows]))
+        self.word_before = np.bincount(w[rows], minlength=len(self.words))
 
     def totals(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """By order: contexts, and for each the sum of its counts and how many are 1, 2, and more."""
@@ -428,11 +446,11 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
         with tempfile.TemporaryDirectory() as folder:
             grams, totals = [], []
             for n, ((keys, c, _), (u, own)) in enumerate(zip(sh.orders, sh.totals())):
-                grams.append(HashArray(folder, f"grams{n}", keys, kept=discounted(c, d[n + 1])))
+                grams.append(HashArray(folder, f"grams{n}", keys, c=small(c)))
                 local = ~np.isin(u, sh.shared[n])
                 u = np.concatenate((u[local], sh.shared[n]))
                 own = np.concatenate((own[local], parts[ends[n]:ends[n + 1]]))
-                totals.append(HashArray(folder, f"contexts{n}", u, c=own[:, 0], free=own[:, 1:] @ d[n + 1]))
+                totals.append(HashArray(folder, f"contexts{n}", u, c=small(own[:, 0]), free=own[:, 1:] @ d[n + 1]))
             words = HashArray(folder, "words", sh.words, q=q, count=count)
             del sh, parts, contexts
             for b, body in zip(batches, bodies):
@@ -440,8 +458,12 @@ def score(docs: DataFrame, trains, held_out, id_col: str = "doc_id", text_col: s
                 local_q, local_count = words.get(m.words, "q", "count")
                 p, wc = local_q[m.w], local_count[m.w]
                 for n in range(order - 1):
-                    kept, = grams[n].get(m.grams[n], "kept")
-                    c, free = totals[n].get(m.contexts[n], "c", "free")
+                    times, = grams[n].get(m.grams[n], "c")
+                    kept = discounted(times, d[n + 1])
+                    if n:
+                        c, free = totals[n].get(m.contexts[n], "c", "free")
+                    else:
+                        c, free = (x[m.v] for x in totals[0].get(m.words, "c", "free"))
                     known = c > 0
                     c = np.where(known, c, 1)
                     p = np.where(known, kept / c + free / c * p, p)
