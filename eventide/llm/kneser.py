@@ -71,11 +71,11 @@ _U8, _F8 = np.dtype("<u8"), np.dtype("<f8")
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value."""
+    """Arrays as one compressed value; all first bytes of an array, then all second ones, and so on."""
     out = [struct.pack("<I", len(arrays))]
     for a in arrays:
         out.append(struct.pack("<3sQ", a.dtype.str.encode(), len(a)))
-        out.append(np.ascontiguousarray(a).tobytes())
+        out.append(np.ascontiguousarray(a).view("|u1").reshape(len(a), a.dtype.itemsize).T.tobytes())
     return zstandard.compress(b"".join(out), 1)
 
 
@@ -86,7 +86,8 @@ def unpack(data: bytes) -> list[np.ndarray]:
         kind, size = struct.unpack_from("<3sQ", raw, at)
         dtype = np.dtype(kind.decode())
         at += 11
-        out.append(np.frombuffer(raw, dtype, size, at))
+        planes = np.frombuffer(raw, "|u1", size * dtype.itemsize, at).reshape(dtype.itemsize, size)
+        out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(size))
         at += size * dtype.itemsize
     return out
 
@@ -143,7 +144,9 @@ class HashArray:
         """Place of each key, and whether it is there (place 0 if not)."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        i = np.searchsorted(self.keys, keys)
+        order = np.argsort(keys)  # in order, as neighbours then lie on the same pages
+        i = np.empty(len(keys), np.int64)
+        i[order] = np.searchsorted(self.keys, keys[order])
         i[i == len(self.keys)] = 0
         hit = self.keys[i] == keys
         return np.where(hit, i, 0), hit
