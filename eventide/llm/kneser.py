@@ -62,6 +62,8 @@ from pyspark.sql import functions as F
 from eventide.llm.common import batch_of, bounded_batches, shuffle_partitions, utf8, words_of
 
 BATCH_TOKENS = 2_000_000
+#: Words of a batch that are numbered by how common they are (changes the size of messages alone).
+COMMON = 4096
 #: Share of the rows in the sample that shows frequent words.
 SAMPLE = 1 / 64
 #: Hashes of strings with a space, which no word has.
@@ -163,6 +165,14 @@ def deal(docs: list[tuple], shards: int, frequent: np.ndarray, batch: int,
     n_tokens = np.array([len(d[3]) + 1 for d in docs], np.int64)
     tokens = np.concatenate([x for d in docs for x in (d[3], [END])]).astype(np.uint64)
     words, at = np.unique(np.append(tokens, BEGIN), return_inverse=True)
+    count = np.bincount(at)
+    top = np.argsort(-count, kind="stable")[:COMMON]  # common words get low places, which pack well; others stay by hash
+    rest = np.ones(len(words), bool)
+    rest[top] = False
+    by = np.concatenate((top, np.flatnonzero(rest)))
+    place = np.empty(len(words), np.int64)
+    place[by] = np.arange(len(words))
+    words, at = words[by], place[at]
     doc = np.repeat(np.arange(len(docs)), n_tokens)
     place = np.arange(len(tokens)) + (order - 1) * (doc + 1)
     padded = np.full(len(tokens) + (order - 1) * len(docs), at[-1])
