@@ -167,12 +167,12 @@ def deal(docs: list[tuple], shards: int, frequent: np.ndarray, batch: int,
     words, at = np.unique(np.append(tokens, BEGIN), return_inverse=True)
     count = np.bincount(at)
     top = np.argsort(-count, kind="stable")[:COMMON]  # common words get low places, which pack well; others stay by hash
-    rest = np.ones(len(words), bool)
-    rest[top] = False
-    by = np.concatenate((top, np.flatnonzero(rest)))
-    place = np.empty(len(words), np.int64)
-    place[by] = np.arange(len(words))
-    words, at = words[by], place[at]
+    rare = np.ones(len(words), bool)
+    rare[top] = False
+    number = np.concatenate((top, np.flatnonzero(rare)))
+    new_place = np.empty(len(words), np.int64)
+    new_place[number] = np.arange(len(words))
+    words, at = words[number], new_place[at]
     doc = np.repeat(np.arange(len(docs)), n_tokens)
     place = np.arange(len(tokens)) + (order - 1) * (doc + 1)
     padded = np.full(len(tokens) + (order - 1) * len(docs), at[-1])
