@@ -375,6 +375,34 @@ def alert_stats(spark, sf):
     return A.alert_stats(resolved)
 
 
+ALERTS_SQL = f"""(SELECT 'STATISTICAL' AS d, event_type AS t, FALSE AS r
+    FROM ({_se_window(86400)} SELECT event_type FROM g WHERE {VOL_ALERTS})
+  UNION ALL SELECT 'SCHEMA_DRIFT', type, FALSE FROM ({DRIFT_SQL} SELECT type FROM l WHERE prev_hash <> schema_hash)
+  UNION ALL SELECT 'EMBEDDING', type, type IN ('0', '1') FROM ({EMB_SQL} SELECT type FROM r WHERE distance > 0.85))"""
+
+
+@query("alerts_by_filter", " UNION ALL ".join(
+    f"SELECT '{name}' AS filter, d AS detector_type, count(*) AS alerts FROM {ALERTS_SQL} WHERE {cond} GROUP BY d"
+    for name, cond in (("detector", "d = 'STATISTICAL'"), ("type", "t = 'purchase'"), ("open", "NOT r"),
+                       ("resolved", "r"), ("all", "TRUE"))))
+def alerts_by_filter(spark, sf):
+    """FLT-8: each branch that can decide, over alerts stored once and resolved."""
+    path = f"{checkpoint_dir(spark)}/alerts-{uuid.uuid4().hex}"
+    alert_table(spark, sf).write.parquet(path)
+    alerts = spark.read.parquet(path)
+    res = alerts.filter((F.col("detector_type") == "EMBEDDING") & F.col("event_type").isin("0", "1")).select("id")
+    alerts, _ = A.resolve(alerts, res)
+    branches = {"detector": {"detector_type": "STATISTICAL", "event_type": "purchase", "resolved": True},
+                "type": {"event_type": "purchase", "resolved": True},
+                "open": {"resolved": False}, "resolved": {"resolved": True}, "all": {}}
+    parts = [A.filter_alerts(alerts, **given).groupBy("detector_type").agg(F.count(F.lit(1)).alias("alerts"))
+             .select(F.lit(name).alias("filter"), "detector_type", "alerts") for name, given in branches.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @query("alerts_filtered", f"""
 SELECT 'STATISTICAL' AS detector_type, event_type, event_source, 'Volume drop detected' AS title
 FROM ({_se_window(86400)} SELECT * FROM g WHERE stddev_count IS NOT NULL AND stddev_count <> 0 AND event_count >= 10

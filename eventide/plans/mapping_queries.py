@@ -86,6 +86,31 @@ def convert_long(spark, sf):
                       vget("mapped", "$.x", "bigint").alias("price_long"))
 
 
+@query("convert_wrap",
+       "WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS HUGEINT) * 1000000007 + l_linenumber AS i, "
+       "CAST(l_partkey AS HUGEINT) * 10000000000000000007 AS b FROM lineitem), "
+       "w AS (SELECT *, ((i % 4294967296) + 4294967296) % 4294967296 AS r32, "
+       "b % 18446744073709551616 AS r64 FROM t) "
+       "SELECT l_orderkey, l_linenumber, "
+       "CAST(CASE WHEN r32 >= 2147483648 THEN r32 - 4294967296 ELSE r32 END AS INTEGER) AS low_int, "
+       "CAST(CASE WHEN r64 >= 9223372036854775808 THEN r64 - 18446744073709551616 ELSE r64 END AS BIGINT) AS low_long, "
+       "CAST(CASE WHEN l_linenumber % 2 = 0 THEN -2147483648 ELSE 2147483647 END AS INTEGER) AS end_int, "
+       "CAST(CASE WHEN l_linenumber % 2 = 0 THEN -9223372036854775808 ELSE 9223372036854775807 END AS BIGINT) AS end_long "
+       "FROM w")
+def convert_wrap(spark, sf):
+    """CONV-2/3: whole numbers beyond the type keep their low bits, numbers with a point stop at its ends."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.parse_json(F.format_string(
+        '{"i":%s,"b":%s,"f":%s}',
+        (F.col("l_orderkey").cast("decimal(20,0)") * 1000000007 + F.col("l_linenumber")).cast("decimal(38,0)").cast("string"),
+        (F.col("l_partkey").cast("decimal(18,0)") * F.lit("10000000000000000007").cast("decimal(20,0)")).cast("string"),
+        F.when(F.col("l_linenumber") % 2 == 0, "-7.5e30").otherwise("7.5e30"))).alias("payload"))
+    out = compile_mappings(rows, [m("i", "i", "TO_INTEGER"), m("b", "b", "TO_LONG"),
+                                  m("f", "fi", "TO_INTEGER"), m("f", "fl", "TO_LONG")])
+    return out.select("l_orderkey", "l_linenumber", vget("mapped", "$.i", "int").alias("low_int"),
+                      vget("mapped", "$.b", "bigint").alias("low_long"), vget("mapped", "$.fi", "int").alias("end_int"),
+                      vget("mapped", "$.fl", "bigint").alias("end_long"))
+
+
 @query("convert_double",
        f"SELECT l_orderkey, l_linenumber, l_quantity AS qty, round(l_discount, 4) AS discount, "
        f"round(l_extendedprice, 4) AS price, 'For input string: \"' || l_returnflag || '\"' AS map_error FROM {LI}")
