@@ -30,6 +30,9 @@ from eventide.sources.folders import delete, exists, names
 ID_BUCKETS = 512
 #: Ends the name of a run whose entries were merged.
 MERGED = "~merged"
+#: Bloom filters on id, of the size that a file's ids need: of fixed size (1 MB) they outweigh the rows of a small file.
+BLOOM = {"parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+         "parquet.bloom.filter.candidates.number#id": "14"}
 
 
 class IdIndex:
@@ -81,7 +84,7 @@ class IdIndex:
         """Entries (id, received_date) of a batch, a file per bucket."""
         out = rows.select("id", "received_date", self.bucket().alias("id_bucket"))
         (out.repartition("id_bucket").sortWithinPartitions("id_bucket", "id").write.mode("overwrite")
-         .option("parquet.bloom.filter.enabled#id", "true").partitionBy("id_bucket").parquet(f"{self.path}/run={run}/batch={batch}"))
+         .options(**BLOOM).partitionBy("id_bucket").parquet(f"{self.path}/run={run}/batch={batch}"))
 
     def _batches(self, path: str) -> dict[str, list[int]]:
         """Batches of each run below ``path``, ascending."""
@@ -126,7 +129,9 @@ def land_batch(spark: SparkSession, rows: DataFrame, table_path: str, order: Seq
     known = index.of(rows, run=run, batch=batch)
     new = first if known is None else first.join(known.select("id"), "id", "left_anti")
     own = f"{table_path.rstrip('/')}/run={run}/batch={batch}"
-    new.drop(*drop).write.mode("overwrite").option("parquet.bloom.filter.enabled#id", "true").partitionBy("received_date").parquet(own)
+    # rows of a date meet in a task (a large date in several), so a batch has about a file a date and not one a task and date
+    (new.drop(*drop).hint("rebalance", "received_date").write.mode("overwrite").options(**BLOOM)
+     .partitionBy("received_date").parquet(own))
     index.write(spark.read.schema("id string, received_date date").parquet(own), run, batch)
 
 
