@@ -70,8 +70,13 @@ class TrailingCounts:
         self.spark, self.path = spark, path.rstrip("/")
 
     def add(self, events: DataFrame, run: str, batch: int) -> None:
-        """The counts of a batch; replayed, it replaces its own folders (the same hours) and no others."""
-        (second_counts(events).withColumns({"run": F.lit(run), "batch": F.lit(batch)}).write.mode("overwrite")
+        """The counts of a batch; replayed, it replaces its own folders (the same hours) and no others.
+
+        An hour, of at most 3600 counts a type and source, is written by one task: a file an hour, and the hours in
+        parallel (a number of tasks that is given is not coalesced).
+        """
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (second_counts(events).repartition(tasks, "hour").withColumns({"run": F.lit(run), "batch": F.lit(batch)}).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("hour", "run", "batch").parquet(self.path))
 
     def window(self, end: int, seconds: int) -> DataFrame:
