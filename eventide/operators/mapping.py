@@ -27,8 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.conversions import NOW_ISO_SQL, Val, as_column, conversion, needs_text, scalar_text
-from eventide.functions.json import as_read, jtrim, split_path, variant_path
+from eventide.functions.conversions import NOW_ISO_SQL, Val, as_column, conversion, needs_text, number_parts, scalar_text
+from eventide.functions.json import as_read, jtrim, split_path
 from eventide.functions.sqltext import ident, lit
 from eventide.model import NOW_TOKEN, UUID_TOKEN, FieldMapping, Flow
 
@@ -59,18 +59,19 @@ class _Step:
         self.text = needs_text(mp.conversion)
         self.schema = self.text or self.flatten or mp.conversion in (None, "NONE")
         i = idx
-        self.n = {k: f"__{k}{i}" for k in ("s", "a", "v", "sc", "k", "t", "tt", "o", "e")}
+        self.n = {k: f"__{k}{i}" for k in ("s", "a", "v", "sc", "k", "t", "tt", "l", "w", "d", "o", "e")}
         self.q = {k: ident(v) for k, v in self.n.items()}
         self.s, self.applied, self.value = (F.col(self.n[k]) for k in ("s", "a", "v"))
         self.kind, self.out, self.err_col = F.col(self.n["k"]), F.col(self.n["o"]), F.col(self.n["e"])
+        self.numbers = number_parts(mp.conversion, self.q["v"], self.q["k"], self.q["sc"])
         self.has_err = False
 
-    def stage_source(self, payload: str) -> dict:
+    def stage_source(self, payload: str, objects: dict) -> dict:
         if self.src_parts is None:
             return {self.n["s"]: "CAST(NULL AS VARIANT)"}
         if not self.src_parts:
             return {self.n["s"]: payload}
-        return {self.n["s"]: f"try_variant_get({payload}, {lit(variant_path(self.src_parts))}, 'variant')"}
+        return {self.n["s"]: f"try_element_at({objects[tuple(self.src_parts[:-1])]}, {lit(self.src_parts[-1])})"}
 
     def stage_value(self) -> dict:
         s = self.q["s"]
@@ -94,14 +95,22 @@ class _Step:
     def stage_text(self) -> dict:
         if not self.text:
             return {}
-        return {self.n["t"]: scalar_text(self.q["v"], self.q["k"], self.q["sc"])}
+        v, k = self.q["v"], self.q["k"]
+        if self.numbers:  # numbers come in parts
+            return {self.n["t"]: f"CASE WHEN {k} = 'number' THEN CAST(NULL AS STRING) WHEN {k} IN ('object', 'array') THEN '' "
+                                 f"ELSE CAST({v} AS STRING) END"}
+        return {self.n["t"]: scalar_text(v, k, self.q["sc"])}
 
     def stage_trim(self) -> dict:
         return {self.n["tt"]: jtrim(F.col(self.n["t"]))} if self.text else {}
 
+    def stage_number(self) -> dict:
+        return {self.n[p]: e for p, e in self.numbers.items()}
+
     def stage_convert(self) -> dict:
         q = self.q
-        out, err = conversion(self.mapping.conversion)(Val(q["v"], q["k"], q["t"], q["tt"], q["sc"]))
+        out, err = conversion(self.mapping.conversion)(
+            Val(q["v"], q["k"], q["t"], q["tt"], q["sc"], *[q[p] if p in self.numbers else None for p in ("l", "w", "d")]))
         if self.dest is not None and len(self.dest) == 0:
             # "." as destination: the reference fails the event when it writes there
             bad = lit(EMPTY_DEST_ERROR)
@@ -127,6 +136,19 @@ def _apply_stage(df: DataFrame, cols: dict) -> DataFrame:
     return df
 
 
+def _source_objects(df: DataFrame, steps: list[_Step], payload: str) -> tuple[DataFrame, dict]:
+    """The payload and the objects on the way to a source field as maps, one column each: path -> column.
+
+    A ``try_variant_get`` of an absent key costs many times one that finds it, a lookup in a map does not.
+    """
+    paths = {tuple(s.src_parts[:k]) for s in steps for k in range(len(s.src_parts or ()))}
+    objects = {p: f"__m{i}" for i, p in enumerate(sorted(paths, key=lambda p: (len(p), p)))}
+    for depth in range(max(map(len, objects), default=-1) + 1):
+        df = _apply_stage(df, {n: (f"try_variant_get({f'try_element_at({ident(objects[p[:-1]])}, {lit(p[-1])})' if p else payload}, "
+                                   f"'$', '{_EMPTY}')") for p, n in objects.items() if len(p) == depth})
+    return df, {p: ident(n) for p, n in objects.items()}
+
+
 def _needs_ordered(steps: list[_Step]) -> bool:
     dests = [tuple(s.dest) for s in steps if s.dest]
     if any(s.flatten for s in steps):
@@ -156,7 +178,8 @@ def _static_tree(steps: list[_Step]) -> str:
         kvs, flags = [], []
         for key, child in node.items():
             if isinstance(child, list):
-                parts = [f"CASE WHEN {s.q['a']} THEN {s.q['o']} END" for s in reversed(child)]
+                # (a column used twice is projected below: map_filter would interpret what is written into it)
+                parts = [f"CASE WHEN {s.q['a']} AND {s.q['o']} IS NOT NULL THEN {s.q['o']} END" for s in reversed(child)]
                 val = parts[0] if len(parts) == 1 else f"coalesce({', '.join(parts)})"
                 flag = either([s.q["a"] for s in child])
             else:
@@ -245,12 +268,12 @@ def compile_mappings(df: DataFrame, mappings: Sequence[FieldMapping], payload_co
     """
     payload = ident(payload_col)
     steps = [_Step(i, mp) for i, mp in enumerate(mappings) if not mp.excluded]  # MAP-3
-    cur = df
+    cur, objects = _source_objects(df, steps, payload)
     for stage in ("stage_source", "stage_value", "stage_schema", "stage_kind", "stage_text", "stage_trim",
-                  "stage_convert"):
+                  "stage_number", "stage_convert"):
         cols = {}
         for s in steps:
-            cols.update(s.stage_source(payload) if stage == "stage_source" else getattr(s, stage)())
+            cols.update(s.stage_source(payload, objects) if stage == "stage_source" else getattr(s, stage)())
         if cols:
             cur = _apply_stage(cur, cols)
     errs = [s.err_col for s in steps if s.has_err]

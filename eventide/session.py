@@ -30,6 +30,8 @@ TUNING_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM compiles no method of more bytecodes; a longer fused one would be interpreted for every row.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
