@@ -20,39 +20,47 @@ def new_id() -> Column:
 _FIELDS = {"id": "id", "type": "type", "source": "source", "timestamp": "ts", "payload": "payload",
            "metadata": "metadata", "status": "status", "errorMessage": "err", "processedAt": "pat"}
 _SCALARS = ("id", "type", "source", "ts", "status", "err", "pat")
+_TIMES = ("ts", "pat")
 
 
 # Times outside years 1 to 9999 are unreadable.
 MIN_MICROS, MAX_MICROS = -62135596800000000, 253402300799999999
 
 
-def _kind_sql(v: str) -> str:
-    sc = f"schema_of_variant({v})"
-    return (f"CASE WHEN {v} IS NULL THEN NULL WHEN startswith({sc}, 'OBJECT') THEN 'object' "
+def _kind_sql(sc: str) -> str:
+    return (f"CASE WHEN {sc} IS NULL THEN NULL WHEN startswith({sc}, 'OBJECT') THEN 'object' "
             f"WHEN startswith({sc}, 'ARRAY') THEN 'array' WHEN {sc} = 'STRING' THEN 'string' "
             f"WHEN {sc} = 'BOOLEAN' THEN 'boolean' WHEN {sc} = 'VOID' THEN 'null' ELSE 'number' END")
 
 
-def _text_sql(n: str) -> tuple[str, str]:
+def _text_sql(n: str) -> str:
     """Scalar -> text, JSON null -> NULL; objects/arrays are a parse error."""
     r, k = f"`__r_{n}`", f"`__k_{n}`"
-    val = (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS STRING) "
-           f"WHEN {k} IN ('object', 'array') THEN '' ELSE CAST({r} AS STRING) END")
-    bad = f"({r} IS NOT NULL AND {k} IN ('object', 'array'))"
-    return val, bad
+    return (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS STRING) "
+            f"WHEN {k} IN ('object', 'array') THEN '' ELSE CAST({r} AS STRING) END")
 
 
-def _time_sql(n: str) -> tuple[str, str]:
-    """Epoch seconds (number) or ISO offset text -> timestamp."""
+def _text_bad(n: str) -> str:
+    return f"(`__r_{n}` IS NOT NULL AND `__k_{n}` IN ('object', 'array'))"
+
+
+def _micros_sql(n: str) -> str:
+    """Epoch microseconds of a number."""
     r, k = f"`__r_{n}`", f"`__k_{n}`"
-    micros = f"try_cast(try_multiply(try_variant_get({r}, '$', 'decimal(38,9)'), 1000000BD) AS BIGINT)"
-    from_num = f"CASE WHEN {micros} BETWEEN {MIN_MICROS} AND {MAX_MICROS} THEN timestamp_micros({micros}) END"
-    t = f"CAST({r} AS STRING)"
-    from_txt = f"CASE WHEN {t} RLIKE {lit(ISO_WITH_OFFSET)} THEN try_to_timestamp({t}) END"
-    val = (f"CASE WHEN {r} IS NULL OR {k} = 'null' THEN CAST(NULL AS TIMESTAMP) "
-           f"WHEN {k} = 'number' THEN {from_num} WHEN {k} = 'string' THEN {from_txt} END")
-    bad = f"({r} IS NOT NULL AND {k} <> 'null' AND ({val}) IS NULL)"
-    return val, bad
+    return (f"CASE WHEN {k} = 'number' THEN "
+            f"try_cast(try_multiply(try_variant_get({r}, '$', 'decimal(38,9)'), 1000000BD) AS BIGINT) END")
+
+
+def _time_sql(n: str) -> str:
+    """Epoch seconds (number) or ISO offset text -> timestamp."""
+    k, t, micros = f"`__k_{n}`", f"`__t_{n}`", f"`__u_{n}`"
+    return (f"CASE WHEN {k} = 'number' THEN CASE WHEN {micros} BETWEEN {MIN_MICROS} AND {MAX_MICROS} "
+            f"THEN timestamp_micros({micros}) END "
+            f"WHEN {k} = 'string' THEN CASE WHEN {t} RLIKE {lit(ISO_WITH_OFFSET)} THEN try_to_timestamp({t}) END END")
+
+
+def _time_bad(n: str) -> str:
+    return f"(`__r_{n}` IS NOT NULL AND `__k_{n}` <> 'null' AND `__v_{n}` IS NULL)"
 
 
 def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -62,36 +70,37 @@ def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
     envelope names, has an object/array where text is expected, an unknown
     status, or an unreadable time. Absent id/timestamp/status get defaults;
     a JSON null stays NULL. ``raw`` keeps the text for the dead letter (RT-3).
-    The text is parsed once; members and their kinds are projected as columns.
+    The text is parsed once; members, their kinds, texts and times are projected
+    as columns. Members are looked up in the record's map: a ``try_variant_get``
+    of an absent key costs many times one that finds it.
     """
-    st = df.selectExpr("*", f"try_parse_json({ident(value_col)}) AS `__pv`")
+    st = df.selectExpr("*", f"try_variant_get(try_parse_json({ident(value_col)}), '$', 'map<string,variant>') AS `__pm`")
     allowed = ", ".join(lit(k) for k in ENVELOPE_KEYS)
-    keys = "map_keys(try_variant_get(`__pv`, '$', 'map<string,variant>'))"
-    st = st.selectExpr("*", f"({keys} IS NOT NULL AND size(array_except({keys}, array({allowed}))) = 0) AS `__shaped`",
-                       *[f"try_variant_get(`__pv`, {lit(chr(36) + '[' + repr(k) + ']')}, 'variant') AS `__r_{n}`"
-                         for k, n in _FIELDS.items()])
-    st = st.selectExpr("*", *[f"{_kind_sql(f'`__r_{n}`')} AS `__k_{n}`" for n in _SCALARS])
-    id_, id_bad = _text_sql("id")
-    type_, type_bad = _text_sql("type")
-    source, source_bad = _text_sql("source")
-    err_msg, err_bad = _text_sql("err")
-    status_txt, status_bad0 = _text_sql("status")
+    st = st.selectExpr("*", f"(`__pm` IS NOT NULL AND size(array_except(map_keys(`__pm`), array({allowed}))) = 0) AS `__shaped`",
+                       *[f"try_element_at(`__pm`, {lit(k)}) AS `__r_{n}`" for k, n in _FIELDS.items()])
+    st = st.selectExpr("*", *[f"CASE WHEN `__r_{n}` IS NOT NULL THEN schema_of_variant(`__r_{n}`) END AS `__sc_{n}`"
+                              for n in _SCALARS])
+    st = st.selectExpr("*", *[f"{_kind_sql(f'`__sc_{n}`')} AS `__k_{n}`" for n in _SCALARS])
+    st = st.selectExpr("*", *[f"{_text_sql(n)} AS `__t_{n}`" for n in _SCALARS if n not in _TIMES],
+                       *[f"CASE WHEN `__k_{n}` = 'string' THEN CAST(`__r_{n}` AS STRING) END AS `__t_{n}`" for n in _TIMES],
+                       *[f"{_micros_sql(n)} AS `__u_{n}`" for n in _TIMES])
     statuses = ", ".join(lit(x) for x in STATUS_VALUES)
     status = (f"CASE WHEN `__k_status` = 'number' THEN get(array({statuses}), "
-              f"try_variant_get(`__r_status`, '$', 'int')) ELSE {status_txt} END")
-    status_ok = f"(`__r_status` IS NULL OR `__k_status` = 'null' OR coalesce(({status}) IN ({statuses}), false))"
-    ts, ts_bad = _time_sql("ts")
-    pat, pat_bad = _time_sql("pat")
-    ok = (f"coalesce(`__shaped` AND NOT ({id_bad} OR {type_bad} OR {source_bad} OR {err_bad} OR {status_bad0} "
-          f"OR {ts_bad} OR {pat_bad}) AND {status_ok}, false)")
+              f"try_variant_get(`__r_status`, '$', 'int')) ELSE `__t_status` END")
+    st = st.selectExpr("*", *[f"{_time_sql(n)} AS `__v_{n}`" for n in _TIMES], f"{status} AS `__v_status`")
+    status_ok = f"(`__r_status` IS NULL OR `__k_status` = 'null' OR coalesce(`__v_status` IN ({statuses}), false))"
+    bad = " OR ".join([*[_text_bad(n) for n in ("id", "type", "source", "err", "status")], *[_time_bad(n) for n in _TIMES]])
+    ok = f"coalesce(`__shaped` AND NOT ({bad}) AND {status_ok}, false)"
+    # (exploded, so that a filter on parse_ok is not pushed below the parse and does not repeat it member by member)
+    st = st.selectExpr("*", f"explode(array({ok})) AS `__ok`")
     new = {
-        "parse_ok": ok,
-        "id": f"CASE WHEN `__r_id` IS NULL THEN concat({lit(ID_PREFIX)}, uuid()) ELSE {id_} END",
-        "type": type_, "source": source,
-        "timestamp": f"CASE WHEN `__r_ts` IS NULL THEN current_timestamp() ELSE {ts} END",
+        "parse_ok": "`__ok`",
+        "id": f"CASE WHEN `__r_id` IS NULL THEN concat({lit(ID_PREFIX)}, uuid()) ELSE `__t_id` END",
+        "type": "`__t_type`", "source": "`__t_source`",
+        "timestamp": "CASE WHEN `__r_ts` IS NULL THEN current_timestamp() ELSE `__v_ts` END",
         "payload": "`__r_payload`", "metadata": "`__r_metadata`",
-        "status": f"CASE WHEN `__r_status` IS NULL THEN 'RECEIVED' ELSE {status} END",
-        "error_message": err_msg, "processed_at": pat, "raw": ident(value_col),
+        "status": "CASE WHEN `__r_status` IS NULL THEN 'RECEIVED' ELSE `__v_status` END",
+        "error_message": "`__t_err`", "processed_at": "`__v_pat`", "raw": ident(value_col),
     }
     keep = [ident(c) for c in st.columns if c not in new and not (c.startswith("__") and c not in df.columns)]
     return st.selectExpr(*keep, *[f"{v} AS {ident(k)}" for k, v in new.items()])
