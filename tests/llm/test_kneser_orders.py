@@ -73,3 +73,31 @@ def test_edges(spark):
     held = kneser.score(frame(spark, ["a b", "a b"]).withColumn("shard", F.lit("x")).withColumn("score", F.lit("y")),
                         F.col("doc_id") == 0, F.col("doc_id") == 1, order=3).collect()
     assert held[0]["score"] == pytest.approx(held[1]["score"])
+
+
+def test_messages_do_not_grow_with_the_shards():
+    """Words of the sample go by number: a message's cost follows its n-grams, not the words that every shard repeats."""
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(1, 1 << 63, 5000, np.uint64))[rng.permutation(5000)]
+    docs = [(i, i % 5 != 1, i % 5 == 1, hashes[np.minimum(rng.zipf(1.3, 200) - 1, 4999)]) for i in range(500)]
+    common = np.insert(hashes[:4000], 0, kneser.BEGIN)
+    size, grams = {}, {}
+    for shards in (4, 64):
+        got = list(kneser.deal(docs, shards, np.array([kneser.BEGIN]), 0, 3, common))
+        size[shards] = sum(len(body) for _, _, kind, body in got if kind == kneser.BLOB)
+        read = [kneser.Message(body, common) for _, _, kind, body in got if kind == kneser.BLOB]
+        grams[shards] = np.sort(np.concatenate([np.repeat(m.grams[-1], m.per_gram) for m in read]))
+    assert size[64] < 1.25 * size[4]
+    padded = [np.concatenate(([kneser.BEGIN] * 2, d[3], [kneser.END])).astype(np.uint64) for d in docs]
+    want = np.sort(np.concatenate([kneser.pair_hash(x[:-2], kneser.pair_hash(x[1:-1], x[2:])) for x in padded]))
+    for x in grams.values():
+        assert len(x) <= len(want) and np.array_equal(np.unique(x), np.unique(want))
+    assert np.array_equal(kneser.from_gaps(kneser.gaps(hashes)), hashes)
+
+
+def test_sampled_words_are_counted_whole(spark):
+    texts = ["a b b", None, "", "b c " + "x" * 70] * 3
+    hashes, count, total = kneser.sampled_words(frame(spark, texts), "text", 1000, share=1.0)
+    found = dict(zip(hashes.tolist(), count.tolist()))
+    assert found[kneser.xxhash.xxh64_intdigest(b"b")] == 9 and list(count) == sorted(count, reverse=True)
+    assert total >= 21 and len(kneser.sampled_words(empty(spark), "text", 4)[0]) == 0
