@@ -8,6 +8,7 @@ that are marked hard: the tokenizer itself has to cut them.
 
 from __future__ import annotations
 
+import codecs
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -27,11 +28,12 @@ for _a, _b, _c in ((0x09, 0x0E, SPACE), (0x20, 0x21, SPACE), (0x30, 0x3A, DIGIT)
 #: The characters by which byte-level BPE names bytes: printable ones name themselves, the others follow from 256 on.
 _NAMED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_NAMES = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_NAMED)))}
+_NAMES = "".join(chr(BYTE_NAMES.get(b, b)) for b in range(256))
 
 
 def byte_names(part: str) -> str:
     """A pre-token in the characters that name its UTF-8 bytes."""
-    return part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(BYTE_NAMES)
+    return part if part.isascii() and part.isalnum() else codecs.charmap_decode(part.encode(), "strict", _NAMES)[0]
 
 
 def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +201,7 @@ class Units(dict):
         at = coded.indices.to_numpy()
         of_unit = np.zeros(len(coded.dictionary), bool)
         of_unit[at] = hard  # equal units are hard alike
-        ids = self.ids(coded.dictionary.to_pylist(), of_unit)
+        ids = self.ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), of_unit)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         flat, lengths = np.frombuffer(b"".join(ids), "<u4"), sizes[at]
         before = np.concatenate(([0], np.cumsum(lengths)))

@@ -60,10 +60,8 @@ ODD = r"<\||[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 
 def widths(ids: np.ndarray) -> list[int]:
     """Chunk widths of the levels with the smallest total size."""
-    sizes = np.bincount(np.frexp(ids.astype(np.float64))[1], minlength=2)  # numbers of ids by bit length
-    sizes[1] += sizes[0]
-    top = len(sizes) - 1
-    over = [len(ids), *(int(sizes[b + 1:].sum()) for b in range(1, top + 1))]
+    top = max(1, int(ids.max(initial=0)).bit_length())
+    over = [len(ids), *(int(np.count_nonzero(ids >= 1 << b)) for b in range(1, top)), 0]  # ids of more than b bits
     cost: list[tuple[float, int]] = [(0.0, 0)] * (top + 1)
     for b in range(top - 1, -1, -1):
         cost[b] = min((over[b] * (w + (0 if b + w == top else 1 + 64 / RANK_BITS)) + cost[b + w][0], w)
