@@ -3,10 +3,10 @@
 * Pieces and scores come from a public SentencePiece model file. A text is
   given a leading space, spaces become U+2581, and it is cut before every run
   of U+2581 (pieces have U+2581 only in front), so words are independent.
-* The distinct words of a batch are segmented, equal lengths together: for
-  each end position the substrings of every piece length are hashed from
-  prefix sums, probed in the sorted piece keys, and vectorised maxima store
-  the backpointers. Words over ``LONG_WORD`` characters probe all their
+* The distinct words of a batch are segmented, equal lengths together: the
+  substrings of every piece length are hashed from prefix sums and probed in
+  the sorted piece keys (a table of hash prefixes rules out most), vectorised
+  maxima store the backpointers, and all words are walked back at once. Words over ``LONG_WORD`` characters probe all their
   substrings the same way and walk their matches on their own.
 * The segmentation has the highest summed score of all. Unigram files are used
   with their own scores; files of merge ranks (every score the negative
@@ -39,6 +39,9 @@ BYTE_COST = 10.0
 LONG_WORD = 48
 #: Segmented words that a worker remembers.
 CACHE_WORDS = 500_000
+#: Words times characters that are segmented at a time.
+CELLS = 1 << 16
+NEAR_BITS = 20
 _M = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
@@ -52,6 +55,7 @@ class Pieces:
     byte_ids: np.ndarray  # id of each byte
     unknown: float
     longest: int
+    near: np.ndarray  # by the first NEAR_BITS bits of a hash: whether a key begins so
 
 
 def _mix(h: np.ndarray, length: int) -> np.ndarray:
@@ -97,56 +101,97 @@ def load(path: str) -> Pieces:
         scores = -np.log(rank + 1.0) - np.log((1 / (np.arange(len(raw)) + 1)).sum())
     else:
         scores = raw
-    keys = np.array([_hash(_codes(p)[None, :])[0] for p, _, _ in plain], np.uint64)
+    keys = np.zeros(len(plain), np.uint64)
+    sizes = np.array([len(p) for p, _, _ in plain], np.int64)
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        keys[at] = _hash(np.stack([_codes(plain[i][0]) for i in at.tolist()]))
     order = np.argsort(keys)
     keys = keys[order]
     if (keys[1:] == keys[:-1]).any():
         raise ValueError("two pieces share a hash")
+    near = np.zeros(1 << NEAR_BITS, bool)
+    near[keys >> np.uint64(64 - NEAR_BITS)] = True
     return Pieces(keys, np.array([i for _, i, _ in plain], np.int64)[order], scores[order], text, byte_ids,
-                  float(scores.min()) - BYTE_COST, max(len(p) for p, _, _ in plain))
+                  float(scores.min()) - BYTE_COST, max(len(p) for p, _, _ in plain), near)
 
 
 def _probe(p: Pieces, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Position of each hash among the piece keys, and whether it is one."""
-    at = np.searchsorted(p.keys, h)
+    """Places of the hashes that are piece keys, and the positions of these keys."""
+    where = np.flatnonzero(p.near[h >> np.uint64(64 - NEAR_BITS)])
+    at = np.searchsorted(p.keys, h[where])
     at[at == len(p.keys)] = 0
-    return at, p.keys[at] == h
+    hit = p.keys[at] == h[where]
+    return where[hit], at[hit]
 
 
 def _substrings(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix hashes (words, length + 1) and powers: the hash of [i, j) is prefix[j] - prefix[i] * power[j - i]."""
-    m, n = codes.shape
-    prefix = np.zeros((m, n + 1), np.uint64)
+    """Prefix hashes (length + 1, words) and powers: the hash of [i, j) is prefix[j] - prefix[i] * power[j - i]."""
+    n, m = codes.shape
+    prefix = np.zeros((n + 1, m), np.uint64)
     power = np.ones(n + 1, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(n):
-            prefix[:, j + 1] = prefix[:, j] * _M + codes[:, j] + np.uint64(1)
+            prefix[j + 1] = prefix[j] * _M + codes[j] + np.uint64(1)
             power[j + 1] = power[j] * _M
     return prefix, power
 
 
-def _viterbi(p: Pieces, words: list[str]) -> list[list[int]]:
+def _viterbi(p: Pieces, words: list[str]) -> list[bytes]:
     """Best piece ids of words of one length (byte pieces for characters without one)."""
-    n = len(words[0])
-    codes = np.stack([_codes(w) for w in words])
-    m = len(words)
-    prefix, power = _substrings(codes)
-    best = np.full((m, n + 1), -np.inf)
-    best[:, 0] = 0
-    size = np.zeros((m, n + 1), np.int64)
-    piece = np.full((m, n + 1), -1, np.int64)
+    m, n = len(words), len(words[0])
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(m, n)
+    prefix, power = _substrings(codes.T.astype(np.uint64, order="C"))
+    most = min(p.longest, n)
+    piece = np.full((most, n, m), -1, np.int32)  # by length, start and word
+    scores, some = [], []
     with np.errstate(over="ignore"):
-        for end in range(1, n + 1):
-            best[:, end] = best[:, end - 1] + p.unknown
-            size[:, end] = 1
-            for length in range(1, min(p.longest, end) + 1):
-                at, hit = _probe(p, _mix(prefix[:, end] - prefix[:, end - length] * power[length], length))
-                score = np.where(hit, best[:, end - length] + p.scores[at], -np.inf)
-                better = score > best[:, end]
-                best[better, end] = score[better]
-                size[better, end] = length
-                piece[better, end] = p.ids[at[better]]
-    return _back(p, words, size, piece)
+        for length in range(1, most + 1):
+            where, at = _probe(p, _mix(prefix[length:] - prefix[:-length] * power[length], length).reshape(-1))
+            score = np.full((n - length + 1, m), -np.inf)
+            score.reshape(-1)[where] = p.scores[at]
+            piece[length - 1].reshape(-1)[where] = p.ids[at]
+            scores.append(score)
+            some.append((np.bincount(where // m, minlength=len(score)) > 0).tolist())
+    best = np.zeros((n + 1, m))
+    size = np.ones((n + 1, m), np.int8)
+    for end in range(1, n + 1):
+        top = best[end - 1] + p.unknown
+        for length in range(1, min(most, end) + 1):
+            start = end - length
+            if some[length - 1][start]:
+                score = best[start] + scores[length - 1][start]
+                better = score > top
+                np.copyto(top, score, where=better)
+                np.copyto(size[end], length, where=better)
+        best[end] = top
+    return _walked(p, words, size, piece)
+
+
+def _walked(p: Pieces, words: list[str], size: np.ndarray, piece: np.ndarray) -> list[bytes]:
+    """Ids of every word, from its end over its best pieces."""
+    m, n = len(words), len(words[0])
+    ids, sizes, count = np.zeros((n, m), np.int32), np.zeros((n, m), np.int8), np.zeros(m, np.int64)
+    word, end, k = np.arange(m), np.full(m, n), 0
+    while len(word):
+        step = size[end, word]
+        end = end - step
+        ids[k, word], sizes[k, word] = piece[step - 1, end, word], step
+        count[word] += 1
+        word, end, k = word[end > 0], end[end > 0], k + 1
+    ends = np.cumsum(count)
+    of = np.repeat(np.arange(m), count)
+    back = np.repeat(ends, count) - 1 - np.arange(len(of))  # pieces of the word behind each
+    flat = ids[back, of]
+    data = flat.astype("<u4").tobytes()
+    out = [data[4 * a:4 * b] for a, b in zip((ends - count).tolist(), ends.tolist())]
+    for w in np.unique(of[flat < 0]).tolist():
+        at, own = 0, []
+        for i, step in zip(ids[:count[w], w][::-1].tolist(), sizes[:count[w], w][::-1].tolist()):
+            own.extend([i] if i >= 0 else p.byte_ids[list(words[w][at].encode("utf-8", "surrogatepass"))].tolist())
+            at += step
+        out[w] = np.array(own, "<u4").tobytes()
+    return out
 
 
 def _long(p: Pieces, word: str) -> list[int]:
@@ -158,37 +203,28 @@ def _long(p: Pieces, word: str) -> list[int]:
     with np.errstate(over="ignore"):
         for length in range(1, min(p.longest, n) + 1):
             h = h[:n - length + 1] * _M + codes[length - 1:] + np.uint64(1)
-            at, hit = _probe(p, _mix(h, length))
-            for i, a in zip(np.flatnonzero(hit).tolist(), at[hit].tolist()):
+            for i, a in zip(*(x.tolist() for x in _probe(p, _mix(h, length)))):
                 edges[i + length].append((length, p.scores[a], int(p.ids[a])))
     best = [0.0] * (n + 1)
-    size = np.ones((1, n + 1), np.int64)
-    piece = np.full((1, n + 1), -1, np.int64)
+    size, piece = [1] * (n + 1), [-1] * (n + 1)
     for end in range(1, n + 1):
         top = best[end - 1] + p.unknown
         for length, s, i in edges[end]:
             if best[end - length] + s > top:
                 top = best[end - length] + s
-                size[0, end], piece[0, end] = length, i
+                size[end], piece[end] = length, i
         best[end] = top
-    return _back(p, [word], size, piece)[0]
-
-
-def _back(p: Pieces, words: list[str], size: np.ndarray, piece: np.ndarray) -> list[list[int]]:
-    out = []
-    for w, s, c in zip(words, size.tolist(), piece.tolist()):
-        end, ids = len(w), []
-        while end:
-            if c[end] >= 0:
-                ids.append(c[end])
-            else:
-                ids.extend(p.byte_ids[list(w[end - 1].encode("utf-8", "surrogatepass"))][::-1].tolist())
-            end -= s[end]
-        out.append(ids[::-1])
-    return out
+    end, ids = n, []
+    while end:
+        if piece[end] >= 0:
+            ids.append(piece[end])
+        else:
+            ids.extend(p.byte_ids[list(word[end - 1].encode("utf-8", "surrogatepass"))][::-1].tolist())
+        end -= size[end]
+    return ids[::-1]
 
 
-def segment(p: Pieces, words: list[str], cells: int = 1 << 20) -> dict[str, bytes]:
+def segment(p: Pieces, words: list[str], cells: int = CELLS) -> dict[str, bytes]:
     """Ids of distinct words as little-endian 32-bit bytes."""
     out: dict[str, bytes] = {}
     by_length: dict[int, list[str]] = {}
@@ -202,8 +238,7 @@ def segment(p: Pieces, words: list[str], cells: int = 1 << 20) -> dict[str, byte
         step = max(1, cells // (n + 1))
         for i in range(0, len(group), step):
             part = group[i:i + step]
-            for w, ids in zip(part, _viterbi(p, part)):
-                out[w] = np.array(ids, "<u4").tobytes()
+            out.update(zip(part, _viterbi(p, part)))
     return out
 
 
@@ -223,7 +258,7 @@ def encode_batch(p: Pieces, texts: list[str | None], known: dict[str, bytes]) ->
 
 def decode(p: Pieces, ids: np.ndarray) -> str:
     """The text of a sequence of ids."""
-    text = b"".join([p.text[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
+    text = b"".join(map(p.text.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
     return text[1:] if text.startswith(" ") else text
 
 
