@@ -83,6 +83,8 @@ def page_deep(df: DataFrame, page: int, size: int = PAGE_SIZE, settled: int = 10
     sort. Each step is a partially aggregated count over what the last step
     left, and a filter that prunes the partitions of a landed table; the counts
     (one per unit) are all that reaches the driver. Rows without a time are last.
+    ``df`` is read once a step: store rows that are dear to derive (a parse) first,
+    else every step derives all of them again.
     """
     skip = page * size
     for unit in RANK_UNITS:

@@ -73,9 +73,15 @@ def landed_page_deep(spark, sf):
        "SELECT 'evt_ord_' || CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS received_at FROM orders e "
        "WHERE o_orderpriority <> '5-LOW' ORDER BY e.o_orderdate DESC, id LIMIT 1 OFFSET 10000")
 def page_10000(spark, sf):
-    """TOP-4: page 10,000 of one row over all order events, many of which share their time."""
+    """TOP-4: page 10,000 of one row over all order events, many of which share their time.
+
+    The events are parsed once: ids and times are stored, and every step to the page reads what is stored.
+    """
     rows = ENV.to_table_rows(ENV.parse_envelopes(order_records(spark, sf)).filter("parse_ok"))
-    return S.page_deep(rows.select("id", "received_at"), 10_000, 1, settled=20).select("id", fmt("received_at").alias("received_at"))
+    path = _folder(spark, "paged")
+    rows.select("id", "received_at").write.parquet(path)
+    stored = spark.read.schema("id string, received_at timestamp").parquet(path)
+    return S.page_deep(stored, 10_000, 1, settled=20).select("id", fmt("received_at").alias("received_at"))
 
 
 @query("land_hot_id",

@@ -73,3 +73,25 @@ def test_latest_one_and_parseable(spark):
     assert got == {"t": "h2", "u": "h3"}
     rows = spark.createDataFrame([('{"a":1}',), ("nope",)], "payload string")
     assert S.parseable(rows).count() == 1
+
+
+def test_page_10000_parses_each_event_once(spark, tmp_path, monkeypatch):
+    from eventide.plans import landed_queries as L
+    days = [dt.datetime(1995, 1, 1, tzinfo=dt.UTC) + dt.timedelta(days=d) for d in range(40)]
+    orders = [(k, k % 50, "OFP"[k % 3], float(k), days[k * k % 40], "5-LOW" if k % 7 == 0 else "1-URGENT") for k in range(15_000)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+                          "o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, f"c{k}", k % 25, 1.5, "BUILDING") for k in range(40)], "c_custkey long, c_name string, c_nationkey int, "
+                          "c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        read.add(1)
+        return value
+    raw = L.order_records
+    monkeypatch.setattr(L, "order_records", lambda *a: raw(*a).withColumn("value", counted("value")))
+    got = [tuple(r) for r in L.page_10000(spark, str(tmp_path)).collect()]
+    kept = sorted(((-o[4].timestamp(), f"evt_ord_{o[0]}", o[4]) for o in orders if o[5] != "5-LOW"))
+    assert got == [(kept[10_000][1], kept[10_000][2].strftime("%Y-%m-%d %H:%M:%S"))]
+    assert read.value == len(orders)
